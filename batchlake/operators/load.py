@@ -239,7 +239,7 @@ def merge_counts(staged: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def customer_rows(staged: DataFrame, loaded_at: Column) -> DataFrame:
+def customer_rows(staged: DataFrame, loaded_at: Column, *more: Column) -> DataFrame:
     """Staged rows in the shape of the customers table, stamped with the load time."""
     return staged.select(
         "customer_id",
@@ -253,6 +253,7 @@ def customer_rows(staged: DataFrame, loaded_at: Column) -> DataFrame:
         "pipeline_version",
         loaded_at.alias("created_at"),
         loaded_at.alias("updated_at"),
+        *more,
     )
 
 

@@ -84,7 +84,7 @@ def manifest_rows(tagged: DataFrame) -> DataFrame:
     counts = tagged.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count_if("is_valid").alias("valid_records"),
-        F.count_if("NOT is_valid").alias("invalid_records"),
+        F.count_if(F.expr("NOT is_valid")).alias("invalid_records"),
         F.date_format(F.min("ingested_at"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("event_timestamp"),
         F.date_format(
             F.max("ingested_at") - F.expr("INTERVAL 1 DAY") * F.expr("int(substr(batch_id, 2)) % 7"),

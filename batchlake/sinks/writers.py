@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from batchlake.schemas import PARTITIONS, REQUIRED
 
 MAX_ROWS_PER_FILE = 5_000_000
+MAX_ROWS_PER_TEXT_FILE = 1_000_000  # delimited files with quoted line breaks cannot be split
 
 
 def _partitioned(frame: DataFrame, by: list[str]):
@@ -27,9 +28,16 @@ def _partitioned(frame: DataFrame, by: list[str]):
 
 def write_delimited(rows: DataFrame, path: str) -> None:
     """Clean or rejected rows of many batches: one folder per batch, with a header."""
-    _partitioned(rows.select(*REQUIRED, "batch_id"), ["batch_id"]).option("header", True).option(
-        "quote", '"'
-    ).option("escape", '"').csv(path)
+    (
+        _partitioned(rows.select(*REQUIRED, "batch_id"), ["batch_id"])
+        .option("maxRecordsPerFile", MAX_ROWS_PER_TEXT_FILE)
+        .option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def write_documents(rows: DataFrame, path: str, batch: str) -> None:

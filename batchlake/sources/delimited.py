@@ -10,22 +10,26 @@ from __future__ import annotations
 import csv
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from batchlake.functions import dates, text
 from batchlake.operators.validate import missing_columns
 from batchlake.schemas import CLEAN, RAW, REQUIRED
-from batchlake.sources.listing import decoded_path, key_below, list_objects
+from batchlake.session import materialize
+from batchlake.sources.listing import decoded_path, key_below
 
 FAILED = "raw_key string, reason string"
 
-# Position of a row in its file: start of the split (in KiB) above the row number within the task.
-# Splits of one file differ in start, rows of one split share a task and keep their order.
-_POSITION = F.shiftleft(F.shiftright(F.col("_start"), 10), 33).bitwiseOR(
-    F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-)
+
+def _position() -> Column:
+    """Position of a row in its file: start of its split (in KiB) above the row number in the task.
+
+    Splits of one file differ in start; rows of one split share a task and keep their order.
+    """
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return F.shiftleft(F.shiftright(F.col("_start"), 10), 33).bitwiseOR(row)
 
 
 def _reader(spark: SparkSession, multi_line: bool):
@@ -49,7 +53,7 @@ def profile_files(spark: SparkSession, paths: list[str], name_filter: str = "*.c
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("_start"),
         )
-        .withColumn("_pos", _POSITION)
+        .withColumn("_pos", _position())
         .where(F.trim("value") != "")
     )
     bare = F.regexp_replace("value", r'"([^"]|"")*"', "")
@@ -102,7 +106,7 @@ def read_raw(
     failed = judged.where("reason IS NOT NULL").select(
         key_below(decoded_path(F.col("file")), root).alias("raw_key"), "reason"
     )
-    failed = failed.unionByName(_empty_files(spark, root, paths, name_filter, profile))
+    failed = failed.unionByName(_empty_files(spark, where, name_filter, root, profile))
 
     frames = []
     for line, multi_line, cols in sorted(seen):
@@ -150,7 +154,7 @@ def _scan(spark, paths, cols, multi_line, root, name_filter, corrupt: bool) -> D
         *wanted,
         key_below(path, root).alias("raw_key"),
         *(["_corrupt"] if corrupt else []),
-    ).withColumn("ord", _POSITION)
+    ).withColumn("ord", _position())
 
 
 def _read_group(spark, paths, cols, multi_line, root, name_filter) -> DataFrame:
@@ -161,6 +165,7 @@ def _read_group(spark, paths, cols, multi_line, root, name_filter) -> DataFrame:
 def _read_multi_line(spark, paths, cols, root, name_filter) -> tuple[DataFrame, DataFrame]:
     """Files with line breaks inside cells: not splittable, and only now can rows be measured."""
     rows = _scan(spark, paths, cols, True, root, name_filter, corrupt=True)
+    rows = materialize(rows.drop("_start"), "multi-line-rows")
     bare = F.regexp_replace("_corrupt", r'"([^"]|"")*"', "")
     cells = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
     long = (
@@ -172,14 +177,21 @@ def _read_multi_line(spark, paths, cols, root, name_filter) -> tuple[DataFrame,
     return rows.join(long, "raw_key", "left_anti").select(*RAW.names, "raw_key"), long
 
 
-def _empty_files(spark, root, paths, name_filter, profile) -> DataFrame:
-    listings = [
-        list_objects(spark, root, key, name_filter)
-        for key in ([p.split(root.rstrip("/") + "/", 1)[-1] for p in paths] if paths else [""])
-    ]
-    listed = reduce(DataFrame.unionByName, listings).select(F.col("key").alias("raw_key"))
-    full = profile.select(key_below(decoded_path(F.col("file")), root).alias("raw_key"))
-    return listed.join(full, "raw_key", "left_anti").withColumn("reason", F.lit("empty file"))
+def _empty_files(spark, paths, name_filter, root, profile) -> DataFrame:
+    """Files without a single non-blank line. No scan returns a zero-byte file, so the names come
+    from the file listing itself, which the driver holds for every scan."""
+    scan = (
+        spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", name_filter)
+        .text(paths)
+    )
+    names = spark.createDataFrame([(f,) for f in scan.inputFiles()], "file string")
+    key = key_below(decoded_path(F.col("file")), root).alias("raw_key")
+    return (
+        names.select(key)
+        .join(profile.select(key), "raw_key", "left_anti")
+        .withColumn("reason", F.lit("empty file"))
+    )
 
 
 def _no_failures(spark: SparkSession) -> DataFrame:
@@ -187,16 +199,20 @@ def _no_failures(spark: SparkSession) -> DataFrame:
 
 
 def read_clean(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Clean files (fixed header) as text columns, with the folder's ``batch_id``."""
+    """Clean files (fixed header) as text columns, with the folder's ``batch_id``.
+
+    Cells may hold line breaks, so a file is one task; the writer keeps files small.
+    """
     schema = T.StructType([*CLEAN.fields, T.StructField("batch_id", T.StringType())])
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
+        .option("multiLine", True)
         .csv(paths)
         .select("*", F.col("_metadata.file_block_start").alias("_start"))
-        .withColumn("ord", _POSITION)
+        .withColumn("ord", _position())
         .drop("_start")
     )
 

@@ -20,13 +20,18 @@ def key_below(path: Column, root: str) -> Column:
 
 
 def list_objects(
-    spark: SparkSession, root: str, prefix: str = "", name_filter: str | None = None
+    spark: SparkSession,
+    root: str,
+    prefix: str = "",
+    name_filter: str | None = None,
+    paths: list[str] | None = None,
 ) -> DataFrame:
-    """(key, size, last_modified) of every file below ``root``/``prefix``. Not capped."""
+    """(key, size, last_modified) of every file below ``root``/``prefix``, or of the files named
+    in ``paths``. Not capped."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
-    found = reader.load(f"{root.rstrip('/')}/{prefix}".rstrip("/")).drop("content")
+    found = reader.load(paths or f"{root.rstrip('/')}/{prefix}".rstrip("/")).drop("content")
     return found.select(
         key_below(F.col("path"), root).alias("key"),
         F.col("length").alias("size"),

@@ -20,12 +20,21 @@ def read_curated(
     return reader.parquet(*[f"{root.rstrip('/')}/{key}" for key in objects])
 
 
+def with_file(curated: DataFrame) -> DataFrame:
+    """Add ``_file`` and ``_row``: the object a row came from and its place there."""
+    return curated.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.row_index").alias("_row"),
+    )
+
+
 def curated_objects(curated: DataFrame, root: str) -> DataFrame:
-    """(phase3_batch_id, curated_object_keys): which files hold each batch.
+    """(phase3_batch_id, curated_object_keys) of rows with ``_file``: which objects hold a batch.
 
     The pairs are made distinct map-side; a batch has as many keys as it has files.
     """
-    path = decoded_path(F.col("_metadata.file_path"))
+    path = decoded_path(F.col("_file"))
     pairs = curated.select("phase3_batch_id", key_below(path, root).alias("key")).distinct()
     return pairs.groupBy("phase3_batch_id").agg(
         F.array_sort(F.collect_list("key")).alias("curated_object_keys")
