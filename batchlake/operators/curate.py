@@ -76,10 +76,15 @@ def tag_curation(
 
 
 def curated_rows(
-    tagged: DataFrame, date_column: str | None = None, batch: str = "batch_id", order: str = "ord"
+    tagged: DataFrame,
+    date_column: str | None = None,
+    batch: str = "batch_id",
+    order: str = "ord",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Curated rows in table order. Extra text columns pass through with blanks collapsed."""
-    fixed = {batch, order, "error_reason", *PARTITIONS, *REQUIRED}
+    """Curated rows in table order. Extra text columns pass through with blanks collapsed; columns
+    named in ``keep`` come along untouched at the end."""
+    fixed = {batch, order, "error_reason", *keep, *PARTITIONS, *REQUIRED}
     extras = _payload(tagged, fixed)
     kept = [
         (
@@ -99,6 +104,7 @@ def curated_rows(
         *LINEAGE,
         *kept,
         *PARTITIONS,
+        *keep,
     )
 
 
