@@ -13,7 +13,7 @@ from batchlake import seed
 from batchlake.functions import dates, digests, numbers, text
 from batchlake.operators import checks, curate, load, merge, validate
 from batchlake.plans import curation, ingest, lake, loading, monitor, order_checks, reports
-from batchlake.session import run_dir
+from batchlake.session import materialize, run_dir
 from batchlake.sinks import writers
 from batchlake.sources import delimited, listing, tables
 from batchlake.streaming import jobs
@@ -50,12 +50,22 @@ def tagged_rows(spark, sf):
     return validate.tag_rows(seed.raw_rows(spark, sf))
 
 
+def stored_rows(spark, sf):
+    """The tagged rows as the arrival job leaves them: a table in the shared folder. Everything
+    downstream reads them more than once."""
+    return materialize(tagged_rows(spark, sf), "tagged")
+
+
 def manifests(spark, sf):
     return seed.manifest_rows(tagged_rows(spark, sf))
 
 
 def curation_rows(spark, sf):
-    tagged = tagged_rows(spark, sf)
+    tagged = stored_rows(spark, sf)
+    return _curation(tagged)
+
+
+def _curation(tagged):
     clean = validate.clean_rows(tagged).drop("ingested_at")
     return curate.tag_curation(curate.with_lineage(clean, seed.manifest_rows(tagged), None))
 
@@ -64,10 +74,15 @@ def curated(spark, sf, keep=()):
     return curate.curated_rows(curation_rows(spark, sf), keep=keep)
 
 
+def stored_curated(spark, sf):
+    """The curated rows as the curation job leaves them, for uses that read them twice."""
+    return materialize(curated(spark, sf), "curated")
+
+
 def load_rows(spark, sf):
-    """Curated rows with their load verdict."""
+    """Curated rows with their load verdict, as a stored table."""
     rows = curated(spark, sf, keep=("ord",)).withColumn("batch_id", F.col("phase3_batch_id"))
-    return load.tag_load(rows)
+    return materialize(load.tag_load(materialize(rows, "curated")), "load-rows")
 
 
 def staged(spark, sf):
@@ -90,18 +105,18 @@ def load_time(batch="batch_id"):
     )
 
 
-def customers_before(spark, sf):
-    """Customers table after the early batches."""
-    rows = early(staged(spark, sf))
+def customers_before(rows):
+    """Customers table after the early batches of the staged rows."""
+    rows = early(rows)
     changes = load.customer_rows(rows, load_time(), F.col("batch_id").alias("seq"))
     empty = changes.drop("seq").limit(0)
     return merge.fold_upserts(empty, changes, ["customer_id"], "seq", created="created_at")
 
 
-def customers_after(spark, sf):
-    changes = load.customer_rows(late(staged(spark, sf)), load_time(), F.col("batch_id").alias("seq"))
+def customers_after(rows):
+    changes = load.customer_rows(late(rows), load_time(), F.col("batch_id").alias("seq"))
     return merge.fold_upserts(
-        customers_before(spark, sf), changes, ["customer_id"], "seq", created="created_at"
+        customers_before(rows), changes, ["customer_id"], "seq", created="created_at"
     )
 
 
@@ -116,14 +131,13 @@ def raw_load(spark, sf):
 def audit(spark, sf):
     """Audit rows of the late batches, some of them failed or without a start."""
     number = F.substring("batch_id", 2, 2).cast("int")
+    judged = load_rows(spark, sf)
+    rows = load.staged_rows(judged)
     counts = load.merge_counts(
-        late(staged(spark, sf)).withColumn("batch_seq", F.col("batch_id")),
-        customers_before(spark, sf),
+        late(rows).withColumn("batch_seq", F.col("batch_id")), customers_before(rows)
     )
-    failed = (
-        load_rows(spark, sf)
-        .groupBy("batch_id")
-        .agg(F.count_if(F.col("error_message").isNotNull()).alias("records_failed"))
+    failed = judged.groupBy("batch_id").agg(
+        F.count_if(F.col("error_message").isNotNull()).alias("records_failed")
     )
     runs = manifests(spark, sf).select(
         F.col("phase1_batch_id").alias("batch_id"),
@@ -281,7 +295,7 @@ def date_standardise(spark, sf):
 @query
 def curation_with_dates(spark, sf):
     """Reason precedence with a date column: sales before date."""
-    dated = _dated(spark, sf)
+    dated = materialize(_dated(spark, sf), "tagged")
     clean = validate.clean_rows(dated).drop("ingested_at")
     rows = curate.with_lineage(clean, seed.manifest_rows(dated), None)
     tagged = curate.tag_curation(rows, "signup_date")
@@ -291,7 +305,7 @@ def curation_with_dates(spark, sf):
 @query
 def schema_mismatch(spark, sf):
     """A configured date column the files do not have: good sales are a schema mismatch."""
-    tagged = tagged_rows(spark, sf)
+    tagged = stored_rows(spark, sf)
     clean = validate.clean_rows(tagged).drop("ingested_at")
     rows = curate.with_lineage(clean, seed.manifest_rows(tagged), None)
     return (
@@ -321,18 +335,18 @@ def quality_metrics(spark, sf):
 
 @query
 def batch_checksum(spark, sf):
-    return digests.batch_digests(curated(spark, sf), "phase3_batch_id")
+    return digests.batch_digests(stored_curated(spark, sf), "phase3_batch_id")
 
 
 @query
 def serving_batches(spark, sf):
-    return curate.serving_batches(curated(spark, sf))
+    return curate.serving_batches(stored_curated(spark, sf))
 
 
 @query
 def manifest_checksum_verify(spark, sf):
     """Hand-offs, some tampered with or for a batch that does not exist, against the rows."""
-    rows = curated(spark, sf)
+    rows = stored_curated(spark, sf)
     number = F.substring("phase3_batch_id", 2, 2).cast("int")
     made = curate.serving_batches(rows).select(
         F.when(number % 16 == 9, F.concat(F.lit("x"), "phase3_batch_id"))
@@ -414,13 +428,15 @@ def pre_merge_passes(spark, sf):
 
 @query
 def merge_counts(spark, sf):
-    rows = late(staged(spark, sf)).withColumn("batch_seq", F.col("batch_id"))
-    return load.merge_counts(rows, customers_before(spark, sf))
+    rows = staged(spark, sf)
+    return load.merge_counts(
+        late(rows).withColumn("batch_seq", F.col("batch_id")), customers_before(rows)
+    )
 
 
 @query
 def upsert_customers(spark, sf):
-    out = customers_after(spark, sf)
+    out = customers_after(staged(spark, sf))
     return out.withColumns(
         {c: text_time(c) for c in ("processed_timestamp", "created_at", "updated_at")}
     )
@@ -457,7 +473,8 @@ def post_merge_reconcile(spark, sf):
 @query
 def missing_references(spark, sf):
     """Staged late rows whose customer the early load does not know."""
-    return load.missing_references(late(staged(spark, sf)), customers_before(spark, sf))
+    rows = staged(spark, sf)
+    return load.missing_references(late(rows), customers_before(rows))
 
 
 @query
@@ -577,10 +594,11 @@ def lineage_counts(spark, sf):
 
 @query
 def layer_reconcile(spark, sf):
-    rows = late(staged(spark, sf))
-    return reports.layer_reconcile(
-        manifests(spark, sf), curation_rows(spark, sf), load.sales_rows(rows, load_time())
-    )
+    tagged = stored_rows(spark, sf)
+    rows = _curation(tagged)
+    made = curate.curated_rows(rows, keep=("ord",)).withColumn("batch_id", F.col("phase3_batch_id"))
+    served = load.sales_rows(late(load.staged_rows(load.tag_load(made))), load_time())
+    return reports.layer_reconcile(seed.manifest_rows(tagged), rows, served)
 
 
 # ---- zones -----------------------------------------------------------------------------------

@@ -100,6 +100,11 @@ def manifest_rows(tagged: DataFrame) -> DataFrame:
 
 # ---- order domain ----------------------------------------------------------------------------
 
+def _cents(amount: str) -> str:
+    """An amount as DECIMAL(15,2), half cents up, computed the same way by every engine."""
+    return f"cast(cast(cast(floor(({amount}) * 1e2 + 5e-1) as bigint) as decimal(17,0)) * 0.01 as decimal(15,2))"
+
+
 ORDER_DOMAIN: dict[str, tuple[str, dict[str, str]]] = {
     "regions": (
         "region",
@@ -192,8 +197,8 @@ ORDER_DOMAIN: dict[str, tuple[str, dict[str, str]]] = {
                 "case when o_orderstatus = 'F' then 'DELIVERED' when o_orderstatus = 'O' "
                 "then 'SHIPPED' else 'PENDING' end"
             ),
-            "order_total": "cast(o_totalprice as decimal(15,2))",
-            "tax_amount": "cast(o_totalprice * 5e-2 as decimal(15,2))",
+            "order_total": _cents("o_totalprice"),
+            "tax_amount": _cents("o_totalprice * 5e-2"),
             "shipping_cost": "cast(o_orderkey % 50 as decimal(15,2))",
         },
     ),
@@ -210,9 +215,11 @@ ORDER_DOMAIN: dict[str, tuple[str, dict[str, str]]] = {
             "unit_price": "l_extendedprice / l_quantity",
             "discount_pct": "case when l_linenumber = 7 then null else l_discount * 1e2 end",
             "line_total": (
-                "cast(case when l_linenumber = 7 then l_extendedprice "
-                "else l_extendedprice * (1e0 - l_discount) end "
-                "+ case when l_orderkey % 97 = 3 then 1e0 else 0e0 end as decimal(15,2))"
+                _cents(
+                    "case when l_linenumber = 7 then l_extendedprice "
+                    "else l_extendedprice * (1e0 - l_discount) end "
+                    "+ case when l_orderkey % 97 = 3 then 1e0 else 0e0 end"
+                )
             ),
         },
     ),
@@ -226,7 +233,7 @@ ORDER_DOMAIN: dict[str, tuple[str, dict[str, str]]] = {
             ),
             "payment_amount": (
                 "case when o_orderkey % 409 = 6 then null else "
-                "cast(o_totalprice as decimal(15,2)) + cast(o_totalprice * 5e-2 as decimal(15,2)) "
+                f"{_cents('o_totalprice')} + {_cents('o_totalprice * 5e-2')} "
                 "+ cast(o_orderkey % 50 as decimal(15,2)) "
                 "+ cast(case when o_orderkey % 103 = 5 then 1 else 0 end as decimal(15,2)) end"
             ),
