@@ -23,16 +23,20 @@ def is_number(c: Column) -> Column:
 
 
 def is_whole(d: Column) -> Column:
-    """Whether a double has no fraction and is finite. NULL stays NULL."""
-    return (d == F.rint(d)) & (F.abs(d) != F.lit(float("inf")))
+    """Whether a double has no fraction and is finite (infinity leaves NaN). NULL stays NULL."""
+    return d % 1 == 0
 
 
-def parse_whole(c: Column) -> Column:
-    """Whole number as BIGINT, else NULL. Values beyond BIGINT are NULL too."""
-    d = parse_number(c)
+def whole(d: Column) -> Column:
+    """BIGINT of a double without fraction, else NULL. Values beyond BIGINT are NULL too."""
     return F.when(is_whole(d), d.try_cast("bigint"))
 
 
+def parse_whole(c: Column) -> Column:
+    """Whole number of a text as BIGINT, else NULL."""
+    return whole(parse_number(c))
+
+
 def sales_category(sales: Column) -> Column:
     """Below 500 Low, below 1000 Medium, else High."""
     return F.when(sales < 500, "Low").when(sales < 1000, "Medium").when(sales >= 1000, "High")

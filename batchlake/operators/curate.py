@@ -16,6 +16,8 @@ INVALID_SALES = "invalid_sales"
 SCHEMA_MISMATCH = "schema_mismatch"
 DATE_PARSE_ERROR = "date_parse_error"
 
+VALUE = "sales_value"  # the parsed sales of a tagged row
+
 
 def with_lineage(
     rows: DataFrame,
@@ -51,10 +53,12 @@ def with_lineage(
     ).drop("_rows")
 
 
-def error_reason(columns: list[str], date_column: str | None) -> Column:
-    """Why a row cannot be curated, NULL if it can: bad sales, then no date column, then bad date."""
-    bad_sales = numbers.parse_whole(text.collapse(F.col("sales"))).isNull()
-    reason = F.when(bad_sales, INVALID_SALES)
+def error_reason(sales: Column, columns: list[str], date_column: str | None) -> Column:
+    """Why a row cannot be curated, NULL if it can: bad sales, then no date column, then bad date.
+
+    ``sales`` is the parsed whole number, NULL where there is none.
+    """
+    reason = F.when(sales.isNull(), INVALID_SALES)
     if date_column and date_column not in columns:
         reason = reason.otherwise(SCHEMA_MISMATCH)
     elif date_column:
@@ -70,9 +74,17 @@ def _payload(rows: DataFrame, extra: set[str]) -> list[str]:
 def tag_curation(
     rows: DataFrame, date_column: str | None = None, batch: str = "batch_id", order: str = "ord"
 ) -> DataFrame:
-    """Add ``error_reason`` and the y/m/d partition columns to rows with lineage."""
-    out = rows.withColumn("error_reason", error_reason(_payload(rows, {batch, order}), date_column))
-    return out.withColumns(dates.partition_parts(F.col("ingestion_timestamp")))
+    """Add the parsed ``sales_value``, ``error_reason`` and the y/m/d partition columns to rows
+    with lineage."""
+    columns = _payload(rows, {batch, order})
+    # One step per use: the optimizer keeps a costly column that is used twice in its own step.
+    return (
+        rows.withColumn("_number", numbers.parse_number(text.ustrip(F.col("sales"))))
+        .withColumn(VALUE, numbers.whole(F.col("_number")))
+        .withColumn("error_reason", error_reason(F.col(VALUE), columns, date_column))
+        .withColumns(dates.partition_parts(F.col("ingestion_timestamp")))
+        .drop("_number")
+    )
 
 
 def curated_rows(
@@ -84,7 +96,7 @@ def curated_rows(
 ) -> DataFrame:
     """Curated rows in table order. Extra text columns pass through with blanks collapsed; columns
     named in ``keep`` come along untouched at the end."""
-    fixed = {batch, order, "error_reason", *keep, *PARTITIONS, *REQUIRED}
+    fixed = {batch, order, "error_reason", VALUE, *keep, *PARTITIONS, *REQUIRED}
     extras = _payload(tagged, fixed)
     kept = [
         (
@@ -94,7 +106,7 @@ def curated_rows(
         ).alias(c)
         for c in extras
     ]
-    sales = numbers.parse_whole(text.collapse(F.col("sales")))
+    sales = F.col(VALUE)
     return tagged.where("error_reason IS NULL").select(
         text.collapse(F.col("customer_id")).alias("customer_id"),
         text.normalize_name(F.col("name")).alias("name"),
@@ -112,7 +124,7 @@ def quarantine_rows(
     tagged: DataFrame, batch: str = "batch_id", order: str = "ord"
 ) -> DataFrame:
     """Quarantined rows with the untouched record as a map."""
-    own = _payload(tagged, {batch, order, "error_reason", *PARTITIONS})
+    own = _payload(tagged, {batch, order, "error_reason", VALUE, *PARTITIONS})
     pairs = [x for c in own for x in (F.lit(c), F.col(c).cast("string"))]
     return tagged.where("error_reason IS NOT NULL").select(
         F.create_map(*pairs).alias("raw_record"),
