@@ -31,7 +31,7 @@ def standardize_date(c: Column, layouts: list[str] | None = None) -> Column:
         day = F.try_to_date(text, pattern)
         if pattern.endswith("/yy"):
             day = F.when(F.year(day) >= 2069, F.add_months(day, -1200)).otherwise(day)
-        tried.append(F.when(text.rlike(guard), day))
+        tried.append(F.when(text.rlike(guard) & (F.year(day) >= 1), day))
     return F.coalesce(*tried)
 
 

@@ -129,6 +129,9 @@ def load(
         _attempt_rows(op.already_loaded(asked, audit), now, "SKIPPED"), "skipped"
     )
     todo = materialize(op.skip_loaded(asked, audit), "to-load")
+    if todo.isEmpty():
+        _note(serving, tried)
+        return spark.createDataFrame([], schemas.AUDIT)
     try:
         rows = _load_batches(spark, lake, serving, todo, tried, run_ts, exact_rows)
     except Exception:
@@ -249,13 +252,17 @@ def _load_batches(
         "batch_id",
     )
     batch_errors.write.mode("append").partitionBy("batch_id").parquet(serving.path("load_errors"))
-    everything = rows.unionByName(tried)
-    writers.append(everything, serving.path("attempts"))
-    writers.append(everything.select(_log(everything)), serving.path("logs"))
+    _note(serving, rows.unionByName(tried))
     writers.append(rows, serving.path("audit"))  # commits the run
     return rows
 
 
+def _note(serving: Serving, attempts: DataFrame) -> None:
+    """Append attempts to their table and to the log."""
+    writers.append(attempts, serving.path("attempts"))
+    writers.append(attempts.select(_log(attempts)), serving.path("logs"))
+
+
 def with_load_order(rows: DataFrame, batch: str = "phase3_batch_id") -> DataFrame:
     """Add ``batch_id`` and ``ord``: files of a batch by name, rows by their place in the file.
 

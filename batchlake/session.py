@@ -33,6 +33,9 @@ def build_session(app: str = "batchlake", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -44,9 +47,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="batchlake-")
-    spark.conf.set(CHECKPOINT_DIR, made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="batchlake-")
+    return _LOCAL_DIRS[app]
 
 
 def run_dir(spark: SparkSession, label: str) -> str:

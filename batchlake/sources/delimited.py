@@ -84,7 +84,8 @@ def read_raw(
     if header is not None:
         return _read_group(spark, where, header, False, root, name_filter), _no_failures(spark)
 
-    profile = profile_files(spark, where, name_filter)
+    # One row per file; stored, so the text is read once however often the profile is used.
+    profile = materialize(profile_files(spark, where, name_filter), "file-profile")
     # Headers, not files, come to the driver here: one row per distinct header line.
     seen = [
         (r["header"], r["multi_line"], _split(r["header"]))
