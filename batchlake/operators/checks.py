@@ -298,6 +298,30 @@ def summarize(report: DataFrame) -> DataFrame:
     )
 
 
+def report_document(
+    report: DataFrame, facts: dict[str, DataFrame], run_id: str, run_ts: str
+) -> DataFrame:
+    """The whole run as one row: status, counts, checks by section, and further result tables
+    (row counts, checksums). Its size is that of the suite, not of the data."""
+    entry = F.struct("check_name", "status", "issue_count", "error")
+    sections = (
+        report.groupBy("section")
+        .agg(F.array_sort(F.collect_list(entry)).alias("checks"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("section", "checks"))).alias("results"))
+    )
+    document = summarize(report).select(
+        F.lit(run_id).alias("run_id"),
+        F.lit(run_ts).alias("validation_timestamp"),
+        "overall_status",
+        F.struct("total_checks", "passed_checks", "failed_checks", "errors").alias("summary"),
+        sections.scalar().alias("results"),
+    )
+    for name, rows in facts.items():
+        listed = rows.agg(F.array_sort(F.collect_list(F.struct(*rows.columns))))
+        document = document.withColumn(name, listed.scalar())
+    return document
+
+
 def summary_metrics(summary: DataFrame) -> DataFrame:
     """The four published figures: status as 1/0 and total, passed and failed checks."""
     return _unpivot(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from batchlake.operators import curate as op
 from batchlake.plans.lake import Lake
 from batchlake.plans.monitor import pipeline_metrics
-from batchlake.session import materialize
+from batchlake.session import exists, materialize
 from batchlake.sinks import writers
 from batchlake.sources.delimited import read_clean
 from batchlake.sources.manifests import below_prefix, read_manifests
@@ -30,12 +30,6 @@ def pending(spark: SparkSession, lake: Lake, prefix: str = "") -> DataFrame:
     return manifests.join(handed, "phase1_batch_id", "left_anti")
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder exists on its file system."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 def curate(
     spark: SparkSession,
     lake: Lake,

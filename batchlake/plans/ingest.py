@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from batchlake.functions import dates, text
 from batchlake.operators import validate
 from batchlake.plans.lake import Lake
-from batchlake.session import materialize
+from batchlake.session import exists, materialize
 from batchlake.sinks import writers
 from batchlake.sources.delimited import read_raw
 from batchlake.sources.listing import list_objects
+from batchlake.sources.manifests import read_manifests
 
 PIPELINE_VERSION = "1.1.0"
 MAX_ATTEMPTS = 24
@@ -76,7 +77,6 @@ def ingest(
     raw, failed = read_raw(spark, root, paths, header)
     rows = materialize(raw.drop("raw_key"), "raw-rows")
     tagged = materialize(validate.tag_rows(rows), "tagged-rows")
-    failed = materialize(failed, "failed-files")
 
     writers.write_delimited(validate.clean_rows(tagged), lake.zone("clean"))
     writers.write_delimited(validate.rejected_rows(tagged), lake.zone("rejected"))
@@ -103,8 +103,12 @@ def ingest(
 def redrive(spark: SparkSession, lake: Lake, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     """(raw_key, attempts) of failed files that may be tried again and have no manifest yet."""
     log = spark.read.parquet(lake.zone("failed_files"))
-    return (
+    again = (
         log.groupBy("raw_key")
         .agg(F.count(F.lit(1)).alias("attempts"), F.max("reason").alias("reason"))
         .where(F.col("attempts") < max_attempts)
     )
+    if not exists(spark, lake.zone("metadata")):
+        return again
+    done = read_manifests(spark, lake.zone("metadata")).select("raw_key")
+    return again.join(done, "raw_key", "left_anti")

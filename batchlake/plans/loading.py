@@ -17,10 +17,9 @@ from batchlake import schemas
 from batchlake.functions import dates, digests
 from batchlake.operators import load as op
 from batchlake.operators.merge import fold_upserts, last_per_key
-from batchlake.plans.curation import exists
 from batchlake.plans.lake import Lake
 from batchlake.plans.monitor import log_line
-from batchlake.session import materialize
+from batchlake.session import exists, materialize
 from batchlake.sinks import writers
 from batchlake.sources.tables import read_curated, with_file
 

@@ -470,6 +470,12 @@ def post_merge_reconcile(spark, sf):
     return load.post_merge_checks(rows, fact)
 
 
+@query
+def duplicate_customers(spark, sf):
+    """Customers the serving table holds more than once after the merge: none."""
+    return checks.duplicate_keys(customers_after(staged(spark, sf)), "customer_id")
+
+
 @query
 def missing_references(spark, sf):
     """Staged late rows whose customer the early load does not know."""
@@ -633,6 +639,19 @@ def new_objects(spark, sf):
     return lake.new_objects(after, before).select("zone", "key", "size")
 
 
+@query
+def zone_freshness(spark, sf):
+    """Whether the curated zone has an object no more than 30 s older than each of two times."""
+    curated_objects = objects(spark, sf).where("zone = 'curated'")
+    parts = [
+        lake.freshness(curated_objects, F.lit(at).cast("timestamp")).select(
+            F.lit(at).alias("batch_ts"), "object_count", text_time("latest"), "fresh"
+        )
+        for at in ("2023-11-14 22:13:20", "2023-12-31 00:00:00")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 # ---- clean and curated reports ---------------------------------------------------------------
 
 
@@ -846,6 +865,26 @@ def _(spark, t):
     return checks.summary_metrics(checks.summarize(report))
 
 
+@_orders("quality_report_document")
+def _(spark, t):
+    """The report as a document: its summary, and the size of each part."""
+    report = checks.run_suite(spark, order_checks.SUITE, t)
+    facts = {
+        "row_counts": checks.table_counts(t),
+        "checksums": checks.table_checksums(order_checks.CHECKSUM_KEYS, t),
+    }
+    document = checks.report_document(report, facts, "run-1", "2026-07-01T00:00:00Z")
+    return document.select(
+        "run_id",
+        "overall_status",
+        "summary.total_checks",
+        "summary.failed_checks",
+        *[F.size(F.col("results")[s]).alias(s) for s in ("primary_keys", "foreign_keys", "null_constraints", "data_consistency")],
+        F.size("row_counts").alias("row_counts"),
+        F.col("checksums")[0]["checksum"].alias("first_checksum"),
+    )
+
+
 @_orders("quality_report_faulty")
 def _(spark, t):
     """One table gone, one column gone: their checks are errors, the others still run."""

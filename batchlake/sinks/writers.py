@@ -67,5 +67,11 @@ def write_batches(rows: DataFrame, path: str, batch: str = "batch_id") -> None:
     _partitioned(rows, [batch]).parquet(path)
 
 
+def write_report(document: DataFrame, path: str) -> None:
+    """A check report, as ``report_document`` makes it, as one JSON file below ``run_id=...``."""
+    body = document.select("*", F.col("run_id").alias("run"))
+    _partitioned(body, ["run"]).json(path)
+
+
 def append(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)

@@ -60,7 +60,7 @@ def profile_files(spark: SparkSession, paths: list[str], name_filter: str = "*.c
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     cells = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
     return lines.groupBy("file").agg(
-        F.regexp_replace(F.min_by("value", "_pos"), "^﻿", "").alias("header"),
+        F.regexp_replace(F.min_by("value", "_pos"), r"^\x{feff}", "").alias("header"),
         F.max(cells).alias("cells"),
         F.max(quotes % 2 == 1).alias("multi_line"),
     )
@@ -87,15 +87,12 @@ def read_raw(
     # One row per file; stored, so the text is read once however often the profile is used.
     profile = materialize(profile_files(spark, where, name_filter), "file-profile")
     # Headers, not files, come to the driver here: one row per distinct header line.
-    seen = [
-        (r["header"], r["multi_line"], _split(r["header"]))
-        for r in profile.select("header", "multi_line").distinct().collect()
-    ]
-    widths = [(line, len(cols), ", ".join(missing_columns(cols))) for line, _, cols in seen]
+    lines = [r["header"] for r in profile.select("header").distinct().collect()]
     known = spark.createDataFrame(
-        sorted(set(widths)), "header string, width int, missing string"
+        [(h, len(_split(h)), ", ".join(missing_columns(_split(h)))) for h in sorted(lines)],
+        "header string, width int, missing string",
     )
-    judged = profile.join(F.broadcast(known), "header").withColumn(
+    judged = profile.join(known, "header").withColumn(
         "reason",
         F.when(
             F.col("missing") != "", F.concat(F.lit("missing required columns: "), F.col("missing"))
@@ -109,17 +106,17 @@ def read_raw(
     )
     failed = failed.unionByName(_empty_files(spark, where, name_filter, root, profile))
 
+    # File names only, as the readers' own file listings hold them too.
+    good = judged.where("reason IS NULL").select(
+        "header", "multi_line", decoded_path(F.col("file")).alias("file")
+    )
+    groups: dict[tuple[str, bool], list[str]] = {}
+    for r in good.collect():
+        groups.setdefault((r["header"], r["multi_line"]), []).append(r["file"])
+
     frames = []
-    for line, multi_line, cols in sorted(seen):
-        if missing_columns(cols):
-            continue
-        # File names only, as the reader's own file listing holds them too.
-        files = judged.where(
-            (F.col("header") == line) & (F.col("multi_line") == multi_line) & F.col("reason").isNull()
-        ).select(decoded_path(F.col("file")).alias("file"))
-        names = sorted(r["file"] for r in files.toLocalIterator())
-        if not names:
-            continue
+    for (line, multi_line), names in sorted(groups.items()):
+        names, cols = sorted(names), _split(line)
         if multi_line:
             rows, long = _read_multi_line(spark, names, cols, root, name_filter)
             failed = failed.unionByName(long)

@@ -253,3 +253,28 @@ def test_streams_give_the_batch_result(spark, lake, tmp_path_factory):
     assert facts(Serving(spark, lake)) == facts(Serving(spark, other))
     people = lambda s: sorted(r.customer_id for r in s.customers().collect())
     assert people(Serving(spark, lake)) == people(Serving(spark, other))
+
+
+def test_curated_objects_read_back_one_batch(spark, lake):
+    put(lake, {"a.csv": FILES["uploads/a.csv"], "b.csv": FILES["uploads/sub dir/b+c.csv"]})
+    ingest.ingest(spark, lake, T0)
+    curation.curate(spark, lake, T1, max_invalid_percent=25)
+    for batch in spark.read.parquet(lake.zone("serving_batches")).collect():
+        rows = read_curated(spark, lake.zone("curated"), batch.curated_object_keys)
+        assert rows.count() == batch.records_written
+        assert {r.phase3_batch_id for r in rows.collect()} == {batch.phase3_batch_id}
+
+
+def test_report_is_written_as_json(spark, tmp_path):
+    from batchlake.operators import checks
+    from batchlake.sinks import writers
+
+    table = spark.createDataFrame([(1,), (1,)], "id int")
+    report = checks.run_suite(spark, checks.Suite(primary_keys=[("t", "id")]), {"t": table})
+    facts = {"row_counts": checks.table_counts({"t": table})}
+    document = checks.report_document(report, facts, "r1", T0)
+    writers.write_report(document, str(tmp_path / "reports"))
+    back = spark.read.json(str(tmp_path / "reports")).first()
+    assert back.overall_status == "FAIL" and back.summary.failed_checks == 1
+    assert back.results.primary_keys[0].check_name == "t.id"
+    assert back.row_counts[0].row_count == 2
