@@ -219,11 +219,16 @@ def merge_counts(staged: DataFrame, customers: DataFrame) -> DataFrame:
     """Rows each batch inserts and updates. Must be taken before the merge.
 
     Batches load in ascending batch order, so a customer new to the table is inserted by the first
-    staged batch that has it and updated by every later one.
+    staged batch that has it and updated by every later one. Of ``customers`` only the key column
+    is read (keys may repeat), and it is first cut down to the staged keys: where those are few,
+    adaptive execution broadcasts them and the large table is scanned without a shuffle.
     """
     firsts = staged.groupBy("customer_id").agg(F.min("batch_seq").alias("batch_seq"))
+    known = customers.select("customer_id").join(
+        firsts.select("customer_id"), "customer_id", "left_semi"
+    )
     new = (
-        firsts.join(customers.select("customer_id"), "customer_id", "left_anti")
+        firsts.join(known, "customer_id", "left_anti")
         .groupBy("batch_seq")
         .agg(F.count(F.lit(1)).alias("inserted"))
     )

@@ -20,9 +20,16 @@ class QualityGateError(RuntimeError):
     handed on."""
 
 
-def pending(spark: SparkSession, lake: Lake, prefix: str = "") -> DataFrame:
-    """Manifests without a hand-off row yet."""
-    manifests = below_prefix(read_manifests(spark, lake.zone("metadata")), prefix)
+MAX_NAMED = 1_000  # batch folders passed to a scan one by one
+
+
+def pending(
+    spark: SparkSession, lake: Lake, prefix: str = "", manifests: DataFrame | None = None
+) -> DataFrame:
+    """Manifests (all, or of ``manifests``) without a hand-off row yet."""
+    if manifests is None:
+        manifests = read_manifests(spark, lake.zone("metadata"))
+    manifests = below_prefix(manifests, prefix)
     done = lake.zone("serving_batches")
     if not exists(spark, done):
         return manifests
@@ -39,17 +46,23 @@ def curate(
     max_invalid_percent: float = op.MAX_INVALID_PERCENT,
     environment: str = "dev",
     job_name: str = "curate",
+    manifests: DataFrame | None = None,
 ) -> dict[str, int]:
-    """Curate every batch not handed on yet; returns rows read, written and quarantined.
+    """Curate every batch (or those of ``manifests``) not handed on yet; returns rows read, written
+    and quarantined.
 
-    Only new batches are read: the batch is a folder of the clean zone, so the join with the
-    pending manifests prunes folders. Each batch replaces its own partitions. The gate looks at
-    the whole run, after the outputs and metrics are written.
+    Only new batches are read: the batch is a folder of the clean zone. Few folders are named to
+    the scan, many are pruned by the join with the pending manifests. Each batch replaces its own
+    partitions. The gate looks at the whole run, after the outputs and metrics are written.
     """
-    manifests = materialize(pending(spark, lake, prefix), "pending")
-    if not exists(spark, lake.zone("clean")):
+    manifests = materialize(pending(spark, lake, prefix, manifests), "pending")
+    filled = manifests.where("valid_records > 0").select("phase1_batch_id")
+    named = [r[0] for r in filled.limit(MAX_NAMED + 1).collect()]
+    if not named:
         return {"rows_read": 0, "rows_written": 0, "rows_quarantined": 0}
-    clean = read_clean(spark, lake.zone("clean"))
+    clean = read_clean(
+        spark, lake.zone("clean"), sorted(named) if len(named) <= MAX_NAMED else None
+    )
     ids = manifests.select(F.col("phase1_batch_id").alias("batch_id"))
     clean = clean.join(ids, "batch_id", "left_semi")
     rows = op.with_lineage(clean, manifests, run_ts)

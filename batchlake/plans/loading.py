@@ -24,6 +24,7 @@ from batchlake.sinks import writers
 from batchlake.sources.tables import read_curated, with_file
 
 MAX_ATTEMPTS = 3
+MAX_NAMED = 10_000  # object names passed to a scan one by one
 
 _CHANGES = T.StructType([*schemas.CUSTOMERS.fields, T.StructField("load_seq", T.StringType())])
 _COMPACTIONS = "version bigint, cutoff string"
@@ -73,14 +74,17 @@ class Serving:
 
     def customers(self) -> DataFrame:
         """One row per customer: the base snapshot with all later committed changes folded in."""
+        base, later = self._parts()
+        return fold_upserts(base, later, ["customer_id"], "load_seq", created="created_at")
+
+    def customer_keys(self) -> DataFrame:
+        """Ids of all customers, possibly repeated; nothing is folded for it."""
+        base, later = self._parts()
+        return base.select("customer_id").unionByName(later.select("customer_id"))
+
+    def _parts(self) -> tuple[DataFrame, DataFrame]:
         base, cutoff = self._base()
-        return fold_upserts(
-            base,
-            self.changes().where(F.col("load_seq") > cutoff),
-            ["customer_id"],
-            "load_seq",
-            created="created_at",
-        )
+        return base, self.changes().where(F.col("load_seq") > cutoff)
 
     def _base(self) -> tuple[DataFrame, str]:
         log = self._read("compactions", _COMPACTIONS)
@@ -152,7 +156,7 @@ def _load_batches(
     exact_rows: int,
 ) -> DataFrame:
     now = F.lit(run_ts).cast("timestamp")
-    curated = with_file(read_curated(spark, lake.zone("curated")))
+    curated = with_file(read_curated(spark, lake.zone("curated"), _objects(todo)))
     mine = curated.join(todo.select("phase3_batch_id"), "phase3_batch_id", "left_semi")
     verdict = materialize(
         op.verify_handoff(todo, mine, exact_rows).select(
@@ -184,7 +188,7 @@ def _load_batches(
     sequenced = staged.withColumn(
         "batch_seq", F.concat_ws("|", F.lit(run_ts), "ingestion_timestamp", "batch_id")
     )
-    counts = materialize(op.merge_counts(sequenced, serving.customers()), "merge-counts")
+    counts = materialize(op.merge_counts(sequenced, serving.customer_keys()), "merge-counts")
     writers.write_batches(
         op.customer_rows(sequenced, now, F.col("batch_seq").alias("load_seq")),
         serving.path("customer_changes"),
@@ -262,6 +266,15 @@ def _note(serving: Serving, attempts: DataFrame) -> None:
     writers.append(attempts.select(_log(attempts)), serving.path("logs"))
 
 
+def _objects(todo: DataFrame) -> list[str] | None:
+    """The curated objects to read, if they are few enough to name; else None for the whole zone,
+    whose batch folders the join then prunes."""
+    if "curated_object_keys" not in todo.columns:
+        return None
+    keys = todo.select(F.explode("curated_object_keys").alias("key")).limit(MAX_NAMED + 1).collect()
+    return sorted({r["key"] for r in keys}) if 0 < len(keys) <= MAX_NAMED else None
+
+
 def with_load_order(rows: DataFrame, batch: str = "phase3_batch_id") -> DataFrame:
     """Add ``batch_id`` and ``ord``: files of a batch by name, rows by their place in the file.
 

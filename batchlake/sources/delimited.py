@@ -196,8 +196,9 @@ def _no_failures(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], FAILED)
 
 
-def read_clean(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Clean files (fixed header) as text columns, with the folder's ``batch_id``.
+def read_clean(spark: SparkSession, root: str, batches: list[str] | None = None) -> DataFrame:
+    """Clean files (fixed header) as text columns, with the folder's ``batch_id``; all of them or
+    only the named batches.
 
     Cells may hold line breaks, so a file is one task; the writer keeps files small.
     """
@@ -208,7 +209,8 @@ def read_clean(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", True)
-        .csv(paths)
+        .option("basePath", root)
+        .csv([f"{root}/batch_id={b}" for b in batches] if batches else root)
         .select("*", F.col("_metadata.file_block_start").alias("_start"))
         .withColumn("ord", _position())
         .drop("_start")

@@ -79,7 +79,11 @@ def curate_stream(
 
     def step(batch: DataFrame, _: int) -> None:
         curation.curate(
-            batch.sparkSession, lake, utc_now(), max_invalid_percent=max_invalid_percent
+            batch.sparkSession,
+            lake,
+            utc_now(),
+            max_invalid_percent=max_invalid_percent,
+            manifests=batch,
         )
 
     return _start(manifests, step, checkpoint, once)
