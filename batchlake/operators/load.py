@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from batchlake.functions import dates, digests, numbers, text
 from batchlake.operators.skew import HOT_ROWS, join_groups
@@ -18,8 +19,11 @@ SALES_NOT_WHOLE = "sales must be a whole number"
 SALES_NEGATIVE = "sales must be non-negative"
 
 
-def sales_error(c: Column) -> Column:
-    """Message for a sales value that cannot be loaded, NULL if it can."""
+def sales_error(c: Column, whole: bool = False) -> Column:
+    """Message for a sales value that cannot be loaded, NULL if it can. ``whole`` tells that the
+    column is BIGINT already, which leaves two faults."""
+    if whole:
+        return F.when(c.isNull(), SALES_MISSING).when(c < 0, SALES_NEGATIVE)
     value = c.cast("string")
     number = numbers.parse_number(value)
     unreal = value.rlike(r"^\s*[+-]?(?i:nan|inf|infinity)\s*$")
@@ -41,7 +45,7 @@ def tag_load(
     duplicate whatever its sales.
     """
     known = text.present(F.col("customer_id"))
-    bad_sales = sales_error(F.col("sales"))
+    bad_sales = sales_error(F.col("sales"), _is_bigint(rows))
     stripped = rows.withColumn("customer_id", F.when(known, text.ustrip(F.col("customer_id"))))
     repeats = (
         stripped.where("customer_id IS NOT NULL")
@@ -63,9 +67,15 @@ def tag_load(
     return joined.withColumn("error_message", message).select(*rows.columns, "error_message")
 
 
+def _is_bigint(rows: DataFrame) -> bool:
+    return rows.schema["sales"].dataType == T.LongType()
+
+
 def staged_rows(tagged: DataFrame) -> DataFrame:
     """The 13 staging columns of the rows without an error."""
-    sales = numbers.parse_whole(F.col("sales").cast("string"))
+    sales = F.col("sales")
+    if not _is_bigint(tagged):
+        sales = numbers.parse_whole(sales.cast("string"))
     return (
         tagged.where("error_message IS NULL")
         .withColumn("sales", sales)

@@ -140,7 +140,7 @@ def manifest_page(
     )
 
 
-def pipeline_summary(manifests: DataFrame) -> DataFrame:
+def processing_summary(manifests: DataFrame) -> DataFrame:
     """Batches, success rate, mean duration over batches that have one, newest run."""
     duration = F.when(F.col("execution_duration_ms") != 0, F.col("execution_duration_ms"))
     rate = percent(F.sum("valid_records"), F.sum("total_records"))

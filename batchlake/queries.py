@@ -589,8 +589,8 @@ def manifest_prefix(spark, sf):
 
 
 @query
-def pipeline_summary(spark, sf):
-    return reports.pipeline_summary(manifests(spark, sf))
+def processing_summary(spark, sf):
+    return reports.processing_summary(manifests(spark, sf))
 
 
 @query
@@ -1103,7 +1103,7 @@ def csv_ingest_roundtrip(spark, sf):
     )
 
 
-def _pipeline(spark, sf) -> lake.Lake:
+def _curated_lake(spark, sf) -> lake.Lake:
     """All three jobs over files of the seed."""
     home = lake.Lake(run_dir(spark, "pipeline"))
     _write_raw(spark, sf, home.zone("raw"))
@@ -1115,7 +1115,7 @@ def _pipeline(spark, sf) -> lake.Lake:
 @query
 def curated_table_roundtrip(spark, sf):
     """Curated files behind a partitioned table, found by partition repair."""
-    home = _pipeline(spark, sf)
+    home = _curated_lake(spark, sf)
     name = "curated_" + home.root.rsplit("-", 1)[-1]
     tables.create_curated_table(spark, name, home.zone("curated"))
     return (
@@ -1146,7 +1146,7 @@ def clean_table_roundtrip(spark, sf):
 
 @query
 def quarantine_files(spark, sf):
-    home = _pipeline(spark, sf)
+    home = _curated_lake(spark, sf)
     from batchlake.schemas import QUARANTINE
 
     return (
@@ -1188,7 +1188,7 @@ def table_catalogue(spark, sf):
 @query
 def zone_files(spark, sf):
     """The listing of files a curation run wrote: rows per zone from real files."""
-    home = _pipeline(spark, sf)
+    home = _curated_lake(spark, sf)
     zones = {z: home.zone(z) for z in ("raw", "clean", "rejected", "metadata", "curated", "quarantine")}
     return (
         listing.list_zones(spark, zones)
@@ -1201,7 +1201,7 @@ def zone_files(spark, sf):
 @query
 def load_roundtrip(spark, sf):
     """Files to serving tables, loaded twice: the second load skips every batch."""
-    home = _pipeline(spark, sf)
+    home = _curated_lake(spark, sf)
     loading.load(spark, home, "2026-07-01T02:00:00Z")
     loading.load(spark, home, "2026-07-01T03:00:00Z")
     serving = loading.Serving(spark, home)
