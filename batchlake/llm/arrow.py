@@ -8,14 +8,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that one step handles at once; a single longer text is a step of its own.
 STEP_BYTES = 4 << 20
 
-#: Words are runs of anything but these six; fixed values of the word rule.
-BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
-
 
 def ship(spark: SparkSession) -> None:
     """Let Python workers import this package also if it is not installed where they run.
@@ -58,6 +56,15 @@ def texts(batch: pa.RecordBatch, text: str) -> list[str]:
     return [t or "" for t in batch.column(text).to_pylist()]
 
 
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All text bytes of a column without nulls, and each text's length in bytes."""
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    if data is None:
+        return np.zeros(0, dtype=np.uint8), np.zeros(len(column), dtype=np.int64)
+    return np.frombuffer(data, dtype=np.uint8)[ends[0] : ends[-1]], np.diff(ends).astype(np.int64)
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions ``starts[i] .. starts[i] + lengths[i] - 1`` of all i, one after the other."""
     total = int(lengths.sum())
@@ -77,3 +84,25 @@ def sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def with_columns(frame: DataFrame, *names: str) -> DataFrame:
     """Only the named columns; whatever else a table holds stays out of the tasks."""
     return frame.select(*[frame[n] for n in names])
+
+
+def span_text(spans: Column, *kinds: str) -> Column:
+    """``kind:start:end`` of an array of spans, comma-joined, of the given kinds or of all."""
+    if kinds:
+        spans = F.filter(spans, lambda s: s["kind"].isin(*kinds))
+    parts = F.transform(
+        spans,
+        lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")),
+    )
+    return F.array_join(parts, ",")
+
+
+def span_count(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
+#: Spans in code points, end exclusive, as operators return them.
+SPANS = "spans array<struct<kind: string, start: bigint, end: bigint>>"
+SPANS_ARROW = pa.list_(
+    pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
+)

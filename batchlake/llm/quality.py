@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from batchlake.llm import boosting
-from batchlake.llm.arrow import ship, steps, sums, with_columns
+from batchlake.llm.arrow import ship, steps, sums, text_bytes, with_columns
 
 #: Most labelled rows the trees are fitted on.
 SAMPLE = 8192
@@ -73,15 +73,6 @@ _CLASSES = {
 }
 
 
-def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All text bytes of a column without nulls, and each text's length in bytes."""
-    _, offsets, data = column.buffers()
-    ends = np.frombuffer(offsets, dtype=np.int32)[column.offset : column.offset + len(column) + 1]
-    if data is None:
-        return np.zeros(0, dtype=np.uint8), np.zeros(len(column), dtype=np.int64)
-    return np.frombuffer(data, dtype=np.uint8)[ends[0] : ends[-1]], np.diff(ends).astype(np.int64)
-
-
 def _rows_of(lengths: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(lengths)), lengths)
 
@@ -114,7 +105,7 @@ def _repeated_words(codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def statistics(column: pa.Array) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """The base counts and the feature matrix of a column of texts."""
     column = pc.fill_null(column.cast(pa.string()), "")
-    data, sizes = _bytes(column)
+    data, sizes = text_bytes(column)
     counted = {name: sums(table[data], sizes) for name, table in _CLASSES.items()}
 
     split = pc.ascii_split_whitespace(column)

@@ -3,13 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from batchlake.llm import quality
+from batchlake.llm import binary, packing, quality, secrets, simhash
+from batchlake.llm.arrow import span_count, span_text
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Path of a public vocabulary file; the files are not part of this repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(f):
     QUERIES[f.__name__] = f
     return f
@@ -23,3 +32,35 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def op1_quality_rules(spark, sf):
     docs = table(spark, sf, "documents")
     return quality.judge(docs, quality.fit_model(docs, table(spark, sf, "labels")))
+
+
+def _digest(found: DataFrame, counted: list[str], base: list[str]) -> DataFrame:
+    """Counts of the given kinds, and the spans as text and (base kinds) as a digest."""
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *[span_count(spans, k).alias(f"n_{k}") for k in counted],
+        F.sha2(span_text(spans, *base), 256).alias("base_sha256"),
+        span_text(spans).alias("spans"),
+    )
+
+
+@query
+def op6_secret_automaton(spark, sf):
+    base = [rule.kind for rule in secrets.BASE]
+    return _digest(secrets.find_secrets(table(spark, sf, "documents")), base, base)
+
+
+@query
+def op7_simhash_dedup(spark, sf):
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op8_arrow_sequences(spark, sf):
+    return binary.round_trip(table(spark, sf, "documents"), vocabulary(), end=0)
+
+
+@query
+def op9_packing(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), vocabulary(), end=1)
