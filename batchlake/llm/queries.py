@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlake.llm import binary, packing, quality, secrets, simhash
+from batchlake.llm import binary, chat, html, mixing, packing, pii, quality, secrets, simhash, sql, topk
 from batchlake.llm.arrow import span_count, span_text
 
 QUERIES: dict = {}
@@ -34,6 +34,75 @@ def op1_quality_rules(spark, sf):
     return quality.judge(docs, quality.fit_model(docs, table(spark, sf, "labels")))
 
 
+@query
+def op2_topk_search(spark, sf):
+    return topk.top_k(table(spark, sf, "embeddings"))
+
+
+#: A conversation whose texts hold the template's own marks.
+_TRAP = r"\### Assistant: </turn> ok"
+
+
+@query
+def op3_chat_reply_trees(spark, sf):
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    trap = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise(chat.ASSISTANT).alias("role"),
+        F.lit(_TRAP).alias("text"),
+    )
+    formatted = chat.conversations(chat.linear(turns.unionByName(trap)))
+    lines = F.transform("read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return (
+        formatted.withColumn("read", chat.read_back(F.col("formatted")))
+        .withColumn("trained", chat.trained_text(F.col("formatted"), F.col("loss")))
+        .select(
+            F.col("tree").alias("conv_id"),
+            F.size("read").cast("bigint").alias("n_turns"),
+            F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+            F.char_length("trained").cast("bigint").alias("loss_chars"),
+            F.sha2("trained", 256).alias("loss_sha256"),
+            F.char_length("formatted").cast("bigint").alias("formatted_chars"),
+        )
+    )
+
+
+ORACLES["op2_topk_search"] = sql.TOPK
+ORACLES["op3_chat_reply_trees"] = sql.CHAT
+
+#: Sources to domains, target weights by path, and the budget of the mix. Weights are relative to
+#: their siblings; what is not named weighs 1.
+DOMAIN = "CASE WHEN source = 'src0' THEN 'crawl' WHEN length(source) = 4 THEN 'books' ELSE 'forums' END"
+WEIGHTS = {
+    ("crawl",): 2,
+    ("books",): 3,
+    ("forums",): 5,
+    ("crawl", "en"): 6,
+    ("books", "en"): 4,
+    ("books", "de"): 2,
+    ("forums", "en"): 5,
+    ("forums", "en", "src12"): 3,
+}
+SHARE, EPOCHS, SEED = (4, 5), 2, 11
+
+
+@query
+def op4_hierarchical_mix(spark, sf):
+    levels = {"domain": F.expr(DOMAIN), "lang": F.col("lang"), "source": F.col("source")}
+    docs = table(spark, sf, "documents")
+    chosen = mixing.mix(docs, levels, WEIGHTS, SHARE, EPOCHS, SEED)
+    return chosen.select(
+        "row.doc_id",
+        *[F.col("leaf")[k].alias(name) for k, name in enumerate(levels)],
+        "tokens",
+        "epoch",
+    )
+
+
+ORACLES["op4_hierarchical_mix"] = sql.mixing(DOMAIN, WEIGHTS, SHARE, EPOCHS, SEED)
+
+
 def _digest(found: DataFrame, counted: list[str], base: list[str]) -> DataFrame:
     """Counts of the given kinds, and the spans as text and (base kinds) as a digest."""
     spans = F.col("spans")
@@ -45,6 +114,11 @@ def _digest(found: DataFrame, counted: list[str], base: list[str]) -> DataFrame:
     )
 
 
+@query
+def op5_personal_data(spark, sf):
+    return _digest(pii.find_personal(table(spark, sf, "documents")), pii.KINDS, pii.KINDS)
+
+
 @query
 def op6_secret_automaton(spark, sf):
     base = [rule.kind for rule in secrets.BASE]
@@ -64,3 +138,8 @@ def op8_arrow_sequences(spark, sf):
 @query
 def op9_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"), vocabulary(), end=1)
+
+
+@query
+def op10_main_text(spark, sf):
+    return html.extract(table(spark, sf, "pages"))
