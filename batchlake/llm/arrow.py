@@ -51,6 +51,11 @@ def steps(
             begin = end
 
 
+def filled(batch: pa.RecordBatch, text: str) -> pa.Array:
+    """The text column of a batch; null counts as empty."""
+    return pa.compute.fill_null(batch.column(text).cast(pa.string()), "")
+
+
 def texts(batch: pa.RecordBatch, text: str) -> list[str]:
     """The texts of a batch; null counts as empty."""
     return [t or "" for t in batch.column(text).to_pylist()]

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from batchlake.llm.arrow import ship, steps, texts, with_columns
+from batchlake.llm.arrow import STEP_BYTES, filled, ship, steps, with_columns
 from batchlake.llm.tokens import encoder, with_end
 from batchlake.session import materialize, run_dir
 
@@ -170,10 +170,10 @@ def write(
         small = work.tokenizer.get_vocab_size() <= 1 << 16 and end < 1 << 16
         kind = pa.uint16() if small else pa.uint32()
         where = f"{path.rstrip('/')}/shard-{number:06d}"
-        for batch in steps(batches, text):
+        for batch in steps(batches, text, 4 * STEP_BYTES):
             keys = batch.column(doc_id)
             shard = shard or _Shard(where, kind, keys.type, length, rows)
-            shard.add(keys, *with_end(*work.encode(texts(batch, text)), end))
+            shard.add(keys, *with_end(*work.encode(filled(batch, text)), end))
         if shard:
             shard.close()
             found = [[number], [where], [shard.documents], [shard.total]]

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from batchlake.llm.arrow import ship, steps, texts, with_columns
+from batchlake.llm.arrow import STEP_BYTES, filled, ship, steps, with_columns
 from batchlake.llm.tokens import encoder, with_end
 
 CAPACITY = 2048
@@ -39,25 +39,44 @@ SCHEMA = (
 
 
 def differencing(sizes: list[int], windows: int) -> list[list[int]]:
-    """Indices of ``sizes`` dealt out over ``windows`` sets of nearly equal sums."""
+    """Indices of ``sizes`` dealt out over ``windows`` sets of nearly equal sums.
+
+    A merge is kept as its two parts and the order of its windows; which window a piece is in is
+    read from the last merge downwards.
+    """
+    if not sizes:
+        return [[] for _ in range(windows)]
     heap = []
     for k, size in enumerate(sizes):
         sums = np.zeros(windows, dtype=np.int64)
         sums[0] = size
-        heap.append((-size, k, sums, [[k]] + [[] for _ in range(windows - 1)]))
+        heap.append((-size, k, sums))
     heapq.heapify(heap)
-    made = len(sizes)
-    while len(heap) > 1:
-        _, _, high, ours = heapq.heappop(heap)
-        _, _, low, theirs = heapq.heappop(heap)
+    merges: list[tuple[int, int, np.ndarray]] = []
+    n = len(sizes)
+    for made in range(n, 2 * n - 1):
+        _, ours, high = heapq.heappop(heap)
+        _, theirs, low = heap[0]
         # Sums are kept in falling order, so the reverse of one opposes the imbalance of the other.
         sums = high + low[::-1]
-        sets = [a + b for a, b in zip(ours, reversed(theirs), strict=True)]
         order = np.argsort(-sums, kind="stable")
         sums = sums[order]
-        heapq.heappush(heap, (int(sums[-1] - sums[0]), made, sums, [sets[i] for i in order]))
-        made += 1
-    return heap[0][3] if heap else [[] for _ in range(windows)]
+        merges.append((ours, theirs, order))
+        heapq.heapreplace(heap, (int(sums[-1] - sums[0]), made, sums))
+    place = {2 * n - 2: np.arange(windows)}
+    for made in range(2 * n - 2, n - 1, -1):
+        ours, theirs, order = merges[made - n]
+        slots = place.pop(made)
+        for part, at in ((ours, order), (theirs, windows - 1 - order)):
+            if part < n:  # a single piece: it is in the first of its windows
+                place[part] = slots[at == 0]
+            else:
+                place[part] = np.empty_like(slots)
+                place[part][at] = slots
+    sets: list[list[int]] = [[] for _ in range(windows)]
+    for k in range(n):
+        sets[int(place[k][0])].append(k)
+    return sets
 
 
 def deal(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -146,9 +165,9 @@ def pack(
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, names)
 
-        for batch in steps(batches, text):
+        for batch in steps(batches, text, 4 * STEP_BYTES):
             kind = batch.schema.field(doc_id).type
-            ids, lengths = with_end(*work.encode(texts(batch, text)), end)
+            ids, lengths = with_end(*work.encode(filled(batch, text)), end)
             begin = 0
             for key, n in zip(batch.column(doc_id).to_pylist(), lengths.tolist(), strict=True):
                 packer.add(key, ids[begin : begin + n])
