@@ -170,7 +170,7 @@ def write(
         small = work.tokenizer.get_vocab_size() <= 1 << 16 and end < 1 << 16
         kind = pa.uint16() if small else pa.uint32()
         where = f"{path.rstrip('/')}/shard-{number:06d}"
-        for batch in steps(batches, text, 4 * STEP_BYTES):
+        for batch in steps(batches, text, 2 * STEP_BYTES):
             keys = batch.column(doc_id)
             shard = shard or _Shard(where, kind, keys.type, length, rows)
             shard.add(keys, *with_end(*work.encode(filled(batch, text)), end))

@@ -165,7 +165,7 @@ def pack(
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, names)
 
-        for batch in steps(batches, text, 4 * STEP_BYTES):
+        for batch in steps(batches, text, 2 * STEP_BYTES):
             kind = batch.schema.field(doc_id).type
             ids, lengths = with_end(*work.encode(filled(batch, text)), end)
             begin = 0

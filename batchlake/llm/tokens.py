@@ -39,7 +39,7 @@ _SPELLING = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(_SHOW
 _SAFE = re.compile(f"(?<=[^{_BLANK}])(?= [^{_BLANK}])")
 
 #: Words, and pieces, whose ids a worker process keeps.
-KEPT_WORDS, KEPT_IDS = 700_000, 6_000_000
+KEPT_WORDS, KEPT_IDS = 500_000, 5_000_000
 
 
 def segments(text: str, limit: int = STEP_BYTES // 4):
