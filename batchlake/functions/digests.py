@@ -1,9 +1,7 @@
-"""Content digests of a batch.
+"""Checksums of a batch: row count, xor and sum of row hashes.
 
-``ordered_digest`` is the exchange format: SHA-256 over ``id:sales;`` in id order. It needs all
-pairs of one batch together, so it is only given to batches up to ``exact_rows`` rows.
-``content_digest`` is a sum and an xor of row hashes: it merges in any order, so it has no bound.
-Every batch carries the second, small batches carry both.
+The three merge in any order, so a batch of any size is summed map-side in one pass, and neither
+the order of its rows nor how they are partitioned matters. One rule holds for every size.
 """
 
 from __future__ import annotations
@@ -11,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-EXACT_ROWS = 1_000_000
-
 
 def row_hash(*cols: Column) -> Column:
     """60-bit hash of the row's text, as BIGINT."""
@@ -20,44 +16,32 @@ def row_hash(*cols: Column) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
 
 
-def content_digest(id_col: Column, sales_col: Column) -> Column:
-    """Aggregate: ``rows-xor-sum`` of the row hashes, independent of order and partitions."""
+def digest_parts(id_col: Column, sales_col: Column) -> list[Column]:
+    """Aggregates of one group of rows, to be merged by ``merged_digest``."""
     h = row_hash(id_col, sales_col)
+    return [
+        F.count(F.lit(1)).alias("_rows"),
+        F.bit_xor(h).alias("_xor"),
+        F.sum(h.cast("decimal(38,0)")).alias("_sum"),
+    ]
+
+
+def merged_digest() -> Column:
+    """Aggregate over ``digest_parts``: ``rows-xor-sum``."""
+    zero = F.lit(0)
     return F.concat_ws(
         "-",
-        F.count(F.lit(1)).cast("string"),
-        F.coalesce(F.bit_xor(h), F.lit(0)).cast("string"),
-        F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0)).cast("string"),
+        F.coalesce(F.sum("_rows"), zero).cast("string"),
+        F.coalesce(F.bit_xor("_xor"), zero).cast("string"),
+        F.coalesce(F.sum("_sum").cast("decimal(38,0)"), zero).cast("string"),
     )
 
 
 def batch_digests(
-    rows: DataFrame,
-    batch: str = "batch_id",
-    id_col: str = "customer_id",
-    sales_col: str = "sales",
-    exact_rows: int = EXACT_ROWS,
+    rows: DataFrame, batch: str = "batch_id", id_col: str = "customer_id", sales_col: str = "sales"
 ) -> DataFrame:
-    """One row per batch: ``records``, ``source_checksum`` (NULL above the bound), ``content_digest``."""
-    totals = rows.groupBy(batch).agg(
-        F.count(F.lit(1)).alias("records"),
-        content_digest(F.col(id_col), F.col(sales_col)).alias("content_digest"),
-    )
-    # Only batches up to the bound reach collect_list, so no task holds more pairs than that. There
-    # are at most (all rows / exact_rows) batches above it, which bounds the broadcast.
-    large = totals.where(F.col("records") > exact_rows).select(batch)
-    pair = F.struct(
-        F.col(id_col).cast("string").alias("i"), F.col(sales_col).cast("string").alias("s")
-    )
-    ordered = F.array_sort(F.collect_list(pair))
-    text = F.array_join(
-        F.transform(ordered, lambda p: F.concat(p["i"], F.lit(":"), p["s"], F.lit(";"))), ""
-    )
-    exact = (
-        rows.join(F.broadcast(large), batch, "left_anti")
-        .groupBy(batch)
-        .agg(F.sha2(text, 256).alias("source_checksum"))
-    )
-    return totals.join(exact, batch, "left").select(
-        batch, "records", "source_checksum", "content_digest"
+    """One row per batch: ``records`` and ``source_checksum``."""
+    parts = rows.groupBy(batch).agg(*digest_parts(F.col(id_col), F.col(sales_col)))
+    return parts.groupBy(batch).agg(
+        F.sum("_rows").alias("records"), merged_digest().alias("source_checksum")
     )

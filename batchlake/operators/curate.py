@@ -157,20 +157,24 @@ def quality_gate(stats: DataFrame, max_invalid_percent: float = MAX_INVALID_PERC
     )
 
 
-def serving_batches(curated: DataFrame, exact_rows: int = digests.EXACT_ROWS) -> DataFrame:
-    """One hand-off row per curated batch: row count, digests, origin."""
-    sums = digests.batch_digests(curated, batch="phase3_batch_id", exact_rows=exact_rows)
-    origin = curated.groupBy("phase3_batch_id").agg(
+def serving_batches(curated: DataFrame) -> DataFrame:
+    """One hand-off row per curated batch: row count, checksum, origin, and the objects that hold
+    it if the rows have their ``key``.
+
+    The origin and the object are the same in all rows of a file, so they are part of the first
+    grouping; texts are only compared between the files of a batch.
+    """
+    keyed = "key" in curated.columns
+    parts = curated.groupBy(
+        "phase3_batch_id", "source_filename", "source_raw_key", "pipeline_version", *["key"] * keyed
+    ).agg(*digests.digest_parts(F.col("customer_id"), F.col("sales")))
+    keys = F.array_sort(F.collect_set("key")).alias("curated_object_keys")
+    raw_key = F.max("source_raw_key")
+    return parts.groupBy("phase3_batch_id").agg(
+        F.concat(F.lit("metadata/"), raw_key, F.lit(".json")).alias("source_manifest_key"),
         F.max("source_filename").alias("source_filename"),
-        F.max("source_raw_key").alias("source_raw_key"),
+        digests.merged_digest().alias("source_checksum"),
+        F.sum("_rows").alias("records_written"),
         F.max("pipeline_version").alias("pipeline_version"),
-    )
-    return sums.join(origin, "phase3_batch_id").select(
-        "phase3_batch_id",
-        F.concat(F.lit("metadata/"), "source_raw_key", F.lit(".json")).alias("source_manifest_key"),
-        "source_filename",
-        "source_checksum",
-        F.col("records").alias("records_written"),
-        "pipeline_version",
-        "content_digest",
+        *[keys] * keyed,
     )

@@ -127,30 +127,31 @@ def single_batch_check(rows: DataFrame, unit: str, batch: str = "phase3_batch_id
     )
 
 
-def verify_handoff(
-    manifests: DataFrame, curated: DataFrame, exact_rows: int = digests.EXACT_ROWS
-) -> DataFrame:
-    """Compare each hand-off row with the curated rows of its batch.
+def verify_handoff(manifests: DataFrame, curated: DataFrame) -> DataFrame:
+    """Compare each hand-off row with the curated rows of its batch: they must carry that one
+    batch id and have the checksum that was handed on. ``error`` is NULL for a sound batch; a
+    hand-off of no rows is sound if there are none.
 
-    The exact checksum decides where the batch is small enough to have one, the mergeable digest
-    otherwise. ``error`` is NULL for a sound batch.
+    Checksum and ids come from one grouping, which costs a row per id that a batch holds.
     """
-    found = digests.batch_digests(curated, "phase3_batch_id", exact_rows=exact_rows).select(
-        "phase3_batch_id",
-        F.col("records").alias("found_records"),
-        F.col("source_checksum").alias("found_checksum"),
-        F.col("content_digest").alias("found_digest"),
+    parts = curated.groupBy("phase3_batch_id", "phase1_batch_id").agg(
+        *digests.digest_parts(F.col("customer_id"), F.col("sales"))
+    )
+    ids = F.count_if(F.coalesce("phase1_batch_id", F.lit("")) != "")
+    found = parts.groupBy("phase3_batch_id").agg(
+        F.sum("_rows").alias("found_records"),
+        digests.merged_digest().alias("found_checksum"),
+        ids.alias("batch_ids"),
     )
     both = manifests.join(found, "phase3_batch_id", "left")
-    same = F.when(
-        F.col("source_checksum").isNotNull() & F.col("found_checksum").isNotNull(),
-        F.col("source_checksum") == F.col("found_checksum"),
-    ).otherwise(F.col("content_digest").eqNullSafe(F.col("found_digest")))
+    empty = F.col("source_checksum").isNull() & F.col("found_records").isNull()
     return both.withColumn(
         "error",
-        F.when(F.col("found_records").isNull(), "batch rows missing").when(
-            ~same, "checksum mismatch"
-        ),
+        F.when(empty, None)
+        .when(F.col("found_records").isNull(), "batch rows missing")
+        .when(F.col("batch_ids") == 0, "no batch id")
+        .when(F.col("batch_ids") > 1, "several batch ids")
+        .when(~F.col("source_checksum").eqNullSafe(F.col("found_checksum")), "checksum mismatch"),
     )
 
 

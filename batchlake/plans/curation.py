@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchlake.operators import curate as op
 from batchlake.plans.lake import Lake
 from batchlake.plans.monitor import pipeline_metrics
+from batchlake.schemas import SERVING_BATCH
 from batchlake.session import exists, materialize
 from batchlake.sinks import writers
 from batchlake.sources.delimited import read_clean
+from batchlake.sources.listing import decoded_path, key_below
 from batchlake.sources.manifests import below_prefix, read_manifests
-from batchlake.sources.tables import curated_objects, read_curated, with_file
+from batchlake.sources.tables import read_curated, with_file
 
 
 class QualityGateError(RuntimeError):
@@ -20,21 +24,41 @@ class QualityGateError(RuntimeError):
     handed on."""
 
 
-MAX_NAMED = 1_000  # batch folders passed to a scan one by one
+#: Batches curated at a time. All pending ones are, in rounds of this many; each round names its
+#: folders to the scan, so nothing of other batches is read.
+ROUND = 1_000
 
 
 def pending(
-    spark: SparkSession, lake: Lake, prefix: str = "", manifests: DataFrame | None = None
+    spark: SparkSession,
+    lake: Lake,
+    prefix: str = "",
+    manifests: DataFrame | None = None,
+    max_invalid_percent: float = op.MAX_INVALID_PERCENT,
 ) -> DataFrame:
-    """Manifests (all, or of ``manifests``) without a hand-off row yet."""
+    """Manifests (all, or of ``manifests``) without a hand-off row yet. A parked batch is left out
+    until the limit is above the one it was parked at."""
     if manifests is None:
         manifests = read_manifests(spark, lake.zone("metadata"))
     manifests = below_prefix(manifests, prefix)
     done = lake.zone("serving_batches")
-    if not exists(spark, done):
-        return manifests
-    handed = spark.read.parquet(done).select(F.col("phase3_batch_id").alias("phase1_batch_id"))
-    return manifests.join(handed, "phase1_batch_id", "left_anti")
+    if exists(spark, done):
+        handed = spark.read.parquet(done).select(F.col("phase3_batch_id").alias("phase1_batch_id"))
+        manifests = manifests.join(handed, "phase1_batch_id", "left_anti")
+    parked = lake.zone("parked_batches")
+    if exists(spark, parked):
+        held = spark.read.schema(_PARKED).parquet(parked).groupBy("batch_id").agg(F.max("max_invalid_percent").alias("at"))
+        held = held.where(F.col("at") >= max_invalid_percent)
+        manifests = manifests.join(
+            held.select(F.col("batch_id").alias("phase1_batch_id")), "phase1_batch_id", "left_anti"
+        )
+    return manifests
+
+
+_PARKED = (
+    "batch_id string, rows_read bigint, rows_written bigint, rows_quarantined bigint, "
+    "max_invalid_percent double, run_ts string"
+)
 
 
 def curate(
@@ -47,55 +71,104 @@ def curate(
     environment: str = "dev",
     job_name: str = "curate",
     manifests: DataFrame | None = None,
+    gate: str = "run",
 ) -> dict[str, int]:
     """Curate every batch (or those of ``manifests``) not handed on yet; returns rows read, written
     and quarantined.
 
-    Only new batches are read: the batch is a folder of the clean zone. Few folders are named to
-    the scan, many are pruned by the join with the pending manifests. Each batch replaces its own
-    partitions. The gate looks at the whole run, after the outputs and metrics are written.
+    Each batch replaces its own partitions. After outputs and metrics are written, the gate decides:
+    with ``gate="run"`` all batches are handed on or, if the run's share of quarantined rows is too
+    high, none and an error is raised. With ``gate="batch"`` each batch is judged by itself; those
+    that fail go to ``parked_batches`` and hold up no other. A batch without curated rows is handed
+    on with no rows, so it is not met again.
     """
-    manifests = materialize(pending(spark, lake, prefix, manifests), "pending")
-    filled = manifests.where("valid_records > 0").select("phase1_batch_id")
-    named = [r[0] for r in filled.limit(MAX_NAMED + 1).collect()]
-    if not named:
-        return {"rows_read": 0, "rows_written": 0, "rows_quarantined": 0}
-    clean = read_clean(
-        spark, lake.zone("clean"), sorted(named) if len(named) <= MAX_NAMED else None
+    manifests = materialize(
+        pending(spark, lake, prefix, manifests, max_invalid_percent), "pending"
     )
-    ids = manifests.select(F.col("phase1_batch_id").alias("batch_id"))
-    clean = clean.join(ids, "batch_id", "left_semi")
-    rows = op.with_lineage(clean, manifests, run_ts)
-    tagged = materialize(op.tag_curation(rows, date_column), "curation")
-
-    writers.write_curated(op.curated_rows(tagged, date_column), lake.zone("curated"))
-    writers.write_quarantine(op.quarantine_rows(tagged), lake.zone("quarantine"))
-
-    stats = materialize(op.run_stats(tagged), "run-stats")
+    totals = {"rows_read": 0, "rows_written": 0, "rows_quarantined": 0}
+    handed, parked, after = [], [], ""
+    while True:
+        page = manifests.where(F.col("phase1_batch_id") > after).orderBy("phase1_batch_id")
+        found = page.select("phase1_batch_id", "valid_records").limit(ROUND).collect()
+        if not found:
+            break
+        after = found[-1][0]
+        names = [r[0] for r in found]
+        mine = manifests.where(F.col("phase1_batch_id").isin(names))
+        filled = [r[0] for r in found if r[1]]
+        stats = _curate_round(spark, lake, mine, filled, run_ts, date_column)
+        judged = materialize(op.quality_gate(stats, max_invalid_percent), "batch-stats")
+        sums = judged.agg(*[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in totals]).first()
+        totals = {k: totals[k] + sums[k] for k in totals}
+        if gate == "batch":
+            parked.append(judged.where("NOT passed").drop("passed"))
+        handed.append(materialize(handoff(spark, lake, mine, names), "handoff"))
+    if not handed:
+        return totals
+    run = spark.createDataFrame([tuple(totals.values())], ", ".join(f"{k} bigint" for k in totals))
     writers.append(
-        pipeline_metrics(stats, F.lit(run_ts).cast("timestamp"), environment, job_name),
+        pipeline_metrics(run, F.lit(run_ts).cast("timestamp"), environment, job_name),
         lake.zone("metrics"),
     )
-    decision = op.quality_gate(stats, max_invalid_percent).first()
-    if not decision["passed"]:
-        raise QualityGateError(
-            f"{decision['rows_quarantined']} of {decision['rows_read']} rows quarantined"
+    ready = reduce(DataFrame.unionByName, handed)
+    if gate == "batch":
+        out = materialize(reduce(DataFrame.unionByName, parked), "parked")
+        ready = ready.join(
+            out.select(F.col("batch_id").alias("phase3_batch_id")), "phase3_batch_id", "left_anti"
+        )
+        limit = F.lit(float(max_invalid_percent)).alias("max_invalid_percent")
+        if not out.isEmpty():
+            writers.append(out.select("*", limit, F.lit(run_ts).alias("run_ts")), lake.zone("parked_batches"))
+    elif not op.quality_gate(run, max_invalid_percent).first()["passed"]:
+        raise QualityGateError(f"{totals['rows_quarantined']} of {totals['rows_read']} rows quarantined")
+    writers.append(ready, lake.zone("serving_batches"))
+    return totals
+
+
+def _curate_round(
+    spark: SparkSession,
+    lake: Lake,
+    manifests: DataFrame,
+    filled: list[str],
+    run_ts: str,
+    date_column: str | None,
+) -> DataFrame:
+    """Write the rows of the named batches; their counts per batch."""
+    if not filled:
+        return spark.createDataFrame(
+            [], "batch_id string, rows_read bigint, rows_written bigint, rows_quarantined bigint"
         )
-    writers.append(handoff(spark, lake, ids), lake.zone("serving_batches"))
-    return {k: decision[k] for k in ("rows_read", "rows_written", "rows_quarantined")}
+    clean = read_clean(spark, lake.zone("clean"), filled)
+    tagged = materialize(
+        op.tag_curation(op.with_lineage(clean, manifests, run_ts), date_column), "curation"
+    )
+    writers.write_curated(op.curated_rows(tagged, date_column, keep=("ord",)), lake.zone("curated"))
+    writers.write_quarantine(op.quarantine_rows(tagged), lake.zone("quarantine"))
+    return op.run_stats(tagged, ["batch_id"])
 
 
-def handoff(spark: SparkSession, lake: Lake, ids: DataFrame) -> DataFrame:
-    """Hand-off rows of the batches in ``ids``, from what the curated zone now holds."""
-    if not exists(spark, lake.zone("curated")):
-        return spark.createDataFrame([], "phase3_batch_id string, records_written bigint")
-    curated = with_file(read_curated(spark, lake.zone("curated")))
-    mine = curated.join(
-        ids.select(F.col("batch_id").alias("phase3_batch_id")), "phase3_batch_id", "left_semi"
+def handoff(spark: SparkSession, lake: Lake, manifests: DataFrame, names: list[str]) -> DataFrame:
+    """Hand-off rows of the batches in ``manifests`` (``names``), from what the curated zone now
+    holds; one scan of their folders."""
+    root = lake.zone("curated")
+    origin = manifests.select(
+        F.col("phase1_batch_id").alias("phase3_batch_id"),
+        F.col("source_filename").alias("_name"),
+        F.concat(F.lit("metadata/"), "raw_key", F.lit(".json")).alias("_manifest"),
     )
-    objects = curated_objects(mine, lake.zone("curated"))
-    return (
-        op.serving_batches(mine)
-        .join(objects, "phase3_batch_id")
-        .withColumn("curated_bucket", F.lit("curated"))
+    if exists(spark, root):
+        rows = with_file(read_curated(spark, root).where(F.col("phase3_batch_id").isin(names)))
+        made = op.serving_batches(rows.withColumn("key", key_below(decoded_path(F.col("_file")), root)))
+    else:
+        made = spark.createDataFrame([], SERVING_BATCH).drop("curated_bucket")
+    both = origin.join(made, "phase3_batch_id", "left")
+    return both.select(
+        "phase3_batch_id",
+        F.coalesce("source_manifest_key", "_manifest").alias("source_manifest_key"),
+        F.coalesce("source_filename", "_name").alias("source_filename"),
+        "source_checksum",
+        F.lit("curated").alias("curated_bucket"),
+        F.coalesce("curated_object_keys", F.array().cast("array<string>")).alias("curated_object_keys"),
+        F.coalesce("records_written", F.lit(0)).alias("records_written"),
+        F.coalesce("pipeline_version", F.lit(op.PIPELINE_VERSION)).alias("pipeline_version"),
     )

@@ -7,18 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Zones and what they are for.
-ZONE_PURPOSE = {
-    "raw": "Delimited files as they arrive, untouched and untrusted.",
-    "clean": "Rows that met every rule.",
-    "rejected": "Rows that broke a rule, kept for audit.",
-    "metadata": "Lineage manifests, one per batch.",
-    "curated": "Typed, partitioned Parquet for analysis and loading.",
-    "quarantine": "Clean rows that could not be curated, with the reason.",
-    "query_results": "Stored query output.",
-}
-
-TRUNCATED_AT = 1000
+#: Folders of a lake.
+ZONES = ("raw", "clean", "rejected", "metadata", "curated", "quarantine", "query_results")
 
 
 @dataclass(frozen=True)
@@ -31,17 +21,19 @@ class Lake:
         return f"{self.root.rstrip('/')}/{name}"
 
     def zones(self) -> dict[str, str]:
-        return {name: self.zone(name) for name in ZONE_PURPOSE}
+        return {name: self.zone(name) for name in ZONES}
 
 
-def purposes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(ZONE_PURPOSE.items()), "zone string, purpose string")
+def purposes(spark: SparkSession, texts: dict[str, str]) -> DataFrame:
+    """The caller's description of each zone; a zone without one has none."""
+    rows = [(name, texts.get(name)) for name in ZONES]
+    return spark.createDataFrame(rows, "zone string, purpose string")
 
 
 def zone_inventory(objects: DataFrame, zones: DataFrame) -> DataFrame:
     """Per zone: objects, bytes, newest object, whether any key is partitioned (``k=v``).
 
-    ``zones`` is the fixed seven-row dimension; zones without objects are listed with zeros.
+    ``zones`` has a row per zone; zones without objects are listed with zeros.
     """
     totals = objects.groupBy("zone").agg(
         F.count(F.lit(1)).alias("object_count"),
@@ -49,7 +41,7 @@ def zone_inventory(objects: DataFrame, zones: DataFrame) -> DataFrame:
         F.max("last_modified").alias("latest_object"),
         F.bool_or(F.contains("key", F.lit("="))).alias("partitioned"),
     )
-    return F.broadcast(zones).join(totals, "zone", "left").select(
+    return zones.join(totals, "zone", "left").select(
         "zone",
         "purpose",
         F.coalesce("object_count", F.lit(0)).alias("object_count"),
@@ -64,9 +56,9 @@ def total_bytes(objects: DataFrame) -> DataFrame:
 
 
 def zone_latest(objects: DataFrame, zone: str, prefix: str = "", n: int = 200) -> DataFrame:
-    """The newest objects of a zone, with a flag whether the zone holds at least 1000."""
+    """The newest ``n`` objects of a zone, with a flag whether it holds more."""
     inside = objects.where((F.col("zone") == zone) & F.col("key").startswith(prefix))
-    full = inside.agg((F.count(F.lit(1)) >= TRUNCATED_AT).alias("t")).scalar()
+    full = inside.agg((F.count(F.lit(1)) > n).alias("t")).scalar()
     return (
         inside.orderBy(F.desc("last_modified"), "key").limit(n).withColumn("truncated", full)
     )

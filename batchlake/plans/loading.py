@@ -9,6 +9,9 @@ costs its own size, and ``compact`` folds the changes into a new base now and th
 
 from __future__ import annotations
 
+import time
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,10 +27,14 @@ from batchlake.sinks import writers
 from batchlake.sources.tables import read_curated, with_file
 
 MAX_ATTEMPTS = 3
-MAX_NAMED = 10_000  # object names passed to a scan one by one
+#: Batches loaded at a time. All waiting ones are, in rounds of this many, by batch id; each round
+#: names its folders to the scans.
+ROUND = 1_000
 
-_CHANGES = T.StructType([*schemas.CUSTOMERS.fields, T.StructField("load_seq", T.StringType())])
-_COMPACTIONS = "version bigint, cutoff string"
+_SEQ = T.StructField("load_seq", T.StringType())
+_CHANGES = T.StructType([*schemas.CUSTOMERS.fields, _SEQ])
+_BASE = T.StructType([*_CHANGES.fields, T.StructField("first_seq", T.StringType())])
+_COMPACTIONS = "version bigint"
 
 
 class Serving:
@@ -48,7 +55,9 @@ class Serving:
     def audit(self) -> DataFrame:
         """Latest audit row per batch. A SUCCESS is never replaced by a later attempt."""
         log = self._read("audit", schemas.AUDIT)
-        rank = F.when(F.col("status") == "SUCCESS", 1).otherwise(0)
+        rank = (
+            F.when(F.col("status") == "SUCCESS", 2).when(F.col("status") == "IN_PROGRESS", 0).otherwise(1)
+        )
         ranked = log.withColumn("_at", F.struct(rank, F.col("end_time"), F.col("start_time")))
         return last_per_key(ranked, ["batch_id"], "_at").drop("_at")
 
@@ -73,9 +82,9 @@ class Serving:
         return self.committed(self._read("customer_changes", _CHANGES))
 
     def customers(self) -> DataFrame:
-        """One row per customer: the base snapshot with all later committed changes folded in."""
+        """One row per customer: the base snapshot with all other committed changes folded in."""
         base, later = self._parts()
-        return fold_upserts(base, later, ["customer_id"], "load_seq", created="created_at")
+        return _fold(base, later).drop("load_seq", "first_seq")
 
     def customer_keys(self) -> DataFrame:
         """Ids of all customers, possibly repeated; nothing is folded for it."""
@@ -83,29 +92,59 @@ class Serving:
         return base.select("customer_id").unionByName(later.select("customer_id"))
 
     def _parts(self) -> tuple[DataFrame, DataFrame]:
-        base, cutoff = self._base()
-        return base, self.changes().where(F.col("load_seq") > cutoff)
+        """The base, and the committed changes of all batches that are not in it."""
+        base, folded = self._base()
+        return base, self.changes().join(folded, "batch_id", "left_anti")
 
-    def _base(self) -> tuple[DataFrame, str]:
-        log = self._read("compactions", _COMPACTIONS)
-        last = log.orderBy(F.desc("version")).first()
+    def _base(self) -> tuple[DataFrame, DataFrame]:
+        last = self._read("compactions", _COMPACTIONS).agg(F.max("version")).first()[0]
         if last is None:
-            return self.spark.createDataFrame([], schemas.CUSTOMERS), ""
-        path = f"{self.path('customers_base')}/version={last['version']}"
-        return self.spark.read.schema(schemas.CUSTOMERS).parquet(path), last["cutoff"]
+            return (
+                self.spark.createDataFrame([], _BASE),
+                self.spark.createDataFrame([], "batch_id string"),
+            )
+        base = self.spark.read.schema(_BASE).parquet(f"{self.path('customers_base')}/version={last}")
+        folded = self.spark.read.schema("batch_id string").parquet(
+            f"{self.path('folded_batches')}/version={last}"
+        )
+        return base, folded
 
     def compact(self) -> None:
-        """Write the current customers as a new base. Its log row comes last, so readers switch
-        over only to a complete base."""
-        cutoff = self.changes().agg(F.max("load_seq")).first()[0]
-        if cutoff is None:
+        """Write the current customers as a new base, with the batches that are folded into it.
+
+        A batch is in the base or it is not, whatever its clock says: a load that commits later with
+        an older clock is still read. Base rows keep the order they won by, so such a load only
+        wins where it would have without compaction. The log row comes last, so readers switch
+        over only to a complete base.
+        """
+        base, folded = self._base()
+        new = materialize(
+            self.changes().select("batch_id").distinct().join(folded, "batch_id", "left_anti"),
+            "to-fold",
+        )
+        if new.isEmpty():
             return
+        later = self.changes().join(new, "batch_id", "left_semi")
         version = (self._read("compactions", _COMPACTIONS).agg(F.max("version")).first()[0] or 0) + 1
-        self.customers().write.mode("overwrite").parquet(
+        _fold(base, later).write.mode("overwrite").parquet(
             f"{self.path('customers_base')}/version={version}"
         )
-        entry = self.spark.createDataFrame([(version, cutoff)], _COMPACTIONS)
-        writers.append(entry, self.path("compactions"))
+        folded.unionByName(new).write.mode("overwrite").parquet(
+            f"{self.path('folded_batches')}/version={version}"
+        )
+        writers.append(self.spark.createDataFrame([(version,)], _COMPACTIONS), self.path("compactions"))
+
+
+def _fold(base: DataFrame, later: DataFrame) -> DataFrame:
+    """Base rows and changes as one row per customer: the highest ``load_seq`` wins, the lowest
+    ``first_seq`` gives the creation time."""
+    rows = base.unionByName(later.withColumn("first_seq", F.col("load_seq")).select(*base.columns))
+    rest = [c for c in base.columns if c not in ("customer_id", "created_at", "first_seq")]
+    folded = rows.groupBy("customer_id").agg(
+        F.max_by(F.struct(*rest), "load_seq").alias("_row"),
+        F.min_by(F.struct("created_at", "first_seq"), "first_seq").alias("_first"),
+    )
+    return folded.select("customer_id", "_row.*", "_first.*").select(*base.columns)
 
 
 def load(
@@ -113,11 +152,12 @@ def load(
     lake: Lake,
     run_ts: str,
     handoffs: DataFrame | None = None,
-    exact_rows: int = digests.EXACT_ROWS,
 ) -> DataFrame:
     """Load every handed-on batch that is not loaded yet; returns the audit rows of this run.
 
-    Batches load as if one after the other, by ingestion time then id, but all in one job.
+    The batches of a round load as if one after the other, by ingestion time then id, but all in one
+    job. While a round runs its batches are IN_PROGRESS in the audit; if it breaks off they are
+    FAILED, with a row in the errors that carries no customer.
     """
     now = F.lit(run_ts).cast("timestamp")
     serving = Serving(spark, lake)
@@ -132,18 +172,43 @@ def load(
         _attempt_rows(op.already_loaded(asked, audit), now, "SKIPPED"), "skipped"
     )
     todo = materialize(op.skip_loaded(asked, audit), "to-load")
-    if todo.isEmpty():
+    if not tried.isEmpty():
         _note(serving, tried)
+    done, after = [], ""
+    while True:
+        page = todo.where(F.col("batch_id") > after).orderBy("batch_id").select("batch_id")
+        names = [r[0] for r in page.limit(ROUND).collect()]
+        if not names:
+            break
+        after = names[-1]
+        mine = todo.where(F.col("batch_id").isin(names))
+        writers.append(_attempt_rows(mine, now, "IN_PROGRESS"), serving.path("audit"))
+        try:
+            done.append(_load_batches(spark, lake, serving, mine, names, run_ts))
+        except Exception as fault:
+            # The round's folders stay unread without a SUCCESS row; note the attempt and pass it on.
+            failed = _attempt_rows(mine, now, "FAILED")
+            message = F.lit(f"{type(fault).__name__}: {fault}"[:500])
+            _batch_errors(mine, message, now).write.mode("append").partitionBy("batch_id").parquet(
+                serving.path("load_errors")
+            )
+            writers.append(failed, serving.path("attempts"))
+            writers.append(failed, serving.path("audit"))
+            raise
+    if not done:
         return spark.createDataFrame([], schemas.AUDIT)
-    try:
-        rows = _load_batches(spark, lake, serving, todo, tried, run_ts, exact_rows)
-    except Exception:
-        # The run's folders stay unread without audit rows; note the attempt and pass it on.
-        failed = _attempt_rows(todo, now, "FAILED")
-        writers.append(failed, serving.path("attempts"))
-        writers.append(failed, serving.path("audit"))
-        raise
-    return rows
+    return reduce(DataFrame.unionByName, done)
+
+
+def _batch_errors(batches: DataFrame, message: Column, now: Column) -> DataFrame:
+    """Error rows for whole batches; they carry no customer."""
+    return batches.select(
+        F.lit(None).cast("string").alias("customer_id"),
+        message.alias("error_message"),
+        F.col("source_filename").alias("source_file"),
+        now.alias("error_timestamp"),
+        "batch_id",
+    )
 
 
 def _load_batches(
@@ -151,16 +216,19 @@ def _load_batches(
     lake: Lake,
     serving: Serving,
     todo: DataFrame,
-    tried: DataFrame,
+    names: list[str],
     run_ts: str,
-    exact_rows: int,
 ) -> DataFrame:
+    """Load the batches ``names``; every scan reads their folders only."""
+    begun = time.monotonic()
     now = F.lit(run_ts).cast("timestamp")
-    curated = with_file(read_curated(spark, lake.zone("curated"), _objects(todo)))
-    mine = curated.join(todo.select("phase3_batch_id"), "phase3_batch_id", "left_semi")
+    here = F.col("batch_id").isin(names)
+    mine = with_file(
+        read_curated(spark, lake.zone("curated")).where(F.col("phase3_batch_id").isin(names))
+    )
     verdict = materialize(
-        op.verify_handoff(todo, mine, exact_rows).select(
-            "batch_id", "source_filename", "records_written", "content_digest", "error"
+        op.verify_handoff(todo, mine).select(
+            "batch_id", "source_filename", "records_written", "error"
         ),
         "verdict",
     )
@@ -172,16 +240,18 @@ def _load_batches(
         ),
         "load-rows",
     )
-    staged = op.staged_rows(tagged)
-    writers.write_batches(staged, serving.path("staging"))
-    staged = serving.staging().join(sound, "batch_id", "left_semi")
+    writers.write_batches(op.staged_rows(tagged), serving.path("staging"))
+    staged = serving.staging().where(here).join(sound, "batch_id", "left_semi")
 
-    expected = sound.join(
-        tagged.groupBy("batch_id").agg(F.count_if(F.expr("error_message IS NULL")).alias("expected_rows")),
-        "batch_id",
-        "left",
-    ).select("batch_id", F.coalesce("expected_rows", F.lit(0)).alias("expected_rows"))
-    before = op.pre_merge_checks(staged, expected)
+    figures = tagged.groupBy("batch_id").agg(
+        F.count_if(F.expr("error_message IS NULL")).alias("expected_rows"),
+        F.count_if(F.expr("error_message IS NOT NULL")).alias("records_failed"),
+    )
+    figures = materialize(
+        sound.join(figures, "batch_id", "left").na.fill(0, ["expected_rows", "records_failed"]),
+        "load-figures",
+    )
+    before = op.pre_merge_checks(staged, figures.select("batch_id", "expected_rows"))
     ok = materialize(before.where("passed").select("batch_id"), "pre-merge")
     staged = staged.join(ok, "batch_id", "left_semi")
 
@@ -196,27 +266,21 @@ def _load_batches(
     writers.write_batches(op.sales_rows(staged, now), serving.path("sales"))
     writers.write_batches(op.load_errors(tagged, now), serving.path("load_errors"))
 
-    written = serving._read("sales", schemas.SALES).join(ok, "batch_id", "left_semi")
+    written = serving._read("sales", schemas.SALES).where(here).join(ok, "batch_id", "left_semi")
     after = op.post_merge_checks(staged, written).select(
         "batch_id", F.col("passed").alias("reconciled")
     )
-    sums = digests.batch_digests(staged, exact_rows=exact_rows).select(
-        "batch_id",
-        F.col("source_checksum").alias("checksum"),
-        F.col("content_digest").alias("loaded_digest"),
-    )
-    failed_rows = tagged.groupBy("batch_id").agg(
-        F.count_if(F.expr("error_message IS NOT NULL")).alias("records_failed")
+    sums = digests.batch_digests(staged).select(
+        "batch_id", F.col("source_checksum").alias("checksum")
     )
     state = (
-        verdict.join(expected, "batch_id", "left")
+        verdict.join(figures, "batch_id", "left")
         .join(ok.withColumn("staged_ok", F.lit(True)), "batch_id", "left")
         .join(after, "batch_id", "left")
         .join(counts, "batch_id", "left")
         .join(sums, "batch_id", "left")
-        .join(failed_rows, "batch_id", "left")
     )
-    # A batch whose every row was faulty has nothing staged, which is a sound load of no rows.
+    # A batch without a sound row has nothing staged, which is a sound load of no rows.
     nothing = F.col("expected_rows") == 0
     fault = (
         F.when(F.col("error").isNotNull(), F.col("error"))
@@ -231,32 +295,26 @@ def _load_batches(
     def of(c: str) -> Column:
         return F.when(F.col("fault").isNull(), F.coalesce(F.col(c), F.lit(0))).otherwise(0)
 
+    # The clock of the run is a parameter; only the time it took is measured.
+    spent = round((time.monotonic() - begun) * 1000)
     rows = state.select(
         "batch_id",
         F.col("source_filename").alias("source_file"),
         F.when(F.col("fault").isNull(), "SUCCESS").otherwise("FAILED").alias("status"),
         now.alias("start_time"),
-        F.current_timestamp().alias("end_time"),
+        F.timestamp_millis(F.unix_millis(now) + spent).alias("end_time"),
         of("inserted").alias("records_loaded"),
         of("updated").alias("records_updated"),
         of("records_failed").alias("records_failed"),
-        F.lit(None).cast("bigint").alias("duration_ms"),
+        F.lit(spent).cast("bigint").alias("duration_ms"),
         "checksum",
-        F.col("loaded_digest").alias("content_digest"),
-    ).withColumn("duration_ms", dates.duration_ms(F.col("start_time"), F.col("end_time")))
+    )
     rows = materialize(rows, "audit-rows")
 
-    # Messages for whole batches carry no customer.
-    batch_errors = state.where("fault IS NOT NULL").select(
-        F.lit(None).cast("string").alias("customer_id"),
-        F.col("fault").alias("error_message"),
-        F.col("source_filename").alias("source_file"),
-        now.alias("error_timestamp"),
-        "batch_id",
-    )
-    batch_errors.write.mode("append").partitionBy("batch_id").parquet(serving.path("load_errors"))
-    _note(serving, rows.unionByName(tried))
-    writers.append(rows, serving.path("audit"))  # commits the run
+    faults = _batch_errors(state.where("fault IS NOT NULL"), F.col("fault"), now)
+    faults.write.mode("append").partitionBy("batch_id").parquet(serving.path("load_errors"))
+    _note(serving, rows)
+    writers.append(rows, serving.path("audit"))  # commits the round
     return rows
 
 
@@ -266,15 +324,6 @@ def _note(serving: Serving, attempts: DataFrame) -> None:
     writers.append(attempts.select(_log(attempts)), serving.path("logs"))
 
 
-def _objects(todo: DataFrame) -> list[str] | None:
-    """The curated objects to read, if they are few enough to name; else None for the whole zone,
-    whose batch folders the join then prunes."""
-    if "curated_object_keys" not in todo.columns:
-        return None
-    keys = todo.select(F.explode("curated_object_keys").alias("key")).limit(MAX_NAMED + 1).collect()
-    return sorted({r["key"] for r in keys}) if 0 < len(keys) <= MAX_NAMED else None
-
-
 def with_load_order(rows: DataFrame, batch: str = "phase3_batch_id") -> DataFrame:
     """Add ``batch_id`` and ``ord``: files of a batch by name, rows by their place in the file.
 
@@ -306,7 +355,6 @@ def _attempt_rows(batches: DataFrame, now: Column, status: str) -> DataFrame:
         none.alias("records_failed"),
         none.alias("duration_ms"),
         F.lit(None).cast("string").alias("checksum"),
-        F.lit(None).cast("string").alias("content_digest"),
     )
 
 

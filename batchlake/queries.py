@@ -6,7 +6,7 @@ derived rows to a fresh folder in the shared directory first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from batchlake import seed
@@ -166,7 +166,7 @@ def audit(spark, sf):
 def objects(spark, sf):
     """An object listing made of the pages: one object per page, spread over the zones."""
     zone = F.element_at(
-        F.array(*[F.lit(z) for z in lake.ZONE_PURPOSE]), (F.col("page_id") % 6 + 1).cast("int")
+        F.array(*[F.lit(z) for z in lake.ZONES]), (F.col("page_id") % 6 + 1).cast("int")
     )
     key = F.when(
         F.col("page_id") % 6 >= 4,
@@ -355,7 +355,6 @@ def manifest_checksum_verify(spark, sf):
         F.when(number % 8 == 3, F.reverse("source_checksum"))
         .otherwise(F.col("source_checksum"))
         .alias("source_checksum"),
-        "content_digest",
     )
     return load.verify_handoff(made, rows).select("phase3_batch_id", "error")
 
@@ -612,7 +611,7 @@ def layer_reconcile(spark, sf):
 
 @query
 def zone_inventory(spark, sf):
-    out = lake.zone_inventory(objects(spark, sf), lake.purposes(spark))
+    out = lake.zone_inventory(objects(spark, sf), lake.purposes(spark, seed.ZONE_TEXTS))
     return out.withColumn("latest_object", text_time("latest_object"))
 
 
@@ -723,15 +722,13 @@ def _(spark, t):
 
 @_orders("pk_duplicates")
 def _(spark, t):
-    keys = ["order_items", "shipments", "inventory"]
-    pk = dict(order_checks.PRIMARY_KEYS)
     parts = [
-        checks.duplicate_keys(t[n], pk[n]).select(
-            F.lit(n).alias("table_name"), F.col(pk[n]).cast("string").alias("key"), "occurrences"
+        checks.duplicate_keys(t[n], key).select(
+            F.lit(n).alias("table_name"), F.col(key).cast("string").alias("key"), "occurrences"
         )
-        for n in keys
+        for n, key in order_checks.PRIMARY_KEYS
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return checks._union(parts)
 
 
 @_orders("pk_sample")
@@ -1187,15 +1184,124 @@ def table_catalogue(spark, sf):
 
 @query
 def zone_files(spark, sf):
-    """The listing of files a curation run wrote: rows per zone from real files."""
+    """The listing of files a curation run wrote: batches per zone from the real files."""
     home = _curated_lake(spark, sf)
-    zones = {z: home.zone(z) for z in ("raw", "clean", "rejected", "metadata", "curated", "quarantine")}
+    zones = {z: home.zone(z) for z in ("clean", "rejected", "metadata", "curated", "quarantine")}
+    folder = F.regexp_extract("key", r"(?:batch|batch_id|phase3_batch_id)=([^/]+)/", 1)
     return (
         listing.list_zones(spark, zones)
-        .where("size > 0")
+        .where(folder != "")
         .groupBy("zone")
-        .agg(F.count(F.lit(1)).alias("object_count"), F.sum("size").alias("total_bytes"))
+        .agg(F.countDistinct(folder).alias("batches"), (F.sum("size") > 0).alias("filled"))
+    )
+
+
+def _spaced_raw(spark, sf, root: str) -> None:
+    """One raw file per batch whose ids occur twice, the second time with a blank in front: two ids
+    for validation, one after curation. The sales of the later row are odd."""
+    rows = seed.raw_rows(spark, sf).select("batch_id", "ord", F.col("ord").cast("string").alias("id"))
+    twice = rows.select(
+        "batch_id",
+        F.inline(
+            F.array(
+                *[
+                    F.struct((F.col("ord") * 2 + k).alias("place"), F.concat(F.lit(" " * k), "id").alias("customer_id"))
+                    for k in (0, 1)
+                ]
+            )
+        ),
+    )
+    (
+        twice.select(
+            "batch_id", "place", "customer_id", F.lit("n").alias("name"), F.lit("a@b.c").alias("email"),
+            F.col("place").cast("string").alias("sales"),
+        )
+        .repartition("batch_id")
+        .sortWithinPartitions("batch_id", "place")
+        .drop("place")
+        .write.partitionBy("batch_id")
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(root)
+    )
+
+
+@query
+def ordered_outputs(spark, sf):
+    """Through all jobs the first of two rows with one id is the one that counts."""
+    home = lake.Lake(run_dir(spark, "ordered"))
+    _spaced_raw(spark, sf, home.zone("raw"))
+    ingest.ingest(spark, home, "2026-07-01T00:00:00Z")
+    clean = delimited.read_clean(spark, home.zone("clean"))
+    order = Window.partitionBy("batch_id").orderBy("ord")
+    fallen = (
+        clean.withColumn("before", F.lag(F.col("sales").cast("bigint")).over(order))
+        .agg(F.count_if(F.col("sales").cast("bigint") <= F.col("before")))
+        .scalar()
+    )
+    curation.curate(spark, home, "2026-07-01T01:00:00Z")
+    loading.load(spark, home, "2026-07-01T02:00:00Z")
+    sales = loading.Serving(spark, home).sales()
+    return sales.agg(
+        F.count(F.lit(1)).alias("loaded"),
+        F.count_if(F.col("sales_amount") % 2 == 1).alias("later_rows"),
+    ).withColumn("fallen", fallen)
+
+
+def _half_loaded(spark, sf, first_clock: str, second_clock: str) -> loading.Serving:
+    """Batches of even number loaded and compacted, then the others with another clock."""
+    home = _curated_lake(spark, sf)
+    handed = spark.read.parquet(home.zone("serving_batches"))
+    even = F.regexp_extract("source_manifest_key", r"batch_id=b(\d+)", 1).cast("int") % 2 == 0
+    loading.load(spark, home, first_clock, handed.where(even))
+    serving = loading.Serving(spark, home)
+    serving.compact()
+    loading.load(spark, home, second_clock, handed.where(~even))
+    return serving
+
+
+@query
+def compact_backfill(spark, sf):
+    """A load with an older clock after a compaction: no customer is lost, and the row with the later
+    clock stays."""
+    serving = _half_loaded(spark, sf, "2026-07-01T05:00:00Z", "2026-07-01T02:00:00Z")
+    people = serving.customers()
+    return people.agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.count_if(F.hour("updated_at") == 5).alias("from_first"),
+        F.count_if(F.hour("created_at") == 2).alias("created_by_second"),
+    )
+
+
+@query
+def mixed_objects(spark, sf):
+    """Hand-offs against curated rows of which some carry another batch's id, or none."""
+    rows = stored_curated(spark, sf)
+    number = F.substring("phase3_batch_id", 2, 2).cast("int")
+    inner = (
+        F.when(number % 8 == 2, F.lit(""))
+        .when((number % 8 == 5) & (F.substring("customer_id", -1, 1) == "1"), F.lit("other"))
+        .otherwise(F.col("phase1_batch_id"))
+    )
+    changed = rows.withColumn("phase1_batch_id", inner)
+    return load.verify_handoff(curate.serving_batches(rows), changed).select("phase3_batch_id", "error")
+
+
+@query
+def gate_per_batch(spark, sf):
+    """Batches judged one by one at 5 %: handed on or parked."""
+    home = lake.Lake(run_dir(spark, "gate"))
+    _write_raw(spark, sf, home.zone("raw"))
+    manifests = ingest.ingest(spark, home, "2026-07-01T00:00:00Z").select(
+        F.col("phase1_batch_id").alias("batch_id"), _batch_of("raw_key").alias("batch")
+    )
+    curation.curate(spark, home, "2026-07-01T01:00:00Z", max_invalid_percent=5, gate="batch")
+    handed = spark.read.parquet(home.zone("serving_batches")).select(
+        F.col("phase3_batch_id").alias("batch_id"), F.lit("handed on").alias("state")
     )
+    parked = spark.read.parquet(home.zone("parked_batches")).select("batch_id", F.lit("parked").alias("state"))
+    return manifests.join(handed.unionByName(parked), "batch_id").select("batch", "state")
 
 
 @query

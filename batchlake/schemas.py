@@ -87,7 +87,7 @@ SERVING_BATCH = T.StructType(
         T.StructField("curated_object_keys", T.ArrayType(T.StringType())),
         T.StructField("records_written", T.LongType()),
     ]
-    + _strings("pipeline_version", "content_digest")
+    + _strings("pipeline_version")
 )
 
 STAGING_COLUMNS = [
@@ -144,7 +144,7 @@ AUDIT = T.StructType(
         T.StructField("records_failed", T.LongType()),
         T.StructField("duration_ms", T.LongType()),
     ]
-    + _strings("checksum", "content_digest")
+    + _strings("checksum")
 )
 
 LOAD_ERRORS = T.StructType(

@@ -15,11 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Deal the rows of a table of fewer row groups than cores over all cores. A large table has
-    more splits than cores and is left alone."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+#: What the zones of the test lake are for, as a caller would describe them.
+ZONE_TEXTS = {
+    "raw": "inbox",
+    "clean": "passed the row rules",
+    "rejected": "failed a row rule",
+    "metadata": "manifests",
+    "curated": "typed tables",
+    "quarantine": "could not be typed",
+}
 
 
 # ---- customer files --------------------------------------------------------------------------
@@ -60,7 +64,7 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer rows in 40 batches, one row per order, in file order ``ord``."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    joined = spread(orders).join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     return joined.selectExpr(*[f"{expr} AS {name}" for name, expr in RAW.items()])
 
 

@@ -1,8 +1,9 @@
 """Writers. Each overwrites exactly the partitions of the batches it is given, so a replay of a
 batch replaces it instead of doubling it.
 
-Partitioned writes go through a REBALANCE on the partition columns: adaptive execution merges the
-small partitions into few files and splits a partition that holds too many rows over several tasks.
+Where order matters, rows are dealt out by ranges of (batch, place). Other partitioned writes go
+through a REBALANCE on the partition columns: adaptive execution merges the small partitions into few
+files and splits a partition that holds too many rows over several tasks.
 """
 
 from __future__ import annotations
@@ -26,10 +27,27 @@ def _partitioned(frame: DataFrame, by: list[str]):
     )
 
 
+def _ordered(frame: DataFrame, by: list[str], batch: str, order: str):
+    """As ``_partitioned``, with the rows of a batch in their order: ranges of (batch, order) go to
+    the tasks in turn, so a batch's files, by name, continue each other. A large batch is
+    several ranges."""
+    rest = [c for c in by if c != batch]
+    return (
+        frame.repartitionByRange(batch, order)
+        .sortWithinPartitions(*by, order)
+        .select(*[c for c in frame.columns if c not in (order, *by)], *rest, batch)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
+        .partitionBy(*by)
+    )
+
+
 def write_delimited(rows: DataFrame, path: str) -> None:
-    """Clean or rejected rows of many batches: one folder per batch, with a header."""
+    """Clean or rejected rows of many batches in file order (``ord``): one folder per batch, with
+    a header."""
     (
-        _partitioned(rows.select(*REQUIRED, "batch_id"), ["batch_id"])
+        _ordered(rows.select(*REQUIRED, "batch_id", "ord"), ["batch_id"], "batch_id", "ord")
         .option("maxRecordsPerFile", MAX_ROWS_PER_TEXT_FILE)
         .option("header", True)
         .option("quote", '"')
@@ -47,13 +65,15 @@ def write_documents(rows: DataFrame, path: str, batch: str) -> None:
 
 
 def write_curated(curated: DataFrame, path: str) -> None:
-    """Snappy Parquet by year, month and day.
+    """Snappy Parquet by year, month and day, in the order ``ord`` of each batch if there is one.
 
     The batch is a further folder level, which makes a batch replaceable on its own. Readers that
     filter on year, month and day prune as usual.
     """
     by = [*PARTITIONS, "phase3_batch_id"]
-    _partitioned(curated, by).option("compression", "snappy").parquet(path)
+    ordered = "ord" in curated.columns
+    write = _ordered(curated, by, "phase3_batch_id", "ord") if ordered else _partitioned(curated, by)
+    write.option("compression", "snappy").parquet(path)
 
 
 def write_quarantine(quarantined: DataFrame, path: str) -> None:

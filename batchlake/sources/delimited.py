@@ -200,8 +200,14 @@ def read_clean(spark: SparkSession, root: str, batches: list[str] | None = None)
     """Clean files (fixed header) as text columns, with the folder's ``batch_id``; all of them or
     only the named batches.
 
-    Cells may hold line breaks, so a file is one task; the writer keeps files small.
+    Cells may hold line breaks, so a file is one task; the writer keeps files small. ``ord`` is a
+    row's place in its batch: the number of the file, as the writer gave it, above the row's place
+    in the file.
     """
+    name = F.col("_metadata.file_name")
+    part = F.coalesce(F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("bigint"), F.lit(0))
+    piece = F.coalesce(F.regexp_extract(name, r"[.-]c(\d+)\.", 1).try_cast("bigint"), F.lit(0))
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     schema = T.StructType([*CLEAN.fields, T.StructField("batch_id", T.StringType())])
     return (
         spark.read.schema(schema)
@@ -211,9 +217,12 @@ def read_clean(spark: SparkSession, root: str, batches: list[str] | None = None)
         .option("multiLine", True)
         .option("basePath", root)
         .csv([f"{root}/batch_id={b}" for b in batches] if batches else root)
-        .select("*", F.col("_metadata.file_block_start").alias("_start"))
-        .withColumn("ord", _position())
-        .drop("_start")
+        .select("*", part.alias("_part"), piece.alias("_piece"))
+        .withColumn(
+            "ord",
+            F.shiftleft("_part", 43).bitwiseOR(F.shiftleft("_piece", 33)).bitwiseOR(row),
+        )
+        .drop("_part", "_piece")
     )
 
 

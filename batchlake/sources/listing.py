@@ -14,9 +14,10 @@ def decoded_path(c: Column) -> Column:
 
 
 def key_below(path: Column, root: str) -> Column:
-    """The part of a path below ``root``."""
+    """The part of a path below ``root``: what follows the first place at which it is named."""
     folder = root.split("://", 1)[-1].split(":", 1)[-1].rstrip("/") + "/"
-    return F.substring_index(path, folder, -1)
+    begin = F.locate(folder, path)
+    return F.when(begin > 0, F.substring(path, begin + len(folder), F.length(path))).otherwise(path)
 
 
 def list_objects(

@@ -148,12 +148,13 @@ def test_safe_file_name(spark):
     assert [r[0] for r in got.collect()] == ["a_b.csv", "_n_.CSV", None, "e_.csv"]
 
 
-def test_exchange_checksum(spark):
+def test_checksum(spark):
     rows = spark.createDataFrame(
         [("b", "102", 600), ("b", "101", 500)], "batch_id string, customer_id string, sales bigint"
     )
     row = digests.batch_digests(rows).first()
-    assert row.source_checksum == hashlib.sha256(b"101:500;102:600;").hexdigest()
+    hashes = [int(hashlib.md5(t).hexdigest()[:15], 16) for t in (b"101:500", b"102:600")]
+    assert row.source_checksum == f"2-{hashes[0] ^ hashes[1]}-{sum(hashes)}"
     assert row.records == 2
 
 
@@ -168,16 +169,18 @@ def test_digests_do_not_depend_on_order_or_partitions(spark):
     assert sorted(one) == sorted(two)
 
 
-def test_large_batches_have_no_exchange_checksum(spark):
-    rows = spark.range(30).select(
-        F.when(F.col("id") < 25, "big").otherwise("small").alias("batch_id"),
+@pytest.mark.parametrize("parts", [1, 50])
+def test_one_checksum_for_every_size(spark, parts):
+    """However a large and a small batch are cut, their checksums stay; a changed row shows."""
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") < 29_990, "big").otherwise("small").alias("batch_id"),
         F.col("id").cast("string").alias("customer_id"),
         F.col("id").alias("sales"),
     )
-    got = {r.batch_id: r for r in digests.batch_digests(rows, exact_rows=10).collect()}
-    assert got["big"].source_checksum is None and got["big"].records == 25
-    assert got["small"].source_checksum is not None
+    want = {r.batch_id: r.source_checksum for r in digests.batch_digests(rows).collect()}
+    cut = digests.batch_digests(rows.repartition(parts))
+    assert {r.batch_id: r.source_checksum for r in cut.collect()} == want
+    assert "collect_list" not in cut._jdf.queryExecution().optimizedPlan().toString()
     changed = rows.withColumn("sales", F.when(F.col("customer_id") == "3", 99).otherwise(F.col("sales")))
-    other = {r.batch_id: r for r in digests.batch_digests(changed, exact_rows=10).collect()}
-    assert other["big"].content_digest != got["big"].content_digest
-    assert other["small"].content_digest == got["small"].content_digest
+    other = {r.batch_id: r.source_checksum for r in digests.batch_digests(changed).collect()}
+    assert other["big"] != want["big"] and other["small"] == want["small"]

@@ -167,7 +167,9 @@ def test_load(spark, lake):
     assert loading.load(spark, lake, T3).count() == 0
     assert sorted(map(tuple, serving.customers().collect()), key=str) == before
     tries = {r.status: r["count"] for r in serving.attempts().groupBy("status").count().collect()}
-    assert tries == {"SUCCESS": 4, "SKIPPED": 4}
+    assert tries == {"SUCCESS": 5, "SKIPPED": 5}  # one of them has no rows
+    audit = {r.status: r.duration_ms for r in serving.audit().collect()}
+    assert list(audit) == ["SUCCESS"] and 0 <= audit["SUCCESS"] < 600_000
     serving.compact()
     assert sorted(map(tuple, serving.customers().collect()), key=str) == before
 
@@ -278,3 +280,79 @@ def test_report_is_written_as_json(spark, tmp_path):
     assert back.overall_status == "FAIL" and back.summary.failed_checks == 1
     assert back.results.primary_keys[0].check_name == "t.id"
     assert back.row_counts[0].row_count == 2
+
+
+def test_batches_without_rows_are_handed_on_once(spark, lake):
+    put(lake, {"none.csv": "customer_id,name,email,sales\n1,n,a@b.c,1.5\n", "head.csv": FILES["header_only.csv"]})
+    ingest.ingest(spark, lake, T0)
+    assert curation.pending(spark, lake).count() == 2
+    curation.curate(spark, lake, T1, max_invalid_percent=100)
+    assert curation.pending(spark, lake).count() == 0
+    handed = spark.read.parquet(lake.zone("serving_batches")).collect()
+    assert [(r.records_written, r.curated_object_keys) for r in handed] == [(0, [])] * 2
+    assert {r.status for r in loading.load(spark, lake, T2).collect()} == {"SUCCESS"}
+
+
+def test_a_failing_batch_is_parked_and_holds_up_no_other(spark, lake):
+    put(lake, {"uploads/a.csv": FILES["uploads/a.csv"], "b.csv": FILES["uploads/sub dir/b+c.csv"]})
+    ingest.ingest(spark, lake, T0)
+    curation.curate(spark, lake, T1, gate="batch")
+    names = lambda: {r.source_filename for r in spark.read.parquet(lake.zone("serving_batches")).collect()}
+    assert names() == {"b.csv"}
+    assert curation.curate(spark, lake, T2, gate="batch")["rows_read"] == 0
+    curation.curate(spark, lake, T2, gate="batch", max_invalid_percent=25)
+    assert names() == {"a.csv", "b.csv"}
+
+
+def test_rounds_do_all_batches(spark, lake, monkeypatch):
+    monkeypatch.setattr(curation, "ROUND", 2)
+    monkeypatch.setattr(loading, "ROUND", 2)
+    put(lake, {f"{k}.csv": f"customer_id,name,email,sales\n{k},n,a@b.c,{k}\n" for k in range(5)})
+    ingest.ingest(spark, lake, T0)
+    assert curation.curate(spark, lake, T1)["rows_written"] == 5
+    assert loading.load(spark, lake, T2).count() == 5
+    assert Serving(spark, lake).customers().count() == 5
+
+
+def test_a_load_that_breaks_off(spark, lake, monkeypatch):
+    put(lake, {"b.csv": FILES["uploads/sub dir/b+c.csv"]})
+    ingest.ingest(spark, lake, T0)
+    curation.curate(spark, lake, T1)
+    seen = []
+
+    def torn(*_):
+        seen.extend(r.status for r in Serving(spark, lake).audit().collect())
+        raise ValueError("torn")
+
+    with monkeypatch.context() as m:
+        m.setattr(loading.op, "merge_counts", torn)
+        with pytest.raises(ValueError, match="torn"):
+            loading.load(spark, lake, T2)
+    serving = Serving(spark, lake)
+    assert seen == ["IN_PROGRESS"]
+    assert [r.status for r in serving.audit().collect()] == ["FAILED"]
+    fault = serving.errors().first()
+    assert fault.customer_id is None and fault.error_message == "ValueError: torn"
+    assert serving.customers().count() == 0 and loading.redrive(spark, lake).count() == 1
+    assert [r.status for r in loading.load(spark, lake, T3).collect()] == ["SUCCESS"]
+    assert serving.customers().count() == 2
+
+
+def test_scans_are_limited_to_the_batches_of_the_run(spark, lake):
+    put(lake, {"a.csv": FILES["uploads/a.csv"], "b.csv": FILES["uploads/sub dir/b+c.csv"]})
+    run_all(spark, lake)
+    one = spark.read.parquet(lake.zone("serving_batches")).first().phase3_batch_id
+    frames = [
+        read_curated(spark, lake.zone("curated")).where(F.col("phase3_batch_id").isin([one])),
+        Serving(spark, lake).staging().where(F.col("batch_id").isin([one])),
+    ]
+    for frame in frames:
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: []" not in plan and one[:20] in plan.split("PartitionFilters")[1]
+
+
+def test_keys_below_a_repeated_folder(spark):
+    from batchlake.sources.listing import key_below
+
+    got = spark.range(1).select(key_below(F.lit("file:/lake/raw/lake/raw/f.csv"), "/lake/raw")).first()[0]
+    assert got == "lake/raw/f.csv"
