@@ -28,7 +28,7 @@ from batchlake.llm.arrow import ship, steps, sums, text_bytes, with_columns
 #: Most labelled rows the trees are fitted on.
 SAMPLE = 8192
 #: Reject below this probability of good quality.
-THRESHOLD = 0.3
+THRESHOLD = 0.5
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20

@@ -10,6 +10,7 @@ as a whole.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from itertools import chain, repeat
@@ -35,6 +36,7 @@ _LETTERS = re.compile(f" ?[{_LATIN}]+")
 #: printable, else the next free code from 256 on.
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _SPELLING = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
+_SPELLED_BLANK = chr(_SPELLING[0x20])
 #: Where a long text may be cut: before a single blank between two words.
 _SAFE = re.compile(f"(?<=[^{_BLANK}])(?= [^{_BLANK}])")
 
@@ -106,14 +108,17 @@ class Encoder:
     def _learn(self, words: list[str]) -> None:
         """Encode new words. A run of Latin letters is a single word to the tokenizer as well, so it
         goes straight to the tokenizer's merges, spelled in the letters that stand for bytes."""
-        merge = self.tokenizer.model.tokenize
+        merge, single = self.tokenizer.model.tokenize, _LETTERS.fullmatch
         lists = []
         for word in words:
-            if _LETTERS.fullmatch(word):
-                spelled = word.encode().decode("latin-1").translate(_SPELLING)
-                lists.append([t.id for t in merge(spelled)])
-            else:
+            if not single(word):
                 lists.append(self._ids([word])[0])
+                continue
+            if word.isascii():
+                spelled = word.replace(" ", _SPELLED_BLANK)
+            else:
+                spelled = word.encode().decode("latin-1").translate(_SPELLING)
+            lists.append([t.id for t in merge(spelled)])
         lengths = np.fromiter(map(len, lists), np.int64, len(lists))
         ids = np.fromiter(chain.from_iterable(lists), np.uint32, int(lengths.sum()))
         self.words.add(words, lengths, ids)
@@ -148,7 +153,7 @@ class Encoder:
         counts = pc.list_value_length(split).to_numpy().astype(np.int64)
         coded = pc.list_flatten(split).dictionary_encode()
         code = coded.indices.to_numpy()
-        keys = coded.dictionary.to_pylist()
+        keys = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         first = np.cumsum(counts) - counts
         heads = [" " + keys[k] for k in code[first]]
         numbers, own = self.pieces.numbers(keys), self.pieces.numbers(heads)
@@ -183,6 +188,16 @@ class Encoder:
         return out, total
 
     def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        # Nothing that is made on the way holds a cycle, so the collector would search in vain.
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         if not len(column):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)

@@ -50,7 +50,7 @@ def test_quality_verdict(spark, sf, judged):
 
 
 def test_quality_held_out(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
     half = F.xxhash64("doc_id") % 2 == 0
     model = quality.fit_model(docs, labels.where(half))
@@ -235,7 +235,7 @@ def test_lanes_agree_with_one_run():
     data = r.choice(np.frombuffer(b"abcdef0123 token:=\xff", np.uint8), 5000)
     data[1000:3000] = ord("a")
     state, want = 0, []
-    for c in data:
+    for c in data.tolist():
         state = int(auto.step[(state << 8) + c])
         want.append(state)
     for lanes in (1, 7, 64):

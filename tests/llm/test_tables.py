@@ -5,6 +5,7 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from decimal import Decimal
 
 import compare
 import corpus_pipeline
@@ -192,7 +193,7 @@ def test_allocation(spark):
     leaves = {(a, b, c): r.randint(0, 400) for a in "xyz" for b in "pq" for c in "123"}
     weights = {("x",): 5, ("y",): 0, ("z", "p"): 3, ("x", "p", "1"): 7, ("x", "p", "2"): 0}
     names = ["_level0", "_level1", "_level2"]
-    frame = spark.createDataFrame([(*k, v) for k, v in leaves.items()], f"{', '.join(f'{n} string' for n in names)}, supply decimal(38,0)")
+    frame = spark.createDataFrame([(*k, Decimal(v)) for k, v in leaves.items()], f"{', '.join(f'{n} string' for n in names)}, supply decimal(38,0)")
     for budget in (0, 100, 900, 2500, 10**6):
         rows = mixing.allocate(frame, names, weights, F.lit(str(budget))).collect()
         found = {tuple(x[n] for n in names): int(x["given"]) for x in rows}
