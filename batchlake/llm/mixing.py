@@ -13,7 +13,14 @@ bucket are combined before they are shuffled, buckets below the rest are taken a
 the documents of the one bucket that holds the border are put in order. So a leaf that holds
 most of all rows is neither sorted nor gathered.
 
-All amounts are integers, rounded down, so at most one token per child is left over.
+All amounts are integers, rounded down, so at most one token per child is lost to rounding. Since
+only whole documents are taken, a prefix can stop up to a document short of its allocation. With
+``refill``, what prefixes leave over is handed on: it is shared among the siblings whose next
+document fits into it, by weight, and what is left then goes whole to one leaf after the other, the
+shortest next document first, among the siblings, then below each ancestor up to the root. A leaf
+that was offered all of a rest has a next document longer than what remains, so it is asked once a
+level. In the end no leaf's next document fits into what is left of the whole budget. Without
+``refill`` these rests stay unused, up to a document less a token per leaf.
 
 Defined results: a null level counts as an empty string; a null text has no tokens; a document
 without tokens is in every epoch whose prefix reaches it. Weights that are not given are 1; a
@@ -103,6 +110,58 @@ def allocate(leaves: DataFrame, levels: list[str], weights: dict, budget: Column
     return nodes.drop("weight", "budget")
 
 
+def _refilled(ends: DataFrame, leaves: DataFrame, names: list[str], weights: dict, prefixes) -> DataFrame:
+    """``ends`` after what its prefixes leave over was handed on, siblings first, then upwards.
+
+    ``prefixes``: the prefixes of leaves for new allocations. Each round looks at the documents of
+    those leaves only that are offered something; all else works on a row per leaf.
+    """
+    paths = [_weight(weights, [F.col(c) for c in names[:depth]]) for depth in range(1, len(names) + 1)]
+    weight = F.when(F.least(*paths, F.lit(1).cast(_BIG)) > 0, paths[-1]).otherwise(0).cast(_BIG)
+    fixed = leaves.select(*names, "one", F.col("supply").alias("most"), weight.alias("weight"))
+    found = ["given", "full", "_stop", "next", "used"]
+    state = materialize(
+        ends.join(fixed, names).withColumn("left", (F.col("given") - F.col("used")).cast(_BIG)), "mix-left"
+    )
+    for depth in range(len(names) - 1, -1, -1):
+        parents = names[:depth] or [F.lit(1)]
+        shared = depth == len(names) - 1  # among siblings by weight at first
+        while True:
+            pool = F.sum("left").over(Window.partitionBy(*parents)).cast(_BIG)
+            fits = state.withColumn("budget", pool).where("weight > 0 AND next <= budget")
+            room = (F.col("most") - F.col("used")).cast(_BIG)
+            if shared:
+                offered = share_out(fits.withColumn("supply", room), parents, names[-1])
+                offered = offered.select(*names, F.col("given").alias("part"))
+            else:
+                rank = Window.partitionBy(*parents).orderBy("next", *names)
+                offered = fits.withColumn("_rank", F.row_number().over(rank)).where("_rank = 1")
+                offered = offered.select(*names, F.least("budget", room).cast(_BIG).alias("part"))
+            offered = materialize(offered, "mix-offers")
+            if offered.isEmpty():
+                break
+            shared = False
+            grown = prefixes(
+                state.join(offered, names).select(*names, "one", (F.col("used") + F.col("part")).cast(_BIG).alias("given"))
+            )
+            # The rest of a pool waits at its first leaf; only the sum counts.
+            new = grown.select(*names, *[F.col(c).alias(f"_new_{c}") for c in found], F.lit(True).alias("_new"))
+            first = F.row_number().over(Window.partitionBy(*parents).orderBy(*names)) == 1
+            state = (
+                state.withColumn("_pool", pool)
+                .join(new, names, "left")
+                .withColumn("_taken", F.when(F.col("_new"), F.col("_new_used") - F.col("used")).otherwise(0))
+                .withColumn("_rest", F.col("_pool") - F.sum("_taken").over(Window.partitionBy(*parents)))
+                .withColumn("left", F.when(first, F.col("_rest")).otherwise(0).cast(_BIG))
+                .select(
+                    *names, "one", "most", "weight", "left",
+                    *[F.when(F.col("_new"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in found],
+                )
+            )
+            state = materialize(state, "mix-left")
+    return state.select(*names, *found)
+
+
 def mix(
     docs: DataFrame,
     levels: dict[str, Column],
@@ -113,12 +172,14 @@ def mix(
     doc_id: str = "doc_id",
     text: str = "text",
     tokens: Column | None = None,
+    refill: bool = True,
 ) -> DataFrame:
     """The chosen rows of ``docs``, all columns in ``row``, with ``leaf`` (levels), ``tokens`` and
     ``epoch``.
 
     ``levels``: name and column of each level from the root down. ``weights``: by path of values.
-    ``share``: the budget as a fraction of one epoch of all documents.
+    ``share``: the budget as a fraction of one epoch of all documents. ``refill``: hand on what
+    prefixes leave over.
     """
     names = [f"_level{k}" for k in range(len(levels))]
     count = words(F.col(text)) if tokens is None else tokens
@@ -134,52 +195,70 @@ def mix(
     leaves = materialize(leaves, "mix-leaves").withColumn("supply", (F.col("one") * epochs).cast(_BIG))
     total = leaves.agg(F.sum("one").alias("t")).first()["t"] or 0
     budget = F.lit(str(int(total) * share[0] // share[1]))
-    rest = F.col("given") % F.greatest("one", F.lit(1).cast(_BIG))
-    plan = materialize(
-        allocate(leaves, names, weights, budget).select(
-            *names,
-            "given",
-            ((F.col("given") - rest) / F.greatest("one", F.lit(1).cast(_BIG))).cast("int").alias("full"),
-            rest.cast(_BIG).alias("rest"),
-        ),
-        "mix-plan",
-    )
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("full").cast("string"), F.coalesce("_id", F.lit(""))).cast("binary"))
 
-    def place(frame: DataFrame) -> DataFrame:
-        """With the plan of the row's leaf, and its place in the epoch that is taken in part."""
-        found = frame.join(plan, names)
-        key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("full").cast("string"), F.coalesce("_id", F.lit(""))).cast("binary"))
-        return found.withColumn("_place", key).withColumn("_bucket", F.substring("_place", 1, DIGITS))
-
-    placed = place(slim)
-    sums = placed.groupBy(*names, "_bucket", "rest").agg(F.sum("tokens").cast(_BIG).alias("sum"))
-    order = Window.partitionBy(*names).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    # At most 16**DIGITS rows per leaf.
-    sums = sums.withColumn("upto", F.sum("sum").over(order).cast(_BIG))
-    border = materialize(
-        sums.where("upto > rest")
-        .groupBy(*names)
-        .agg(F.min(F.struct("_bucket", (F.col("rest") - F.col("upto") + F.col("sum")).alias("room"))).alias("b"))
-        .select(*names, F.col("b._bucket").alias("_bucket"), F.col("b.room").alias("room")),
-        "mix-borders",
-    )
-    inside = Window.partitionBy(*names).orderBy("_place", "_id", "_mark").rowsBetween(Window.unboundedPreceding, 0)
-    # The first document of the border bucket that does not fit ends the prefix.
-    over = (
-        placed.join(border, [*names, "_bucket"])
-        .withColumn("upto", F.sum("tokens").over(inside))
-        .where("upto > room")
-        .groupBy(*names)
-        .agg(F.min(F.struct("_place", "_id", "_mark")).alias("_stop"))
-    )
-    ends = materialize(plan.join(over, names, "left"), "mix-ends")
+    def prefixes(given: DataFrame) -> DataFrame:
+        """``given`` (levels..., one, given) with the number of full epochs ``full``, the first
+        document after the prefix ``_stop``, its tokens ``next`` and the tokens ``used`` before it."""
+        rest = F.col("given") % F.greatest("one", F.lit(1).cast(_BIG))
+        plan = materialize(
+            given.select(
+                *names,
+                "one",
+                "given",
+                ((F.col("given") - rest) / F.greatest("one", F.lit(1).cast(_BIG))).cast("int").alias("full"),
+                rest.cast(_BIG).alias("rest"),
+            ),
+            "mix-plan",
+        )
+        # With the plan of the row's leaf, and its place in the epoch that is taken in part.
+        placed = slim.join(plan, names).withColumn("_place", key).withColumn("_bucket", F.substring("_place", 1, DIGITS))
+        sums = placed.groupBy(*names, "_bucket", "rest").agg(F.sum("tokens").cast(_BIG).alias("sum"))
+        order = Window.partitionBy(*names).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+        # At most 16**DIGITS rows per leaf.
+        sums = sums.withColumn("upto", F.sum("sum").over(order).cast(_BIG))
+        border = materialize(
+            sums.where("upto > rest")
+            .groupBy(*names)
+            .agg(F.min(F.struct("_bucket", (F.col("rest") - F.col("upto") + F.col("sum")).alias("room"))).alias("b"))
+            .select(*names, F.col("b._bucket").alias("_bucket"), F.col("b.room").alias("room")),
+            "mix-borders",
+        )
+        inside = Window.partitionBy(*names).orderBy("_place", "_id", "_mark").rowsBetween(Window.unboundedPreceding, 0)
+        # The first document of the border bucket that does not fit ends the prefix.
+        over = (
+            placed.join(border, [*names, "_bucket"])
+            .withColumn("upto", F.sum("tokens").over(inside))
+            .where("upto > room")
+            .groupBy(*names)
+            .agg(
+                F.min(F.struct("_place", "_id", "_mark")).alias("_stop"),
+                F.min(
+                    F.struct("_place", "_id", "_mark", "tokens", (F.col("room") - F.col("upto") + F.col("tokens")).alias("left"))
+                ).alias("_at"),
+            )
+        )
+        left = F.coalesce("_at.left", F.lit(0)).cast(_BIG)
+        return materialize(
+            plan.join(over, names, "left").select(
+                *names,
+                "given",
+                "full",
+                "_stop",
+                F.when(F.col("full") < epochs, F.col("_at.tokens")).cast(_BIG).alias("next"),
+                F.when(F.col("full") < epochs, F.col("given") - left).otherwise(F.col("given")).cast(_BIG).alias("used"),
+            ),
+            "mix-ends",
+        )
 
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("full").cast("string"), F.coalesce("_id", F.lit(""))).cast("binary"))
+    ends = prefixes(allocate(leaves, names, weights, budget))
+    if refill:
+        ends = _refilled(ends, leaves, names, weights, prefixes)
     here = F.struct(key.alias("_place"), F.col("_id").alias("_id"), F.col("_mark").alias("_mark"))
     partly = (F.col("full") < epochs) & (F.col("given") > 0) & (F.col("_stop").isNull() | (here < F.col("_stop")))
     taken = F.when(partly, F.col("full") + 1).otherwise(F.col("full"))
     return (
-        rows.join(ends, names)
+        rows.join(ends.select(*names, "given", "full", "_stop"), names)
         .withColumn("taken", taken)
         .where("taken > 0")
         .select("row", F.array(*names).alias("leaf"), "tokens", F.explode(F.sequence(F.lit(0), F.col("taken") - 1)).alias("epoch"))

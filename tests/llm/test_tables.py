@@ -1,5 +1,6 @@
 """Operators over vectors, conversations and pages, the mix and the pipeline."""
 
+import hashlib
 import html as html_module
 import math
 import random
@@ -239,6 +240,61 @@ def test_mix_weights(spark, sf):
         assert abs(sums[domain] - part * budget) <= 20_000
 
 
+def _mixed(docs, weights, budget, chosen, epochs=1, seed=0):
+    """Whether each leaf's choice is a prefix of its epochs; returns tokens used and next by leaf."""
+    leaves = defaultdict(dict)
+    for key, lang, source, text in docs:
+        leaves[lang, source][key] = len(plain.words(text))
+    taken = defaultdict(set)
+    for leaf, key, epoch in chosen:
+        assert (key, epoch) not in taken[leaf]
+        taken[leaf].add((key, epoch))
+    used, after = {}, {}
+    for leaf, sizes in leaves.items():
+        order = [
+            (key, e)
+            for e in range(epochs)
+            for key in sorted(sizes, key=lambda k, e=e: hashlib.md5(f"{seed}:{e}:{k}".encode()).hexdigest())
+        ]
+        n = len(taken[leaf])
+        assert set(order[:n]) == taken[leaf]
+        used[leaf] = sum(sizes[k] for k, _ in order[:n])
+        if n < len(order) and min(weights.get(leaf[:1], 1), weights.get(leaf, 1)):
+            after[leaf] = sizes[order[n][0]]
+    assert sum(used.values()) <= budget
+    return used, after
+
+
+@pytest.mark.parametrize(("epochs", "share"), [(1, (1, 2)), (1, (9, 10)), (2, (4, 5))])
+def test_mix_hands_on_what_prefixes_leave(spark, epochs, share):
+    """Leaves with a document longer than their share: others use it, so far as a document fits."""
+    r = random.Random(5)
+    docs = []
+    for lang in ("en", "de", "fr"):
+        for source in ("a", "b", "c", "d"):
+            for _ in range(r.randint(3, 25)):
+                docs.append((len(docs), lang, source, "w " * r.randint(1, 60)))
+    docs += [(1000 + k, "en", s, "w " * 2500) for k, s in enumerate("ab")]
+    docs += [(1100 + k, "de", "a", "w " * 900) for k in range(3)]
+    docs.append((1200, "it", "a", "w " * 4000))  # a leaf of one document
+    weights = {("en",): 3, ("en", "b"): 2, ("fr",): 2, ("de", "d"): 0}
+    frame = spark.createDataFrame(docs, "doc_id bigint, lang string, source string, text string")
+    levels = {"lang": F.col("lang"), "source": F.col("source")}
+    budget = sum(len(plain.words(d[3])) for d in docs) * share[0] // share[1]
+
+    def run(**options):
+        found = mixing.mix(frame, levels, weights, share, epochs, **options)
+        chosen = [(tuple(x["leaf"]), x["doc_id"], x["epoch"]) for x in found.select("leaf", "row.doc_id", "epoch").collect()]
+        return _mixed(docs, weights, budget, chosen, epochs)
+
+    used, after = run()
+    assert ("de", "d") not in {k for k, n in used.items() if n}
+    rest = budget - sum(used.values())
+    assert all(n > rest for n in after.values()), (rest, after)
+    before, _ = run(refill=False)
+    assert all(used[k] >= before[k] for k in used) and sum(used.values()) > sum(before.values())
+
+
 # ---- 10: main text ---------------------------------------------------------------------------
 
 
