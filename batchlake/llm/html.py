@@ -9,6 +9,11 @@ falls to nothing. Kept is what lies between a surge and the next dive, each stre
 first and last line with text. Where a page marks its article (``article``, ``main``), lines
 outside of it weigh nothing, so they can neither start nor carry a stretch.
 
+Class words are hints only. A word counts as a whole, or if all its hyphen-parts are such words.
+Inside a marked article only words for advertisements count. Elsewhere an element is dropped for
+its class or id unless it holds an ``article`` or ``main`` or, advertisements apart, the page's
+heaviest window.
+
 Defined results: a null, empty or markup-only page has an empty text. Broken markup never fails: an
 unclosed comment or tag runs to the end of the page, unclosed elements close with their parent.
 Rows with null or repeated ids are returned as they are; other columns are not read.
@@ -54,63 +59,129 @@ _CLOSES = {
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "p": {"p"},
 }
 
+#: Class words that also count inside a marked article.
+ADS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion".split())
+
 _TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?")
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 _SPACE = re.compile(r"\s+")
-_WORD = re.compile(r"[A-Za-z]+(?:-[A-Za-z]+)*")
 
 #: Lines in a window, and the share of the page's heaviest window at which a stretch begins.
 WINDOW, SURGE = 3, 0.08
 
 
-def _dropped(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element's content is left out; ``inside``: it is part of a marked article."""
+def _dropped(name: str, attributes: str, inside: bool) -> tuple[bool, int]:
+    """Whether an element's content is left out, and whether a class word speaks against it (2: as
+    an advertisement); ``inside``: it is part of a marked article."""
     if name in DROPPED or (name == "header" and not inside):
-        return True
+        return True, 0
     if name in ("html", "body", "main", "article") or not attributes.strip():
-        return False
+        return False, 0
+    doubtful, known = 0, ADS if inside else CLASSES
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "role" and value in ROLES:
-            return True
+            return True, 0
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
+            return True, 0
         if key in ("class", "id"):
-            for word in value.replace("_", "-").split():
-                parts = {word, *word.split("-")}
-                if parts & CLASSES and not (inside and parts & {"header"}):
-                    return True
-    return False
+            words = value.replace("_", "-").split()
+            for w in words:
+                if w in known or known.issuperset(w.split("-")):
+                    doubtful = max(doubtful, 1 + (w in ADS))
+    return False, doubtful
+
+
+def _judged(
+    weight: list[int], doubt: list[int], within: list[int], holds: list[bool], firm: list[bool], marked: bool
+) -> np.ndarray:
+    """Whether each line stays. ``doubt``: its innermost doubtful element or -1; by element:
+    ``within``, the doubtful element around it or -1, ``holds``, whether it holds an article, and
+    ``firm``, whether its weight counts for nothing."""
+    guilty = [not x for x in holds]
+    hidden = [False] * len(guilty)
+
+    def settle() -> np.ndarray:
+        for d, outer in enumerate(within):  # outer elements come first
+            hidden[d] = guilty[d] or (outer >= 0 and hidden[outer])
+        return np.array([d < 0 or not hidden[d] for d in doubt], dtype=bool)
+
+    kept = settle()
+    if marked or kept.all():
+        return kept
+    own = np.array(weight, dtype=np.int64)
+    # An element's lines follow each other, but for those of firm elements in it.
+    first, last = [len(doubt)] * len(guilty), [-1] * len(guilty)
+    for k, d in enumerate(doubt):
+        around = d
+        while around >= 0 and not (firm[around] and guilty[around]):
+            around = within[around]
+        if around >= 0:
+            own[k] = 0
+        elif d >= 0:
+            first[d], last[d] = min(first[d], k), k
+    for d in range(len(within) - 1, -1, -1):
+        if within[d] >= 0 and last[d] >= 0:
+            first[within[d]], last[within[d]] = min(first[within[d]], first[d]), max(last[within[d]], last[d])
+    heaviest = [int(window_sums(own[a : b + 1]).max()) if b >= 0 else 0 for a, b in zip(first, last, strict=True)]
+    clean = int(window_sums(np.where(kept, own, 0)).max())
+    most = max(heaviest)
+    if most > clean:
+        # The innermost element with the page's heaviest window, and those around it, stay.
+        d = max(x for x, value in enumerate(heaviest) if value == most)
+        while d >= 0:
+            guilty[d] = False
+            d = within[d]
+    return settle()
 
 
 def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Blocks of a page without markup, their text length outside of links, and whether each lies
     in a marked article."""
-    out: list[str] = []
+    out: list[str] = []  # pieces of lines; only an inline doubtful element cuts a line into pieces
     weight: list[int] = []
     inside: list[bool] = []
+    line: list[int] = []  # of each piece, the number of its line
     buffer: list[str] = []
-    linked = 0
-    open_: list[tuple[str, bool]] = []  # element, whether it is the one that is dropped
+    linked = n_lines = 0
+    open_: list[tuple[str, bool, int]] = []  # element, whether it is dropped, or doubtful
+    doubt: list[int] = []  # of each line, its innermost doubtful element
+    within: list[int] = []  # of each doubtful element, the one around it
+    holds: list[bool] = []
+    firm: list[bool] = []
     hidden = links = marked = 0
+    doubtful = -1
     at, n = 0, len(page)
 
-    def flush() -> None:
+    def piece() -> None:
+        """Put the buffer away as a piece of the line that is being read."""
         nonlocal linked
         if buffer:
-            text = _SPACE.sub(" ", html.unescape("".join(buffer))).strip()
-            if text:
+            text = _SPACE.sub(" ", html.unescape("".join(buffer)))
+            if text.strip():
                 out.append(text)
-                weight.append(max(0, len(text) - linked))
+                weight.append(max(0, len(text.strip()) - linked))
                 inside.append(marked > 0)
+                doubt.append(doubtful)
+                line.append(n_lines)
+            elif line and line[-1] == n_lines:
+                out[-1] += " "  # a blank between two pieces
             buffer.clear()
         linked = 0
 
+    def flush() -> None:
+        nonlocal n_lines
+        piece()
+        n_lines += 1
+
     def close(k: int) -> None:
         """Close the open elements from number ``k`` on."""
-        nonlocal hidden, links, marked
-        for name, drops in open_[k:]:
+        nonlocal hidden, links, marked, doubtful
+        for name, drops, doubts in reversed(open_[k:]):
             hidden -= drops
+            if doubts:
+                piece()
+                doubtful = within[doubtful]
             links -= name == "a"
             if name in ("article", "main"):
                 flush()
@@ -158,13 +229,38 @@ def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray]:
             at = n if not end else end.start()
         if name in _CLOSES and open_ and open_[-1][0] in _CLOSES[name]:
             close(len(open_) - 1)
-        drops = _dropped(name, tag[3], marked > 0)
-        open_.append((name, drops))
+        drops, doubts = _dropped(name, tag[3], marked > 0)
+        if doubts:
+            piece()
+            within.append(doubtful)
+            holds.append(False)
+            firm.append(doubts > 1)
+            doubtful = len(within) - 1
+        if name in ("article", "main") and not hidden:
+            outer = doubtful
+            while outer >= 0 and not holds[outer]:
+                holds[outer], outer = True, within[outer]
+        open_.append((name, drops, doubts))
         hidden += drops
         links += name == "a"
         marked += name in ("article", "main")
     flush()
-    return out, np.array(weight, dtype=np.int64), np.array(inside, dtype=bool)
+    kept = _judged(weight, doubt, within, holds, firm, any(inside))
+    texts: list[str] = []
+    sizes: list[int] = []
+    places: list[bool] = []
+    last = -1
+    for k in np.flatnonzero(kept):
+        if line[k] == last:
+            texts[-1] += out[k]
+            sizes[-1] += weight[k]
+        else:
+            texts.append(out[k])
+            sizes.append(weight[k])
+            places.append(inside[k])
+        last = line[k]
+    texts = [_SPACE.sub(" ", t).strip() for t in texts]
+    return texts, np.array(sizes, dtype=np.int64), np.array(places, dtype=bool)
 
 
 def window_sums(weight: np.ndarray, width: int = WINDOW) -> np.ndarray:

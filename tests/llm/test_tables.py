@@ -337,6 +337,27 @@ def test_main_text_of_odd_pages(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div class='layout has-sidebar'><article><p>{LONG}</article></div>", LONG.strip()),
+        (f"<div class=sidebar><article><p>{LONG}</article><div class=sidebar>{LONG}</div></div>", LONG.strip()),
+        (f"<div id=page-header-wrap class=no-sidebar><p>{LONG}</div>", LONG.strip()),
+        (f"<div class=overlay><p>{LONG}<p>{LONG}<div class=related>some more</div></div><p>short", f"{LONG.strip()}\n{LONG.strip()}\nshort"),
+        (f"<p>{LONG}one <span class=share>no</span>two<b class=widget>no</b>, three", f"{LONG}one two, three"),
+        (f"<p>{LONG}<div class='cookie-notice'>{LONG}</div>", LONG.strip()),
+        (f"<p>{LONG}<div class='foot'>x <span class=ad>{LONG}</span></div>", f"{LONG.strip()}\nx"),
+        (
+            f"<article><p>{LONG}</p><section class=discussion>a</section><p class=legal>b</p><div class=social-history>c</div>"
+            "<div class='related-work'>d</div><div class=sponsored>no</div></article>",
+            f"{LONG.strip()}\na\nb\nc\nd",
+        ),
+    ],
+)
+def test_class_words_are_hints(page, text):
+    assert html.main_text(page) == text
+
+
 def test_line_blocks():
     weight = np.array([0, 3, 0, 0, 0, 0, 200, 180, 0, 190, 0, 0, 0, 0, 5, 0, 0, 0])
     assert html.stretches(weight) == [(6, 10)] or html.stretches(weight)[0][0] == 6
