@@ -53,17 +53,34 @@ CLASSES = frozenset(
     "aside widget widgets related recommended share sharing social comment comments comment-list "
     "respond reply replies disqus discussion pagination pager toolbar topbar legal copyright".split()
 )
-#: Elements that close an open one of the second set when they begin.
+#: Elements in which an open element outside is out of reach, as HTML defines it.
+_SCOPE = frozenset("applet caption html table td th marquee object template button svg math".split())
+_WALL = (BLOCK | _SCOPE) - {"address", "div", "p"}
+#: Elements that close an open one of the second set, and all within it, when they begin, unless one
+#: of the third set lies between.
+_TABLE = frozenset({"table", "template", "html"})
 _CLOSES = {
-    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
-    "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "p": {"p"},
+    "li": (frozenset({"li"}), _WALL - {"li"}),
+    "dt": (frozenset({"dt", "dd"}), _WALL - {"dt", "dd"}),
+    "dd": (frozenset({"dt", "dd"}), _WALL - {"dt", "dd"}),
+    "tr": (frozenset({"tr", "caption"}), _TABLE),
+    "td": (frozenset({"td", "th"}), _TABLE | {"tr"}),
+    "th": (frozenset({"td", "th"}), _TABLE | {"tr"}),
+    **dict.fromkeys(("tbody", "thead", "tfoot"), (frozenset({"tbody", "thead", "tfoot", "caption"}), _TABLE)),
+    "option": (frozenset({"option"}), frozenset({"select", "datalist", "optgroup"})),
 }
+_P = frozenset({"p"})
+#: Elements that close an open p.
+_ENDS_P = BLOCK - set("body br caption html legend option tbody td tfoot th thead tr".split()) | {"dir", "search", "xmp"}
 
 #: Class words that also count inside a marked article.
 ADS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion".split())
 
-_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?")
-_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
+#: A quote only opens a value right after "="; elsewhere, or if no other follows, it is a character.
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s>]*+))?+""")
+_TAG = re.compile(
+    r"""<(/?)([A-Za-z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*"|'[^']*'|[^\s>]*+))?+)*+)>?"""
+)
 _SPACE = re.compile(r"\s+")
 
 #: Lines in a window, and the share of the page's heaviest window at which a stretch begins.
@@ -149,7 +166,7 @@ def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray]:
     within: list[int] = []  # of each doubtful element, the one around it
     holds: list[bool] = []
     firm: list[bool] = []
-    hidden = links = marked = 0
+    hidden = links = marked = open_p = 0
     doubtful = -1
     at, n = 0, len(page)
 
@@ -176,9 +193,10 @@ def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray]:
 
     def close(k: int) -> None:
         """Close the open elements from number ``k`` on."""
-        nonlocal hidden, links, marked, doubtful
+        nonlocal hidden, links, marked, doubtful, open_p
         for name, drops, doubts in reversed(open_[k:]):
             hidden -= drops
+            open_p -= name == "p"
             if doubts:
                 piece()
                 doubtful = within[doubtful]
@@ -188,6 +206,15 @@ def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray]:
                 marked -= 1
         del open_[k:]
 
+    def shut(names: frozenset[str], wall: frozenset[str]) -> None:
+        """Close the last open element of ``names``, if it lies in no element of ``wall``."""
+        for k in range(len(open_) - 1, -1, -1):
+            if open_[k][0] in names:
+                close(k)
+                return
+            if open_[k][0] in wall:
+                return
+
     while at < n:
         begin = page.find("<", at)
         if begin < 0:
@@ -223,12 +250,16 @@ def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray]:
                     break
             continue
         if name in VOID:
+            if name == "hr" and open_p:
+                shut(_P, _SCOPE)
             continue
         if name in RAW and not (name == "noscript"):
             end = re.compile(f"</{name}\\b", re.I).search(page, at)
             at = n if not end else end.start()
-        if name in _CLOSES and open_ and open_[-1][0] in _CLOSES[name]:
-            close(len(open_) - 1)
+        if name in _ENDS_P and open_p:
+            shut(_P, _SCOPE)
+        if name in _CLOSES:
+            shut(*_CLOSES[name])
         drops, doubts = _dropped(name, tag[3], marked > 0)
         if doubts:
             piece()
@@ -242,6 +273,7 @@ def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray]:
                 holds[outer], outer = True, within[outer]
         open_.append((name, drops, doubts))
         hidden += drops
+        open_p += name == "p"
         links += name == "a"
         marked += name in ("article", "main")
     flush()

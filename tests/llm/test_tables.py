@@ -358,6 +358,25 @@ def test_class_words_are_hints(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<p class="x"">Hello there <a href="u">you</a>.', "Hello there you."),
+        ("<p><a title=Bob's>First</a> words, don't stop.", "First words, don't stop."),
+        ('<p title="open>Hello there.', "Hello there."),
+        ('<p title = "a > b" data-x=\'c > d\'>Hello there.<br/>', "Hello there."),
+        (f"<p class=ad>no<div>{LONG}</div>", LONG.strip()),
+        (f"<div><p class=ad>no <b>no<h2>Yes</h2>{LONG}</div>", f"Yes\n{LONG.strip()}"),
+        (f"<p class=ad>no<article>{LONG}</article>", LONG.strip()),
+        (f"<p class=ad>no<hr>{LONG}", LONG.strip()),
+        (f"<p class=ad>no<table><tr><td class=ad><div>no<td>{LONG}</table>", LONG.strip()),
+        (f"<ul><li class=ad><b>no<li>{LONG}<ul><li>in</ul>out</ul>", f"{LONG.strip()}\nin\nout"),
+    ],
+)
+def test_stray_quotes_and_unclosed_elements(page, text):
+    assert html.main_text(page) == text
+
+
 def test_line_blocks():
     weight = np.array([0, 3, 0, 0, 0, 0, 200, 180, 0, 190, 0, 0, 0, 0, 5, 0, 0, 0])
     assert html.stretches(weight) == [(6, 10)] or html.stretches(weight)[0][0] == 6
