@@ -6,8 +6,11 @@ rest into blocks at block-level tags. Each block is a line, weighted with its te
 of links. Sums over sliding windows of lines give the block distribution: a surge point is a line
 at which the sum rises above a threshold that the page itself sets, a dive point one at which it
 falls to nothing. Kept is what lies between a surge and the next dive, each stretch trimmed to its
-first and last line with text. Where a page marks its article (``article``, ``main``), lines
-outside of it weigh nothing, so they can neither start nor carry a stretch.
+first and last line with text. A stretch is then joined with its neighbourhood, whatever the page's
+threshold: paragraphs that stand in the same element as its heaviest one, headings that touch it or
+lie within a window before it in that element, and link-only list items of that element that touch
+its end (or its begin, if the element is not the whole page). Where a page marks its article
+(``article``, ``main``), all lines inside are kept, and no others.
 
 Class words are hints only. A word counts as a whole, or if all its hyphen-parts are such words.
 Inside a marked article only words for advertisements count. Elsewhere an element is dropped for
@@ -53,6 +56,11 @@ CLASSES = frozenset(
     "aside widget widgets related recommended share sharing social comment comments comment-list "
     "respond reply replies disqus discussion pagination pager toolbar topbar legal copyright".split()
 )
+#: Headings, elements of running text, list items, and lists and cells, which are no neighbourhood.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+TEXT = HEADINGS | {"p", "pre", "blockquote"}
+ITEMS = frozenset({"li", "dt", "dd"})
+LISTS = ITEMS | set("ul ol dl table tbody thead tfoot tr td th blockquote".split())
 #: Elements in which an open element outside is out of reach, as HTML defines it.
 _SCOPE = frozenset("applet caption html table td th marquee object template button svg math".split())
 _WALL = (BLOCK | _SCOPE) - {"address", "div", "p"}
@@ -152,12 +160,15 @@ def _judged(
     return settle()
 
 
-def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Blocks of a page without markup, their text length outside of links, and whether each lies
-    in a marked article."""
+def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray, list[int], list[tuple[str, int]]]:
+    """Blocks of a page without markup, their text length outside of links, whether each lies in a
+    marked article, the block-level element it stands in, and these elements (name, parent)."""
     out: list[str] = []  # pieces of lines; only an inline doubtful element cuts a line into pieces
     weight: list[int] = []
     inside: list[bool] = []
+    node: list[int] = []
+    elements: list[tuple[str, int]] = [("", -1)]
+    blocks: list[int] = [0]  # the block-level element of each open element, after the page's own
     line: list[int] = []  # of each piece, the number of its line
     buffer: list[str] = []
     linked = n_lines = 0
@@ -180,6 +191,7 @@ def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray]:
                 weight.append(max(0, len(text.strip()) - linked))
                 inside.append(marked > 0)
                 doubt.append(doubtful)
+                node.append(blocks[-1])
                 line.append(n_lines)
             elif line and line[-1] == n_lines:
                 out[-1] += " "  # a blank between two pieces
@@ -204,7 +216,7 @@ def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray]:
             if name in ("article", "main"):
                 flush()
                 marked -= 1
-        del open_[k:]
+        del open_[k:], blocks[k + 1 :]
 
     def shut(names: frozenset[str], wall: frozenset[str]) -> None:
         """Close the last open element of ``names``, if it lies in no element of ``wall``."""
@@ -272,6 +284,11 @@ def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray]:
             while outer >= 0 and not holds[outer]:
                 holds[outer], outer = True, within[outer]
         open_.append((name, drops, doubts))
+        if name in BLOCK:
+            elements.append((name, blocks[-1]))
+            blocks.append(len(elements) - 1)
+        else:
+            blocks.append(blocks[-1])
         hidden += drops
         open_p += name == "p"
         links += name == "a"
@@ -281,6 +298,7 @@ def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray]:
     texts: list[str] = []
     sizes: list[int] = []
     places: list[bool] = []
+    nodes: list[int] = []
     last = -1
     for k in np.flatnonzero(kept):
         if line[k] == last:
@@ -290,9 +308,10 @@ def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray]:
             texts.append(out[k])
             sizes.append(weight[k])
             places.append(inside[k])
+            nodes.append(node[k])
         last = line[k]
     texts = [_SPACE.sub(" ", t).strip() for t in texts]
-    return texts, np.array(sizes, dtype=np.int64), np.array(places, dtype=bool)
+    return texts, np.array(sizes, dtype=np.int64), np.array(places, dtype=bool), nodes, elements
 
 
 def window_sums(weight: np.ndarray, width: int = WINDOW) -> np.ndarray:
@@ -322,18 +341,57 @@ def stretches(weight: np.ndarray, width: int = WINDOW, surge: float = SURGE) ->
     return found
 
 
+def _joined(a: int, b: int, weight: np.ndarray, node: list[int], elements: list[tuple[str, int]]) -> tuple[int, int]:
+    """The stretch from line ``a`` to ``b`` with the lines of its neighbourhood that belong to it."""
+    heaviest = a + int(weight[a:b].argmax())
+    name, home = elements[node[heaviest]]
+    if home < 0 or (name not in TEXT and node[a:b].count(node[heaviest]) > 1):
+        home = node[heaviest]  # lines cut by br, or text outside of any element
+    while elements[home][0] in LISTS:
+        home = elements[home][1]
+    page = elements[home][0] in ("", "html", "body")
+
+    def within(k: int, names: frozenset[str] | None = None) -> bool:
+        """Whether a line lies in ``home`` (in an element of ``names`` there)."""
+        at, found = node[k], names is None
+        while at >= 0 and at != home:
+            found |= names is not None and elements[at][0] in names
+            at = elements[at][1]
+        return at == home and found
+
+    alike = [
+        k
+        for k in np.flatnonzero(weight)
+        if node[k] == home or (elements[node[k]][1] == home and elements[node[k]][0] in TEXT | {name})
+    ]
+    a, b = min([a, *alike]), max([b, *(k + 1 for k in alike)])
+    while b < len(weight) and not weight[b] and within(b, ITEMS):
+        b += 1
+    while not page and a and not weight[a - 1] and within(a - 1, ITEMS):
+        a -= 1
+    while a:
+        near = [
+            k
+            for k in range(max(0, a - WINDOW), a)
+            if elements[node[k]][0] in HEADINGS and (k == a - 1 or within(k))
+        ]
+        if not near:
+            break
+        a = near[0]
+    return a, b
+
+
 def main_text(page: str | None) -> str:
     """The article of a page, blocks joined by line ends."""
-    blocks, weight, inside = lines(page or "")
+    blocks, weight, inside, node, elements = lines(page or "")
     if inside.any():
-        weight = np.where(inside, np.maximum(weight, 1), 0)
-    kept = [
-        blocks[k]
-        for a, b in stretches(weight)
-        for k in range(a, b)
-        if weight[k] or not inside.any()
-    ]
-    return "\n".join(kept)
+        return "\n".join(x for x, stays in zip(blocks, inside, strict=True) if stays)
+    kept = np.zeros(len(blocks), dtype=bool)
+    for a, b in stretches(weight):
+        if not kept[a:b].all():
+            a, b = _joined(a, b, weight, node, elements)
+            kept[a:b] = True
+    return "\n".join(blocks[k] for k in np.flatnonzero(kept))
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", page: str = "html", keep: tuple[str, ...] = ("url",)) -> DataFrame:

@@ -377,6 +377,26 @@ def test_stray_quotes_and_unclosed_elements(page, text):
     assert html.main_text(page) == text
 
 
+LINKS = "<ul>" + "<li><a href=u>A link</a>" * 4 + "</ul>"
+LINKED = "\nA link" * 4
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<article><p>{LONG * 9}</p>{LINKS}<p>End.</p></article><p>c", f"{(LONG * 9).strip()}{LINKED}\nEnd."),
+        (f"<article><p>{LONG * 9}</p></article><p>c</p>{LINKS}<article>Short.</article>", f"{(LONG * 9).strip()}\nShort."),
+        (
+            f"<div>{LINKS}</div><div><h1><a href=u>Head</a></h1><p>{LONG * 9}<p>{LONG}{LINKS}<p>End.</p>{LINKS}</div><div>{LINKS}</div>{LINKS}<div>c</div>",
+            f"Head\n{(LONG * 9).strip()}\n{LONG.strip()}{LINKED}\nEnd.{LINKED}",
+        ),
+        (f"<h2><a>Head</a></h2><p><a>By me</a><p>{LONG * 9}{LINKS}<p>End.</p><div><a>x</a></div>", f"Head\nBy me\n{(LONG * 9).strip()}{LINKED}\nEnd."),
+    ],
+)
+def test_main_text_keeps_whole_articles(page, text):
+    assert html.main_text(page) == text
+
+
 def test_line_blocks():
     weight = np.array([0, 3, 0, 0, 0, 0, 200, 180, 0, 190, 0, 0, 0, 0, 5, 0, 0, 0])
     assert html.stretches(weight) == [(6, 10)] or html.stretches(weight)[0][0] == 6
