@@ -10,6 +10,7 @@ costs its own size, and ``compact`` folds the changes into a new base now and th
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -27,8 +28,8 @@ from batchlake.sinks import writers
 from batchlake.sources.tables import read_curated, with_file
 
 MAX_ATTEMPTS = 3
-#: Batches loaded at a time. All waiting ones are, in rounds of this many, by batch id; each round
-#: names its folders to the scans.
+#: Batches loaded at a time. All waiting ones are, in rounds of this many, by ingestion time, then
+#: batch id; each round names its folders to the scans.
 ROUND = 1_000
 
 _SEQ = T.StructField("load_seq", T.StringType())
@@ -155,7 +156,7 @@ def load(
 ) -> DataFrame:
     """Load every handed-on batch that is not loaded yet; returns the audit rows of this run.
 
-    The batches of a round load as if one after the other, by ingestion time then id, but all in one
+    All batches load as if one after the other, by ingestion time then id, those of a round in one
     job. While a round runs its batches are IN_PROGRESS in the audit; if it breaks off they are
     FAILED, with a row in the errors that carries no customer.
     """
@@ -171,17 +172,12 @@ def load(
     tried = materialize(
         _attempt_rows(op.already_loaded(asked, audit), now, "SKIPPED"), "skipped"
     )
-    todo = materialize(op.skip_loaded(asked, audit), "to-load")
+    todo = _timed(spark, lake, materialize(op.skip_loaded(asked, audit), "to-load"))
     if not tried.isEmpty():
         _note(serving, tried)
-    done, after = [], ""
-    while True:
-        page = todo.where(F.col("batch_id") > after).orderBy("batch_id").select("batch_id")
-        names = [r[0] for r in page.limit(ROUND).collect()]
-        if not names:
-            break
-        after = names[-1]
-        mine = todo.where(F.col("batch_id").isin(names))
+    done = []
+    for names in _pages(todo, "_at", "batch_id"):
+        mine = todo.where(F.col("batch_id").isin(names)).drop("_at")
         writers.append(_attempt_rows(mine, now, "IN_PROGRESS"), serving.path("audit"))
         try:
             done.append(_load_batches(spark, lake, serving, mine, names, run_ts))
@@ -200,6 +196,40 @@ def load(
     return reduce(DataFrame.unionByName, done)
 
 
+def _pages(batches: DataFrame, *order: str) -> Iterator[list[str]]:
+    """Batch ids in the given order, ``ROUND`` at a time."""
+    at = F.struct(*order)
+    rest = batches
+    while True:
+        page = rest.orderBy(*order).select(*order).limit(ROUND).collect()
+        if not page:
+            return
+        yield [r["batch_id"] for r in page]
+        rest = batches.where(at > F.struct(*[F.lit(page[-1][c]).alias(c) for c in order]))
+
+
+def _timed(spark: SparkSession, lake: Lake, todo: DataFrame) -> DataFrame:
+    """``todo`` with the ingestion time ``_at`` of each batch; empty if it has no rows.
+
+    The order matters between rounds only, so the times are read (one column of the waiting
+    batches) if there is more than one.
+    """
+    if todo.limit(ROUND + 1).count() <= ROUND:
+        return todo.withColumn("_at", F.lit(""))
+    curated = read_curated(spark, lake.zone("curated"))
+    times = [
+        materialize(
+            curated.where(F.col("phase3_batch_id").isin(names))
+            .groupBy(F.col("phase3_batch_id").alias("batch_id"))
+            .agg(F.min("ingestion_timestamp").alias("_at")),
+            "batch-times",
+        )
+        for names in _pages(todo, "batch_id")
+    ]
+    found = todo.join(reduce(DataFrame.unionByName, times), "batch_id", "left")
+    return materialize(found.na.fill("", ["_at"]), "to-load-by-time")
+
+
 def _batch_errors(batches: DataFrame, message: Column, now: Column) -> DataFrame:
     """Error rows for whole batches; they carry no customer."""
     return batches.select(

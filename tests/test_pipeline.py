@@ -2,6 +2,7 @@
 
 import json
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -314,6 +315,24 @@ def test_rounds_do_all_batches(spark, lake, monkeypatch):
     assert Serving(spark, lake).customers().count() == 5
 
 
+def test_rounds_load_by_ingestion_time(spark, lake, tmp_path, tmp_path_factory, monkeypatch):
+    """Customers shared between batches: the audit does not depend on the size of a round."""
+    for k in range(6):
+        rows = "".join(f"{c},n{k},a@b.c,{k}\n" for c in range(6 - k, 10 - k))
+        put(lake, {f"{k}.csv": "customer_id,name,email,sales\n" + rows})
+        os.utime(os.path.join(lake.zone("raw"), f"{k}.csv"), (1_700_000_000 - 9000 * k,) * 2)
+    ingest.ingest(spark, lake, T0)
+    curation.curate(spark, lake, T1)
+    other = shutil.copytree(tmp_path, tmp_path_factory.mktemp("copy") / "lake")
+    found = []
+    for size, here in ((1_000, lake), (2, type(lake)(str(other)))):
+        monkeypatch.setattr(loading, "ROUND", size)
+        rows = loading.load(spark, here, T2).collect()
+        found.append({r["batch_id"]: (r["records_loaded"], r["records_updated"], r["source_file"]) for r in rows})
+    assert len(found[0]) == 6 and found[0] == found[1]
+    assert len({x[:2] for x in found[0].values()}) > 1
+
+
 def test_a_load_that_breaks_off(spark, lake, monkeypatch):
     put(lake, {"b.csv": FILES["uploads/sub dir/b+c.csv"]})
     ingest.ingest(spark, lake, T0)
