@@ -14,6 +14,7 @@ of spans (code points) of the assistant's texts in the formatted conversation.
 Defined results: null texts and roles count as empty. A message whose parent is missing begins a
 tree; messages on a cycle, and replies to them, belong to none and are left out. Ties in rank go
 to the smaller leaf id. A message id that repeats in a tree is one message (the smallest row).
+Rows without a tree (a null ``conv_id``) or a message id belong to no conversation and are left out.
 """
 
 from __future__ import annotations
