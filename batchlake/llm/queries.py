@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlake.llm import binary, chat, html, mixing, packing, pii, quality, secrets, simhash, sql, topk
+from batchlake.llm import binary, bpe, centroids, chat, html, merkle, mixing, packing, pii, quality, secrets, simhash, sql, topk
 from batchlake.llm.arrow import span_count, span_text
 
 QUERIES: dict = {}
@@ -144,3 +144,52 @@ def op9_packing(spark, sf):
 @query
 def op10_main_text(spark, sf):
     return html.extract(table(spark, sf, "pages"))
+
+
+@query
+def op11_recursive_bpe(spark, sf):
+    import public_tokenizers
+
+    ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN).drop("text")
+    return bpe.decode(encoded, ranks).select(
+        "doc_id",
+        F.shiftright(F.octet_length("ids"), 2).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op12_merkle_manifest(spark, sf):
+    docs = table(spark, sf, "documents")
+    fields = [docs[c] for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    tampered = [*fields[:3], docs["n_chars"].cast("decimal(38,0)") + 1, fields[4]]
+    altered = F.pmod(F.crc32(docs["doc_id"].cast("string")), F.lit(7)) == 0
+    leaves = docs.select(
+        "doc_id",
+        "lang",
+        merkle.leaf_digest(*fields).alias("leaf"),
+        F.when(altered, merkle.leaf_digest(*tampered)).alias("tampered"),
+    )
+    proofs = merkle.Manifest(merkle.place(leaves, "lang", "doc_id")).proofs()
+    checked = merkle.verify(proofs.withColumn("seen", F.coalesce("tampered", "leaf")), "seen")
+    return checked.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        F.col("top").alias("root"),
+        F.sha2("path", 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("top")).alias("verified"),
+    )
+
+
+@query
+def op13_drift_clusters(spark, sf):
+    return centroids.with_inertia(centroids.cluster(table(spark, sf, "embeddings")))
+
+
+ORACLES["op12_merkle_manifest"] = sql.MERKLE
+ORACLES["op13_drift_clusters"] = sql.clusters(8, 10, 64)

@@ -105,3 +105,106 @@ WITH docs AS (
 )
 SELECT doc_id, domain, lang, source, tokens, unnest(range(taken))::INTEGER AS epoch FROM chosen WHERE taken > 0
 """
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR) || ':' || {value}::VARCHAR END"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(v) for v in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+_CRC32 = """xor(4294967295, list_reduce(
+  list_concat([4294967295], list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+  lambda c, b: list_reduce(
+    list_concat([xor(c, b)], range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+MERKLE = f"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, lang, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, {_leaf('n_chars')} AS leaf,
+    CASE WHEN {_CRC32} % 7 = 0 THEN {_leaf('(n_chars + 1)')} ELSE {_leaf('n_chars')} END AS seen
+  FROM documents
+), leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n
+  FROM rows
+), nodes(tree, level, n, pos, hash) AS (
+  SELECT tree, 0, n, pos, leaf FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, (n + 1) // 2, pos // 2, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY tree, level, n, pos // 2
+), subroots AS MATERIALIZED (
+  SELECT tree, level AS height, hash AS subroot, count(*) OVER () AS trees FROM nodes WHERE n = 1
+), roof(level, n, pos, hash) AS (
+  SELECT 0, trees, tree, subroot FROM subroots
+  UNION ALL
+  SELECT level + 1, (n + 1) // 2, pos // 2, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM roof WHERE n > 1 GROUP BY level, n, pos // 2
+), levels AS (
+  SELECT DISTINCT tree, level FROM nodes WHERE n > 1
+), roof_levels AS (
+  SELECT DISTINCT level FROM roof WHERE n > 1
+), path AS MATERIALIZED (
+  SELECT l.tree, l.pos, v.level AS step, (l.pos >> v.level) % 2 AS odd, s.hash AS other
+  FROM leaves l JOIN levels v USING (tree)
+  LEFT JOIN nodes s ON s.tree = l.tree AND s.level = v.level AND s.pos = xor(l.pos >> v.level, 1)
+  UNION ALL
+  SELECT l.tree, l.pos, t.height + v.level, (l.tree >> v.level) % 2, s.hash
+  FROM leaves l JOIN subroots t USING (tree) CROSS JOIN roof_levels v
+  LEFT JOIN roof s ON s.level = v.level AND s.pos = xor(l.tree >> v.level, 1)
+), folded(tree, pos, step, hash) AS (
+  SELECT tree, pos, 0, seen FROM leaves
+  UNION ALL
+  SELECT f.tree, f.pos, f.step + 1, sha256(CASE WHEN other IS NULL THEN f.hash WHEN odd = 1 THEN other || f.hash ELSE f.hash || other END)
+  FROM folded f JOIN path USING (tree, pos, step)
+), ends AS (
+  SELECT tree, pos, arg_max(hash, step) AS folded_root FROM folded GROUP BY tree, pos
+), proofs AS (
+  SELECT tree, pos, string_agg(other, '' ORDER BY step) AS proof FROM path GROUP BY tree, pos
+)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN subroots USING (tree) JOIN ends USING (tree, pos) LEFT JOIN proofs USING (tree, pos)
+CROSS JOIN (SELECT hash AS root FROM roof WHERE n = 1)
+"""
+
+
+def clusters(k: int, rounds: int, size: int) -> str:
+    """Rows of the clustering operator: every round as a step of its own."""
+
+    def nearest(number: int, centroids: str) -> str:
+        return f"""
+a{number} AS MATERIALIZED (
+  SELECT rid, c, dist FROM (
+    SELECT rid, c, sum((p.x - q.x) * (p.x - q.x)) AS dist FROM parts p JOIN {centroids} q USING (d) GROUP BY rid, c
+  ) QUALIFY row_number() OVER (PARTITION BY rid ORDER BY dist, c) = 1
+)"""
+
+    steps = []
+    for r in range(rounds):
+        steps.append(nearest(r, f"c{r}"))
+        steps.append(f"""
+c{r + 1} AS MATERIALIZED (
+  SELECT q.c, q.d, coalesce(m.x, q.x) AS x FROM c{r} q LEFT JOIN (
+    SELECT c, d, (total - ((total % n) + n) % n) // n AS x
+    FROM (SELECT c, d, sum(x) AS total, count(*)::HUGEINT AS n FROM a{r} JOIN parts USING (rid) GROUP BY c, d)
+  ) m ON m.c = q.c AND m.d = q.d
+)""")
+    steps.append(nearest(rounds, f"c{rounds}"))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::HUGEINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT rid, unnest(range({size})) AS d, unnest(v) AS x FROM kept
+), seeds AS (
+  SELECT rid, row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS c FROM kept WHERE vec_id IS NOT NULL
+), c0 AS MATERIALIZED (
+  SELECT c, d, x FROM seeds JOIN parts USING (rid) WHERE c < {k}
+), {",".join(steps)}, digests AS (
+  SELECT c, sha256(string_agg(x, ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY c
+)
+SELECT vec_id, c::INTEGER AS cluster, dist::BIGINT AS distance, (sum(dist) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+  (sum(dist) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN kept USING (rid) JOIN digests USING (c)
+"""
