@@ -33,16 +33,17 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from batchlake.llm.arrow import filled, ragged, ship, steps, sums, text_bytes
+from batchlake.llm.arrow import ragged, ship, steps, sums, text_bytes
 from batchlake.llm.tokens import Encoder, _Store
 
 #: Steps of one recursive query; bytes of new words, and ids of texts, that one query takes.
-STEPS, WORD_BYTES, DECODED = 24, 1 << 20, 1 << 20
+STEPS, WORD_BYTES, DECODED = 24, 1 << 18, 1 << 18
 #: Memory of a worker's database. It has no folder to spill to.
-MEMORY = "700MB"
+MEMORY = "400MB"
 
 #: Positions with the rank of the pair they begin, doubled, plus 1 if the halves of the pair are alike.
 #: ``word`` numbers the parts that contract on their own; each ends in a position of id -1, so that no
@@ -258,44 +259,60 @@ def _bytes(path: str) -> Bytes:
     return Bytes(path)
 
 
-def _mapped(frame: DataFrame, source: str, target: str, make) -> DataFrame:
-    """``frame`` with the binary column ``target`` made from the batches of ``source``. Whatever
-    else has the name ``target`` is replaced."""
-    kept = [f for f in frame.schema.fields if f.name != target]
-    schema = T.StructType([*kept, T.StructField(target, T.BinaryType())])
-    names = [f.name for f in kept]
+def _mapped(frame: DataFrame, source: str, **made) -> DataFrame:
+    """``frame`` with binary columns, each made from the batch and the ones before it. Whatever else
+    has such a name is replaced."""
+    kept = [f for f in frame.schema.fields if f.name not in made]
+    schema = T.StructType([*kept, *(T.StructField(name, T.BinaryType()) for name in made)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, source):
-            made = pa.array(make(batch), pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), made], [*names, target])
+            columns = {n: batch.column(n) for n in batch.schema.names}
+            for name, make in made.items():
+                columns[name] = pa.array(make(columns), pa.binary())
+            names = [f.name for f in schema.fields]
+            yield pa.RecordBatch.from_arrays([columns[n] for n in names], names)
 
     ship(frame.sparkSession)
     return frame.mapInArrow(run, schema)
 
 
+def _encoding(vocabulary: str, pattern: str, text: str):
+    def make(columns: dict[str, pa.Array]) -> list[bytes]:
+        given = pa.compute.fill_null(columns[text].cast(pa.string()), "")
+        found, lengths = _encoder(vocabulary, pattern).encode(given)
+        data = found.astype("<u4").tobytes()
+        ends = 4 * np.cumsum(lengths)
+        return [data[e - 4 * n : e] for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
+
+    return make
+
+
+def _decoding(vocabulary: str, ids: str):
+    def make(columns: dict[str, pa.Array]) -> list[bytes]:
+        column = [v or b"" for v in columns[ids].to_pylist()]
+        lengths = np.array([len(v) // 4 for v in column], dtype=np.int64)
+        return _bytes(vocabulary).decode(np.frombuffer(b"".join(column), "<u4"), lengths)
+
+    return make
+
+
 def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with the ids of each text as little-endian unsigned 32-bit integers.
 
     The pattern has to be the one of byte-level BPE (words with their leading blank), as
     ``tokens`` cuts texts at blanks ahead of it.
     """
-
-    def make(batch: pa.RecordBatch) -> list[bytes]:
-        found, lengths = _encoder(vocabulary, pattern).encode(filled(batch, text))
-        data = found.astype("<u4").tobytes()
-        ends = 4 * np.cumsum(lengths)
-        return [data[e - 4 * n : e] for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
-
-    return _mapped(docs, text, ids, make)
+    return _mapped(docs, text, **{ids: _encoding(vocabulary, pattern, text)})
 
 
 def decode(frame: DataFrame, vocabulary: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``frame`` with the bytes that each row's ids stand for."""
+    return _mapped(frame, ids, **{decoded: _decoding(vocabulary, ids)})
 
-    def make(batch: pa.RecordBatch) -> list[bytes]:
-        column = [v or b"" for v in batch.column(ids).to_pylist()]
-        lengths = np.array([len(v) // 4 for v in column], dtype=np.int64)
-        return _bytes(vocabulary).decode(np.frombuffer(b"".join(column), "<u4"), lengths)
 
-    return _mapped(frame, ids, decoded, make)
+def round_trip(
+    docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """``decode`` of ``encode`` by one worker per task instead of two."""
+    return _mapped(docs, text, **{ids: _encoding(vocabulary, pattern, text), decoded: _decoding(vocabulary, ids)})

@@ -152,8 +152,7 @@ def op11_recursive_bpe(spark, sf):
 
     ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN).drop("text")
-    return bpe.decode(encoded, ranks).select(
+    return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN).select(
         "doc_id",
         F.shiftright(F.octet_length("ids"), 2).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
