@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from batchlake.llm import semicrf
-from batchlake.llm.arrow import SPANS, SPANS_ARROW, ship, steps, texts, with_columns
+from batchlake.llm.arrow import SPANS_ARROW, ship, steps, texts, with_columns
 
 #: Kinds in their order, and the patterns. Possessive repeats and the look-behind
 #: change no match; they keep the search linear.
@@ -41,8 +41,10 @@ _DIGIT = re.compile("[0-9]")
 _NUMBERS = re.compile(r"(?<![0-9A-Za-z])[+(]{0,2}[0-9](?:[-./() ]{0,2}[0-9]){6,}")
 _SPELLED = re.compile(
     r"[A-Za-z0-9_.+-]{1,64} ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,64}"
-    r"(?: ?(?:\.|[\[(] ?dot ?[\])]) ?[A-Za-z0-9-]{1,64}){1,4}"
+    r"(?: ?(?:\.|[\[(] ?dot ?[\])]) ?[A-Za-z0-9-]{1,64}){1,4}",
+    re.IGNORECASE,
 )
+_AT = re.compile(r"at ?[\])]", re.IGNORECASE)
 _UNIT = re.compile("[A-Za-z]+|[0-9]+")
 _CUES = [
     ("mail", "write"),
@@ -297,14 +299,14 @@ def region_entities(text: str, start: int, end: int, crf: semicrf.Model, caution
     return [(kind, *region.span(i, units)) for i, units, kind in found]
 
 
-def spans(text: str, crf: semicrf.Model) -> list[tuple[int, int, int]]:
-    """Base spans and the CRF's, by kind, then start."""
+def base_and_own(text: str, crf: semicrf.Model) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """Base spans, and the CRF's where they touch no base span."""
     base = base_spans(text)
     regions = [m.span() for m in _NUMBERS.finditer(text)] if _DIGIT.search(text) else []
-    if "at)" in text or "at]" in text or "at )" in text or "at ]" in text:
+    if _AT.search(text):
         regions += [m.span() for m in _SPELLED.finditer(text)]
     if not regions:
-        return base
+        return base, []
     taken = sorted((s, e) for _, s, e in base)
     starts = [s for s, _ in taken]
     furthest = np.maximum.accumulate([e for _, e in taken]) if taken else []
@@ -319,25 +321,38 @@ def spans(text: str, crf: semicrf.Model) -> list[tuple[int, int, int]]:
         if k and furthest[k - 1] >= e:  # the whole region is a base span
             continue
         own += [x for x in region_entities(text, s, e, crf) if free(*x[1:])]
-    return sorted({*base, *own})
+    return base, sorted(set(own))
+
+
+def spans(text: str, crf: semicrf.Model) -> list[tuple[int, int, int]]:
+    """Base spans and the CRF's, by kind, then start."""
+    base, own = base_and_own(text, crf)
+    return sorted([*base, *own]) if own else base
+
+
+#: Spans with whether a base pattern found them.
+_SPANS = "spans array<struct<kind: string, start: bigint, end: bigint, base: boolean>>"
+_SPANS_ARROW = pa.list_(pa.struct([*SPANS_ARROW.value_type, ("base", pa.bool_())]))
 
 
 def find_personal(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: id and ``spans`` (kind, start, end), by kind, then start."""
+    """One row per document: id and ``spans`` (kind, start, end, and whether it is a base span), by kind,
+    then start."""
     ship(docs.sparkSession)
     crf = model()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, text):
-            rows = [
-                [{"kind": KINDS[k], "start": s, "end": e} for k, s, e in spans(t, crf)]
-                for t in texts(batch, text)
-            ]
-            arrays = [batch.column(doc_id), pa.array(rows, SPANS_ARROW)]
+            rows = []
+            for t in texts(batch, text):
+                base, own = base_and_own(t, crf)
+                found = sorted([(*x, True) for x in base] + [(*x, False) for x in own])
+                rows.append([{"kind": KINDS[k], "start": s, "end": e, "base": b} for k, s, e, b in found])
+            arrays = [batch.column(doc_id), pa.array(rows, _SPANS_ARROW)]
             yield pa.RecordBatch.from_arrays(arrays, [doc_id, "spans"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return with_columns(docs, doc_id, text).mapInArrow(run, f"`{doc_id}` {kind}, {SPANS}")
+    return with_columns(docs, doc_id, text).mapInArrow(run, f"`{doc_id}` {kind}, {_SPANS}")
 
 
 def masked(text: str, found: list[tuple[int, int, int]]) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchlake.llm import binary, bpe, centroids, chat, html, merkle, mixing, packing, pii, quality, secrets, simhash, sql, topk
@@ -104,26 +104,34 @@ def op4_hierarchical_mix(spark, sf):
 ORACLES["op4_hierarchical_mix"] = sql.mixing(DOMAIN, WEIGHTS, SHARE, EPOCHS, SEED)
 
 
-def _digest(found: DataFrame, counted: list[str], base: list[str]) -> DataFrame:
-    """Counts of the given kinds, and the spans as text and (base kinds) as a digest."""
-    spans = F.col("spans")
+def _digest(found: DataFrame, kinds: list[str], base: Column) -> DataFrame:
+    """Counts and a digest of the base spans, and all spans as text."""
     return found.select(
         "doc_id",
-        *[span_count(spans, k).alias(f"n_{k}") for k in counted],
-        F.sha2(span_text(spans, *base), 256).alias("base_sha256"),
-        span_text(spans).alias("spans"),
+        *[span_count(base, k).alias(f"n_{k}") for k in kinds],
+        F.sha2(span_text(base), 256).alias("base_sha256"),
+        span_text(F.col("spans")).alias("spans"),
     )
 
 
+def personal_digest(docs: DataFrame) -> DataFrame:
+    """Spans that the CRF adds have the kinds of the base, so their origin tells them apart."""
+    return _digest(pii.find_personal(docs), pii.KINDS, F.filter("spans", lambda s: s["base"]))
+
+
+def secret_digest(docs: DataFrame) -> DataFrame:
+    kinds = [rule.kind for rule in secrets.BASE]
+    return _digest(secrets.find_secrets(docs), kinds, F.filter("spans", lambda s: s["kind"].isin(*kinds)))
+
+
 @query
 def op5_personal_data(spark, sf):
-    return _digest(pii.find_personal(table(spark, sf, "documents")), pii.KINDS, pii.KINDS)
+    return personal_digest(table(spark, sf, "documents"))
 
 
 @query
 def op6_secret_automaton(spark, sf):
-    base = [rule.kind for rule in secrets.BASE]
-    return _digest(secrets.find_secrets(table(spark, sf, "documents")), base, base)
+    return secret_digest(table(spark, sf, "documents"))
 
 
 @query

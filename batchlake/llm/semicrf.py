@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-LONGEST = 8
+LONGEST = 16
 _NONE = -1e9
 
 

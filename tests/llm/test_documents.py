@@ -115,11 +115,6 @@ def _hold_spans(found, docs, plainly, kinds):
     assert Counter(tuple(r[c] for c in columns) for r in found) == want
 
 
-def _derived(frame, base, counted):
-    """Base spans out of the operator's spans, as the queries derive them."""
-    return queries._digest(frame, counted, base)
-
-
 def test_personal_base_patterns():
     r = random.Random(2)
     parts = [*"@.+-() 019ab%é\n", "a@b.c", "1.2.3.4", "+1 (714) 555-9345", "4111111111111111", "256.1", ".com"]
@@ -152,6 +147,36 @@ def test_personal_query(spark, sf, documents):
         assert {(k, str(a), str(b)) for k, a, b in base} <= set(spans)
 
 
+SPELLED = [
+    "write mary.ann99 [at] mail.example [dot] co [dot] uk now",
+    "A.b (AT) c (DOT) com and j.doe@x.org, then 1 2 3",
+    "pay 4111-1111-1111-1112 or 4111 1111 1111 1111 by phone 020 7946 0958",
+]
+
+
+def test_added_spans_stay_out_of_counts_and_digest(spark, sf):
+    docs = spark.createDataFrame(list(enumerate(SPELLED)), "doc_id bigint, text string")
+    rows = {r["doc_id"]: r for r in queries.personal_digest(docs).collect()}
+    for key, text in enumerate(SPELLED):
+        base, row = plain.personal(text), rows[key]
+        assert row["base_sha256"] == plain.digest(base)
+        assert [row[f"n_{k}"] for k in pii.KINDS] == [sum(b[0] == k for b in base) for k in pii.KINDS]
+    spelled = "mary.ann99 [at] mail.example [dot] co [dot] uk"
+    assert rows[0]["n_email"] == 0 and rows[0]["spans"] == f"email:6:{6 + len(spelled)}"
+    assert rows[1]["n_email"] == 1 and rows[1]["spans"].count("email") == 2
+
+
+def test_personal_query_with_added_spans(spark, sf):
+    more = sf.replace("sf0.001", "sf0.01")
+    found = {r["doc_id"]: r for r in queries.QUERIES["op5_personal_data"](spark, more).collect()}
+    added = 0
+    for key, text in _texts(spark.read.parquet(f"{more}/documents.parquet")):
+        base = plain.personal(text)
+        assert found[key]["base_sha256"] == plain.digest(base), key
+        added += len(found[key]["spans"].split(",")) > max(1, len(base))
+    assert added
+
+
 def test_personal_odd_rows(odd, none):
     found = pii.find_personal(odd)
     assert found.count() == odd.count()
@@ -259,7 +284,7 @@ def test_secrets_query(spark, sf, documents):
 
 
 def test_secrets_odd_rows(odd, none):
-    found = queries._digest(secrets.find_secrets(odd), ["assign", "access", "hex"], ["assign", "access", "hex"])
+    found = queries.secret_digest(odd)
     _hold_spans(found.collect(), _texts(odd), plain.secrets, ["assign", "access", "hex"])
     more = secrets.find_secrets(odd).where("doc_id = 11").first()["spans"]
     assert [s["kind"] for s in more] == ["hex", "hex", "github"]
