@@ -1,9 +1,11 @@
 """Token ids as Arrow files of equal-length sequences.
 
-Documents are put in order of their id by a range shuffle; each task writes the shard of its
-range as two Arrow IPC files in the shared folder:
+Texts are encoded once, and their ids stored as bytes of the narrowest kind. The ids are put in order of their
+documents' by a range shuffle; each task writes the shard of its range as two Arrow IPC files in
+the shared folder:
 
-* ``shard-N.arrow``: ``ids`` and ``mask``, both fixed-size lists of ``length`` entries. The ids of
+* ``shard-N.arrow``: ``ids`` and ``mask``, both fixed-size lists of ``length`` entries (a byte per entry of
+  the mask, so that both are views). The ids of
   all documents, each followed by the end id, run through the sequences without gaps; only the
   last sequence of a shard is padded, with mask 0 there.
 * ``shard-N.docs.arrow``: each document's id, first position in the shard and number of ids.
@@ -29,8 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from batchlake.llm.arrow import STEP_BYTES, filled, ship, steps, with_columns
-from batchlake.llm.tokens import encoder, with_end
+from batchlake.llm.arrow import STEP_BYTES, filled, ragged, ship, steps, text_bytes
+from batchlake.llm.tokens import encoder
 from batchlake.session import materialize, run_dir
 
 #: Ids in a sequence, and sequences in a record batch.
@@ -48,7 +50,7 @@ class _Shard:
         self.path, self.length, self.rows, self.kind = path, length, rows, kind
         self.system, self.name = _at(path)
         self.mark = f".{TaskContext.get().taskAttemptId()}" if TaskContext.get() else ".own"
-        lists = [pa.list_(kind, length), pa.list_(pa.bool_(), length)]
+        lists = [pa.list_(kind, length), pa.list_(pa.uint8(), length)]
         self.schema = pa.schema([("ids", lists[0]), ("mask", lists[1])])
         self.docs_schema = pa.schema([("doc_id", key), ("first", pa.int64()), ("n", pa.int64())])
         self.sinks = [self.system.open_output_stream(n + self.mark) for n in self._names()]
@@ -56,23 +58,27 @@ class _Shard:
             pa.ipc.new_file(s, schema)
             for s, schema in zip(self.sinks, (self.schema, self.docs_schema), strict=True)
         ]
-        self.waiting: list[np.ndarray] = []
+        block = length * rows
+        self.buffer = np.zeros(block, dtype=kind.to_pandas_dtype())
+        self.ones = np.ones(block, dtype=np.uint8)
         self.held = self.total = self.documents = 0
 
     def _names(self) -> list[str]:
         return [self.name + ".arrow", self.name + ".docs.arrow"]
 
-    def _write(self, ids: np.ndarray) -> None:
-        """Whole sequences, the last one padded."""
-        short = -len(ids) % self.length
-        mask = np.ones(len(ids) + short, dtype=bool)
+    def _write(self) -> None:
+        """What the buffer holds as whole sequences, the last one padded."""
+        short = -self.held % self.length
+        mask = self.ones[: self.held + short]
         if short:
-            mask[len(ids) :] = False
-            ids = np.concatenate([ids, np.zeros(short, ids.dtype)])
+            self.buffer[self.held : self.held + short] = 0
+            mask = mask.copy()
+            mask[self.held :] = 0
         columns = [
-            pa.FixedSizeListArray.from_arrays(pa.array(v), self.length) for v in (ids, mask)
+            pa.FixedSizeListArray.from_arrays(pa.array(v), self.length) for v in (self.buffer[: len(mask)], mask)
         ]
         self.files[0].write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
+        self.held = 0
 
     def add(self, keys: pa.Array, ids: np.ndarray, lengths: np.ndarray) -> None:
         first = self.total + np.cumsum(lengths) - lengths
@@ -80,19 +86,17 @@ class _Shard:
         self.files[1].write_batch(pa.RecordBatch.from_arrays(arrays, schema=self.docs_schema))
         self.documents += len(lengths)
         self.total += len(ids)
-        self.waiting.append(ids.astype(self.kind.to_pandas_dtype()))
-        self.held += len(ids)
-        block = self.length * self.rows
-        if self.held >= block:
-            ids = np.concatenate(self.waiting)
-            cut = len(ids) // block * block
-            for begin in range(0, cut, block):
-                self._write(ids[begin : begin + block])
-            self.waiting, self.held = [ids[cut:]], len(ids) - cut
+        at = 0
+        while at < len(ids):
+            some = ids[at : at + len(self.buffer) - self.held]
+            self.buffer[self.held : self.held + len(some)] = some
+            self.held, at = self.held + len(some), at + len(some)
+            if self.held == len(self.buffer):
+                self._write()
 
     def close(self) -> None:
         if self.held:
-            self._write(np.concatenate(self.waiting))
+            self._write()
         for file, sink, name in zip(self.files, self.sinks, self._names(), strict=True):
             file.close()
             sink.close()
@@ -111,27 +115,27 @@ class Sequences:
         self.rows = self.file.get_batch(0).num_rows if self.file.num_record_batches else 0
         self.documents = name + ".docs.arrow"
         self.system = system
-        self.now, self.ids = -1, None
+        self.now, self.views = -1, None
 
-    def _ids(self, block: int) -> np.ndarray:
+    def _views(self, block: int) -> list[np.ndarray]:
+        """Ids and mask of a record batch."""
         if block != self.now:
-            column = self.file.get_batch(block).column(0)
-            self.now, self.ids = block, column.flatten().to_numpy(zero_copy_only=True)
-        return self.ids
+            batch = self.file.get_batch(block)
+            self.now, self.views = block, [batch.column(k).flatten().to_numpy(zero_copy_only=True) for k in (0, 1)]
+        return self.views
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids (a view) and mask of sequence ``i``."""
+        """Ids and mask of sequence ``i``, both views."""
         block, row = divmod(i, self.rows)
-        ids = self._ids(block)[row * self.length : (row + 1) * self.length]
-        mask = self.file.get_batch(block).column(1).slice(row, 1).flatten()
-        return ids, mask.to_numpy(zero_copy_only=False)
+        ids, mask = (v[row * self.length : (row + 1) * self.length] for v in self._views(block))
+        return ids, mask.view(np.bool_)
 
     def span(self, first: int, n: int) -> Iterator[np.ndarray]:
         """The ids from position ``first`` on, as views of one record batch each."""
         size = self.rows * self.length
         while n:
             block, at = divmod(first, size)
-            part = self._ids(block)[at : at + n]
+            part = self._views(block)[0][at : at + n]
             yield part
             first, n = first + len(part), n - len(part)
 
@@ -143,6 +147,30 @@ class Sequences:
                 yield reader.get_batch(k)
 
 
+def _narrow(vocabulary: str, end: int) -> bool:
+    """Whether all ids fit 16 bits."""
+    return max(encoder(vocabulary).tokenizer.get_vocab_size(), end + 1) <= 1 << 16
+
+
+def _encoded(docs: DataFrame, vocabulary: str, end: int, kind: np.dtype, doc_id: str, text: str) -> DataFrame:
+    """Each document's id, a hash of its text to order repeated ids by, and the bytes of its ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = encoder(vocabulary)
+        for batch in steps(batches, text, 2 * STEP_BYTES):
+            ids, lengths = work.encode(filled(batch, text))
+            ends = np.cumsum(lengths + 1)
+            out = np.full(ends[-1], end, dtype=kind)
+            out[ragged(ends - lengths - 1, lengths)] = ids
+            offsets = np.concatenate(([0], ends * kind.itemsize)).astype(np.int32)
+            data = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+            yield pa.RecordBatch.from_arrays([batch.column(doc_id), batch.column("_tie"), data], [doc_id, "_tie", "ids"])
+
+    given = docs.select(docs[doc_id], docs[text], F.xxhash64(docs[text]).alias("_tie"))
+    id_kind = docs.schema[doc_id].dataType.simpleString()
+    return given.mapInArrow(run, f"`{doc_id}` {id_kind}, _tie bigint, ids binary")
+
+
 def write(
     docs: DataFrame,
     vocabulary: str,
@@ -159,21 +187,19 @@ def write(
     ship(spark)
     system, name = _at(path)
     system.create_dir(name, recursive=True)
-    order = [F.col(doc_id).asc_nulls_first(), F.xxhash64(text)]
-    ranged = (
-        with_columns(docs, doc_id, text).repartitionByRange(*order).sortWithinPartitions(*order)
-    )
+    kinds = (pa.uint16(), np.dtype("<u2")) if _narrow(vocabulary, end) else (pa.uint32(), np.dtype("<u4"))
+    stored = materialize(_encoded(docs, vocabulary, end, kinds[1], doc_id, text), "token-ids")
+    order = [F.col(doc_id).asc_nulls_first(), F.col("_tie")]
+    ranged = stored.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work, shard = encoder(vocabulary), None
-        number = TaskContext.get().partitionId()
-        small = work.tokenizer.get_vocab_size() <= 1 << 16 and end < 1 << 16
-        kind = pa.uint16() if small else pa.uint32()
+        shard, number = None, TaskContext.get().partitionId()
         where = f"{path.rstrip('/')}/shard-{number:06d}"
-        for batch in steps(batches, text, 2 * STEP_BYTES):
+        for batch in steps(batches, "ids", 2 * STEP_BYTES):
             keys = batch.column(doc_id)
-            shard = shard or _Shard(where, kind, keys.type, length, rows)
-            shard.add(keys, *with_end(*work.encode(filled(batch, text)), end))
+            shard = shard or _Shard(where, kinds[0], keys.type, length, rows)
+            data, sizes = text_bytes(batch.column("ids"))
+            shard.add(keys, data.view(kinds[1]), sizes // kinds[1].itemsize)
         if shard:
             shard.close()
             found = [[number], [where], [shard.documents], [shard.total]]
