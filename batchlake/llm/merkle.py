@@ -104,7 +104,8 @@ def place(leaves: DataFrame, group: str, key: str) -> DataFrame:
     """``leaves(group, key, leaf, ...)`` with ``tree`` (number of the group), ``trees``, ``n`` (leaves of
     the tree) and ``pos`` (place in it), stored."""
     order = [F.col(group).asc_nulls_first(), F.col(key).asc_nulls_first(), F.col("leaf")]
-    dealt = leaves.repartitionByRange(*order).sortWithinPartitions(*order)
+    # Stored, so that finding the ranges does not read the fields a second time.
+    dealt = materialize(leaves, "merkle-digests").repartitionByRange(*order).sortWithinPartitions(*order)
     numbered = materialize(
         dealt.withColumn("_row", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_row", 33)),
         "merkle-leaves",
