@@ -1100,6 +1100,56 @@ def csv_ingest_roundtrip(spark, sf):
     )
 
 
+def _set_aside(spark, root: str, keys: list[str], aside: str) -> None:
+    """Put files without the column ``sales`` in the place of the named ones, which move to ``aside``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for key in keys:
+        files.mkdirs(path(f"{aside}/{key}").getParent())
+        files.rename(path(f"{root}/{key}"), path(f"{aside}/{key}"))
+        broken = files.create(path(f"{root}/{key}"))
+        broken.write(bytearray(b"customer_id,name,email\n1,a,a@b.c\n"))
+        broken.close()
+
+
+def _put_back(spark, root: str, keys: list[str], aside: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for key in keys:
+        files.delete(path(f"{root}/{key}"), False)
+        files.rename(path(f"{aside}/{key}"), path(f"{root}/{key}"))
+
+
+@query
+def redrive_files(spark, sf):
+    """Files that fail, are tried again in vain, are mended and tried again: one manifest each, and the number of
+    attempts that failed. A last run of the arrival job finds nothing new."""
+    home = lake.Lake(run_dir(spark, "redrive"))
+    root, aside = home.zone("raw"), home.zone("aside")
+    _write_raw(spark, sf, root)
+    listed = listing.list_objects(spark, root, "odd", "*.csv").select("key")
+    keys = sorted(r["key"] for r in listed.collect())  # a file per odd batch
+    _set_aside(spark, root, keys, aside)
+    ingest.ingest(spark, home, "2026-07-01T00:00:00Z")
+    ingest.redrive_files(spark, home, "2026-07-01T01:00:00Z")
+    _put_back(spark, root, keys, aside)
+    state = ingest.redrive_files(spark, home, "2026-07-01T02:00:00Z")
+    late = ingest.ingest(spark, home, "2026-07-01T03:00:00Z").count()
+    from batchlake.sources.manifests import read_manifests
+
+    made = read_manifests(spark, home.zone("metadata")).join(
+        state.select("raw_key", F.col("attempts").alias("failed"), "state"), "raw_key", "left"
+    )
+    return made.groupBy(_batch_of("raw_key").alias("batch")).agg(
+        F.count(F.lit(1)).alias("manifests"),
+        F.sum("total_records").alias("total_records"),
+        F.sum("valid_records").alias("valid_records"),
+        F.max(F.coalesce("failed", F.lit(0))).alias("attempts"),
+        F.max("state").alias("state"),
+        F.lit(late).cast("bigint").alias("late_manifests"),
+    )
+
+
 def _curated_lake(spark, sf) -> lake.Lake:
     """All three jobs over files of the seed."""
     home = lake.Lake(run_dir(spark, "pipeline"))

@@ -24,7 +24,7 @@ from batchlake.functions import dates, text
 from batchlake.operators.validate import missing_columns
 from batchlake.schemas import CLEAN, RAW, REQUIRED
 from batchlake.session import materialize
-from batchlake.sources.listing import decoded_path, key_below
+from batchlake.sources.listing import decoded_path, key_below, list_objects
 
 FAILED = "raw_key string, reason string"
 
@@ -209,7 +209,7 @@ def read_raw(
     failed = judged.where("reason IS NOT NULL").select(
         key_below(decoded_path(F.col("file")), root).alias("raw_key"), "reason"
     )
-    failed = failed.unionByName(_empty_files(spark, where, name_filter, root, profile))
+    failed = failed.unionByName(_blank_files(spark, where, name_filter, root, profile))
 
     # File names only, as the readers' own file listings hold them too.
     good = judged.where("reason IS NULL").select(
@@ -338,9 +338,9 @@ def _read_multi_line(spark, paths, cols, root, name_filter) -> tuple[DataFrame,
     return wanted.select(*RAW.names, "raw_key"), long.unionByName(endless)
 
 
-def _empty_files(spark, paths, name_filter, root, profile) -> DataFrame:
-    """Files without a single non-blank line. No scan returns a zero-byte file, so the names come
-    from the file listing itself, which the driver holds for every scan."""
+def empty_files(spark: SparkSession, paths: list[str], name_filter: str, root: str) -> DataFrame:
+    """Files without a byte. No scan returns them, so the names come from the file listing itself,
+    which the driver holds for every scan."""
     scan = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", name_filter)
@@ -348,11 +348,16 @@ def _empty_files(spark, paths, name_filter, root, profile) -> DataFrame:
     )
     names = spark.createDataFrame([(f,) for f in scan.inputFiles()], "file string")
     key = key_below(decoded_path(F.col("file")), root).alias("raw_key")
-    return (
-        names.select(key)
-        .join(profile.select(key), "raw_key", "left_anti")
-        .withColumn("reason", F.lit("empty file"))
-    )
+    filled = list_objects(spark, root, "", name_filter, paths).select(F.col("key").alias("raw_key"))
+    return names.select(key).join(filled, "raw_key", "left_anti").withColumn("reason", F.lit("empty file"))
+
+
+def _blank_files(spark, paths, name_filter, root, profile) -> DataFrame:
+    """Files without a single line that is not blank."""
+    key = key_below(decoded_path(F.col("file")), root).alias("raw_key")
+    listed = list_objects(spark, root, "", name_filter, paths).select(F.col("key").alias("raw_key"))
+    blank = listed.join(profile.select(key), "raw_key", "left_anti").withColumn("reason", F.lit("empty file"))
+    return blank.unionByName(empty_files(spark, paths, name_filter, root))
 
 
 def _no_failures(spark: SparkSession) -> DataFrame:

@@ -16,8 +16,6 @@ FILES_PER_TRIGGER = 5
 INTERVAL = "15 seconds"
 WATERMARK = "10 minutes"
 
-_FILE = "path string, modificationTime timestamp, length bigint, content binary"
-
 
 def utc_now() -> str:
     return datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
@@ -29,35 +27,23 @@ def _start(frame: DataFrame, action, checkpoint: str, once: bool) -> StreamingQu
     return writer.trigger(**trigger).start()
 
 
-def arrivals(spark: SparkSession, lake: Lake, files: int = FILES_PER_TRIGGER) -> DataFrame:
-    """Stream of new raw files by name, time and size; their content is not read here."""
-    return (
-        spark.readStream.format("binaryFile")
-        .schema(_FILE)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .option("maxFilesPerTrigger", files)
-        .load(lake.zone("raw"))
-        .drop("content")
-    )
-
-
 def ingest_stream(
     spark: SparkSession,
     lake: Lake,
-    checkpoint: str,
+    checkpoint: str | None = None,
     once: bool = False,
     files: int = FILES_PER_TRIGGER,
 ) -> StreamingQuery:
-    """Validate files as they arrive."""
+    """Validate files as they arrive. Without a checkpoint of its own the stream shares the ledger of the
+    batch job: what either has taken, the other does not meet."""
 
     def step(batch: DataFrame, _: int) -> None:
         # At most ``files`` names.
         paths = sorted(r["path"] for r in batch.select("path").collect())
         if paths:
-            ingest.ingest(batch.sparkSession, lake, utc_now(), paths)
+            ingest.ingest_files(batch.sparkSession, lake, utc_now(), paths)
 
-    return _start(arrivals(spark, lake, files), step, checkpoint, once)
+    return _start(ingest.arrivals(spark, lake, files), step, checkpoint or lake.zone(ingest.ARRIVALS), once)
 
 
 def curate_stream(

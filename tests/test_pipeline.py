@@ -1,7 +1,10 @@
 """Files through all three jobs, in batch and as streams."""
 
+import csv
+import io
 import json
 import os
+import random
 import shutil
 
 import pytest
@@ -10,6 +13,7 @@ from pyspark.sql import functions as F
 from batchlake.plans import curation, ingest, loading
 from batchlake.plans.loading import Serving
 from batchlake.schemas import QUARANTINE
+from batchlake.sources import delimited
 from batchlake.sources.delimited import read_clean, read_raw
 from batchlake.sources.manifests import read_handoffs, read_manifests
 from batchlake.sources.tables import catalogue_tables, create_curated_table, read_curated
@@ -87,6 +91,108 @@ def test_ingest(spark, lake):
     assert tries["long.csv"] == 1
 
 
+def _listed(folder):
+    return sorted(os.path.join(d, f) for d, _, fs in os.walk(folder) for f in fs)
+
+
+def test_a_second_run_does_nothing(spark, lake):
+    put(lake, FILES)
+    first = ingest.ingest(spark, lake, T0, files=2)
+    assert first.count() == 5
+    zones = [lake.zone(z) for z in ("clean", "rejected", "metadata", "failed_files")]
+    before = [_listed(z) for z in zones]
+    assert ingest.ingest(spark, lake, T1).count() == 0
+    assert [_listed(z) for z in zones] == before
+    put(lake, {"new.csv": FILES["short.csv"]})
+    assert [r.raw_key for r in ingest.ingest(spark, lake, T2).collect()] == ["new.csv"]
+    # The stream goes on where the batch job stopped.
+    put(lake, {"newer.csv": FILES["short.csv"]})
+    jobs.ingest_stream(spark, lake, once=True).awaitTermination()
+    assert read_manifests(spark, lake.zone("metadata")).count() == 7
+    assert ingest.ingest(spark, lake, T3).count() == 0
+
+
+def test_redrive(spark, lake):
+    put(lake, FILES)
+    ingest.ingest(spark, lake, T0)
+    state = lambda f: {r.raw_key: (r.attempts, r.state) for r in f.collect()}
+    first = state(ingest.failures(spark, lake))
+    assert first == dict.fromkeys(["long.csv", "quoted_long.csv", "no_sales.csv", "empty.csv"], (1, "WAITING"))
+    put(lake, {"long.csv": FILES["short.csv"], "empty.csv": FILES["header_only.csv"]})
+    os.remove(os.path.join(lake.zone("raw"), "no_sales.csv"))
+    again = state(ingest.redrive_files(spark, lake, T1, max_attempts=2, files=3))
+    assert again == {
+        "long.csv": (1, "RESOLVED"),
+        "empty.csv": (1, "RESOLVED"),
+        "quoted_long.csv": (2, "GIVEN_UP"),
+        "no_sales.csv": (2, "GIVEN_UP"),
+    }
+    reasons = {r.raw_key: r.reason for r in ingest.failures(spark, lake).collect()}
+    assert reasons["no_sales.csv"] == "file is gone" and reasons["quoted_long.csv"] == "row longer than header"
+    manifests = read_manifests(spark, lake.zone("metadata"))
+    assert manifests.where("raw_key = 'long.csv'").count() == 1
+    # What is resolved or given up is not tried again.
+    assert state(ingest.redrive_files(spark, lake, T2, max_attempts=2)) == again
+    assert ingest.redrive(spark, lake, max_attempts=2).count() == 0
+    assert ingest.redrive(spark, lake).count() == 2
+
+
+def _cell(r):
+    quoted = ["", "q", "a,b", 'say ""hi""', '""', "two\nlines", "\n\n", 'e"",\n""f', '"",""']
+    return r.choice(["", "a", '5" pipe', 'x"y"', "z", str(r.random()), *[f'"{q}"' for q in quoted]])
+
+
+def test_files_with_line_breaks_are_split(spark, lake):
+    r = random.Random(5)
+    head = "customer_id,name,email,sales"
+    bodies = {f"f{n}.csv": [head, *(",".join(_cell(r) for _ in range(4)) for _ in range(600))] for n in range(3)}
+    bodies["open.csv"] = [*bodies["f0.csv"][:300], '1,2,3,"never closed', *["x,y,z"] * 50]
+    files = {k: "\n".join(v) + "\n" * (k != "open.csv") for k, v in bodies.items()}
+    files["crlf.csv"] = files["f1.csv"].replace("\n", "\r\n")
+    os.makedirs(lake.zone("raw"), exist_ok=True)
+    for key, body in files.items():
+        with open(os.path.join(lake.zone("raw"), key), "w", newline="") as f:
+            f.write(body)
+    sizes = {"spark.sql.files.maxPartitionBytes": "4000", "spark.sql.files.openCostInBytes": "3000"}
+    before = {k: spark.conf.get(k) for k in sizes}
+    for k, v in sizes.items():
+        spark.conf.set(k, v)
+    try:
+        found, endless = delimited.records(spark, [lake.zone("raw")], lake.zone("raw"))
+        rows = found.orderBy("raw_key", "ord").collect()
+        raw, failed = read_raw(spark, lake.zone("raw"))
+        cells = raw.orderBy("raw_key", "ord").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert endless.count() == failed.count() == 0
+    for key, body in files.items():
+        text = body.replace("\r\n", "\n")
+        want = [w for w in csv.reader(io.StringIO(text, newline="")) if w]
+        have = [x for x in rows if x.raw_key == key]
+        assert [next(csv.reader(io.StringIO(x.record, newline=""))) for x in have] == want
+        assert [x.cells for x in have] == list(map(len, want))
+        clean = [(x.customer_id, x.name, x.email, x.sales) for x in cells if x.raw_key == key]
+        assert clean == [tuple(c or None for c in w) for w in want[1:]]
+
+
+def test_an_endless_record_fails_its_file(spark, lake, monkeypatch):
+    monkeypatch.setattr(delimited, "MAX_RECORD", 500)
+    put(lake, {"open.csv": 'customer_id,name,email,sales\n1,"a\nb",c,4\n1,2,3,"never' + "\nx,y,z" * 200})
+    rows, failed = read_raw(spark, lake.zone("raw"))
+    assert rows.count() == 0
+    assert [tuple(r) for r in failed.collect()] == [("open.csv", "quote that is not closed")]
+
+
+def test_profile_is_hashed(spark, lake):
+    put(lake, {"a.csv": FILES["quoted.csv"], "b.csv": "\ufeff\n" + FILES["short.csv"], "c.csv": FILES["short.csv"]})
+    profile = delimited.profile_files(spark, [lake.zone("raw")])
+    assert "SortAggregate" not in profile._jdf.queryExecution().executedPlan().toString()
+    facts = {r.file[-5:]: (r.cells, r.multi_line) for r in profile.collect()}
+    assert facts == {"a.csv": (4, True), "b.csv": (4, False), "c.csv": (4, False)}
+    assert list(delimited.header_lines(spark, profile).values()) == ["customer_id,name,email,sales"]
+
+
 def test_manifest_documents(spark, lake):
     put(lake, {"uploads/a.csv": FILES["uploads/a.csv"]})
     ingest.ingest(spark, lake, T0)
