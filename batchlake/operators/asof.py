@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from batchlake.session import materialize
+
 
 def first_at_or_after(
     left: DataFrame,
@@ -14,24 +16,24 @@ def first_at_or_after(
     right_ts: str,
     payload: list[str],
     slack_ms: int = 0,
-    bucket_ms: int = 3_600_000,
 ) -> DataFrame:
     """Add to each left row the ``payload`` of the earliest right row of the same ``by`` with
     ``right_ts >= left_ts - slack_ms``; NULLs if there is none. Ties on time take the smallest
-    payload.
+    payload. A left row without a time or a ``by`` has none; such right rows are nobody's.
 
-    No range join: both sides are laid on one time line per (``by``, time bucket) and the next
-    right row is read with a window. A row with none left in its bucket takes the first right row
-    of the next bucket that has one. A hot ``by`` value is so cut into its time buckets; only one
-    row per bucket is ever sorted for a whole ``by`` value.
+    No range join: both sides are laid on one time line, which is dealt out in ranges of (``by``,
+    time). The ranges are of like size whatever the data: a hot ``by`` value, or a hot hour of one, is
+    several ranges. Within a range a window that runs backwards in time brings each row the next
+    event. What a range does not hold is carried over: of each range and ``by`` value one row says which
+    event comes first in it, and a row without an event takes that of the next range that has one.
     """
-    at = F.unix_millis(F.col(left_ts).cast("timestamp")) - F.lit(slack_ms)
+    event_type = _struct_type(right, payload)
     lefts = left.select(
         F.col(by).alias("_by"),
-        at.alias("_at"),
+        (F.unix_millis(F.col(left_ts).cast("timestamp")) - F.lit(slack_ms)).alias("_at"),
         F.lit(0).alias("_side"),
         F.struct(*left.columns).alias("_row"),
-        F.lit(None).cast(_struct_type(right, payload)).alias("_event"),
+        F.lit(None).cast(event_type).alias("_event"),
     )
     rights = right.select(
         F.col(by).alias("_by"),
@@ -39,42 +41,42 @@ def first_at_or_after(
         F.lit(1).alias("_side"),
         F.lit(None).cast(_struct_type(left, left.columns)).alias("_row"),
         F.struct(*payload).alias("_event"),
-    )
-    line = lefts.unionByName(rights).withColumn("_bucket", F.floor(F.col("_at") / bucket_ms))
-
+    ).where("_by IS NOT NULL AND _at IS NOT NULL")
+    # Stored, so that finding the ranges does not run the inputs a second time.
+    line = materialize(lefts.unionByName(rights), "time-line")
     # Left rows sort ahead of right rows of the same time: "at or after" includes equal times.
-    ahead = (
-        Window.partitionBy("_by", "_bucket")
-        .orderBy("_at", "_side", "_event")
-        .rowsBetween(0, Window.unboundedFollowing)
-    )
-    within = line.withColumn("_next", F.first("_event", ignorenulls=True).over(ahead)).where(
-        "_side = 0"
-    )
+    place = ["_by", "_at", "_side", "_event"]
+    dealt = line.repartitionByRange(*place, F.xxhash64("_row")).withColumn("_range", F.spark_partition_id())
+    ranged = materialize(dealt, "time-ranges")
 
-    firsts = rights.groupBy("_by", F.floor(F.col("_at") / bucket_ms).alias("_bucket")).agg(
-        F.min(F.struct("_at", "_event")).alias("_first")
+    back = Window.partitionBy("_range", "_by").orderBy(*[F.desc(c) for c in place[1:]])
+    seen = ranged.withColumns(
+        {
+            "_next": _latest(F.col("_event"), back, Window.currentRow),
+            "_first": F.lead(F.lit(1)).over(back).isNull(),
+        }
     )
-    # One row per bucket seen on either side; the first event of a strictly later bucket.
-    buckets = (
-        within.select("_by", "_bucket")
-        .distinct()
-        .join(firsts, ["_by", "_bucket"], "full_outer")
-        .withColumn(
-            "_later",
-            F.first("_first", ignorenulls=True).over(
-                Window.partitionBy("_by")
-                .orderBy("_bucket")
-                .rowsBetween(1, Window.unboundedFollowing)
-            ),
-        )
-        .select("_by", "_bucket", F.col("_later._event").alias("_later"))
+    kept = seen.where("_side = 0 OR _first").drop("_event")
+    kept = materialize(kept, "next-events")
+
+    # One row per range and ``by`` value in it: no more than ranges and values together.
+    heads = kept.where("_first").select("_range", "_by", "_next")
+    later = Window.partitionBy("_by").orderBy(F.desc("_range"))
+    carried = heads.select(
+        F.col("_range").alias("_in"), F.col("_by").alias("_of"), _latest(F.col("_next"), later, -1).alias("_later")
     )
-    return within.join(buckets, ["_by", "_bucket"], "left").select(
+    met = (F.col("_range") == F.col("_in")) & F.col("_by").eqNullSafe(F.col("_of"))
+    found = F.when(F.col("_at").isNotNull() & F.col("_by").isNotNull(), F.coalesce("_next", "_later"))
+    return kept.where("_side = 0").join(carried, met, "left").select(
         *[F.col(f"_row.{c}").alias(c) for c in left.columns],
-        *[F.coalesce("_next", "_later")[c].alias(c) for c in payload],
+        *[found[c].alias(c) for c in payload],
     )
 
 
+def _latest(c: Column, window, end: int) -> Column:
+    """The last value a window has met up to ``end``."""
+    return F.last(c, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, end))
+
+
 def _struct_type(frame: DataFrame, cols: list[str]):
     return frame.select(F.struct(*cols).alias("s")).schema["s"].dataType

@@ -189,19 +189,39 @@ def test_upsert_can_set_null(spark):
     assert merge.upsert(target, source, ["k"]).first().v is None
 
 
-@pytest.mark.parametrize("bucket_ms", [1_000, 60_000, 10**9])
-def test_asof_equals_brute_force(spark, bucket_ms):
+@pytest.mark.parametrize("ranges", [1, 7, 40])
+def test_asof_equals_brute_force(spark, ranges):
     rnd = random.Random(3)
-    left = [(f"j{rnd.randint(0, 1)}", i, rnd.randint(0, 900)) for i in range(200)]
-    right = [(f"j{rnd.randint(0, 2)}", i, rnd.randint(0, 900)) for i in range(60)]
-    lf = spark.createDataFrame(left, "job string, i int, s bigint").withColumn("at", F.timestamp_seconds("s"))
-    rf = spark.createDataFrame(right, "job string, run int, s bigint").withColumn("started", F.timestamp_seconds("s")).drop("s")
-    got = first_at_or_after(lf, rf, "job", "at", "started", ["started", "run"], 30_000, bucket_ms)
-    for r in got.collect():
-        later = sorted((s, run) for job, run, s in right if job == r.job and s >= r.s - 30)
+    left = [(rnd.choice(["j0", "j0", "j0", "j1", None]), i, rnd.choice([None, *range(0, 900, 3)])) for i in range(200)]
+    left += [("j0", 200 + i, 450) for i in range(50)]  # a hot moment
+    right = [(rnd.choice(["j0", "j0", "j1", "j2", None]), i, rnd.choice([None, *range(0, 900, 7)])) for i in range(60)]
+    left_rows = spark.createDataFrame(left, "job string, i int, s bigint").withColumn("at", F.timestamp_seconds("s"))
+    right_rows = spark.createDataFrame(right, "job string, run int, s bigint")
+    right_rows = right_rows.withColumn("started", F.timestamp_seconds("s")).drop("s")
+    settings = {"spark.sql.shuffle.partitions": str(ranges), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        got = first_at_or_after(left_rows, right_rows, "job", "at", "started", ["started", "run"], 30_000).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(r.i for r in got) == list(range(250))
+    for r in got:
+        known = r.s is not None and r.job is not None
+        later = sorted((s, run) for job, run, s in right if known and s is not None and job == r.job and s >= r.s - 30)
         assert r.run == (later[0][1] if later else None)
 
 
+def test_asof_without_rows(spark):
+    left = spark.createDataFrame([], "job string, at timestamp")
+    right = spark.createDataFrame([], "job string, started timestamp, run int")
+    assert first_at_or_after(left, right, "job", "at", "started", ["run"]).count() == 0
+    one = spark.createDataFrame([("a",)], "job string").withColumn("at", F.current_timestamp())
+    assert first_at_or_after(one, right, "job", "at", "started", ["run"]).first()["run"] is None
+
+
 def test_orphans(spark):
     child = spark.createDataFrame([(1, "a"), (2, "x"), (3, None), (4, "x")], "id int, k string")
     parent = spark.createDataFrame([("a",), ("b",)], "pk string")
