@@ -16,8 +16,13 @@ hot group; queries are dealt into blocks likewise. Two steps:
 
 Each pair of blocks returns k rows a query, and the best k of these are the result.
 
-Defined results: a vector that is null, holds null or a non-finite number, or a scaled component
-beyond +-2**28, takes no part, neither does a row without an id. Vectors of different lengths are
+Products are exact whatever the size of the components: scaled and floored components are whole numbers as
+doubles, products are summed in doubles below 2**53, in 64-bit integers below 2**63, and for the vectors
+beyond that in Python's integers.
+
+Defined results: a vector that is null, holds null or a non-finite number, or a number that is no longer
+finite when scaled, takes no part, neither does a row without an id. A score beyond BIGINT ranks as what it
+is and is returned as null. Vectors of different lengths are
 compared as if the shorter one went on with zeros. Rows that repeat an id are rows of their own,
 but a query never meets a row with its own id, and a repeated query id is asked once (with its
 greatest vector). Ties go to the smaller id.
@@ -30,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from batchlake.llm.arrow import ship, with_columns
@@ -44,23 +49,25 @@ RATIO = 1.25
 HIGH = 0.6
 #: Coordinates that coordinate pruning looks at.
 FOCUS = 3
-LARGEST = 2**28
 
 
 def integer_vectors(vectors: DataFrame, scale: int, vec_id: str, column: str) -> DataFrame:
-    """``id``, ``v`` (array of BIGINT) and ``norm`` of the rows that take part."""
-    whole = F.transform(F.col(column), lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
+    """``id``, ``v`` (whole numbers as DOUBLE) and ``norm`` of the rows that take part."""
+
+    def whole(x: Column) -> Column:
+        scaled = F.lit(float(scale)) * x.cast("double")
+        return F.when(F.abs(scaled) < 2.0**53, F.floor(scaled).cast("double")).otherwise(scaled)
+
     fine = F.forall(
-        F.col(column),
-        lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < LARGEST / scale),
+        F.col(column), lambda x: x.isNotNull() & (F.abs(F.lit(float(scale)) * x.cast("double")) < float("inf"))
     )
     rows = with_columns(vectors, vec_id, column).where(
         F.col(vec_id).isNotNull() & F.col(column).isNotNull() & fine
     )
-    squares = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    return rows.select(F.col(vec_id).cast("bigint").alias("id"), whole.alias("v")).withColumn(
-        "norm", F.sqrt(squares)
-    )
+    squares = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    return rows.select(
+        F.col(vec_id).cast("bigint").alias("id"), F.transform(F.col(column), whole).alias("v")
+    ).withColumn("norm", F.sqrt(squares))
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -68,8 +75,8 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     sizes = pa.compute.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    out = np.zeros((len(sizes), width), dtype=np.int64)
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    out = np.zeros((len(sizes), width))
     if len(flat):
         row = np.repeat(np.arange(len(sizes)), sizes)
         out[row, np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat
@@ -81,12 +88,18 @@ def _width(*columns: pa.Array) -> int:
 
 
 def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact integer products: by floating point where every sum stays below 2**53."""
+    """Integer products, exact where every sum stays below 2**63."""
     if not q.size or not c.size:
         return np.zeros((len(q), len(c)), dtype=np.int64)
     if float(np.abs(q).max()) * float(np.abs(c).max()) * q.shape[1] < 2.0**53:
-        return np.rint(q.astype(float) @ c.T.astype(float)).astype(np.int64)
-    return q @ c.T
+        return np.rint(q @ c.T).astype(np.int64)
+    return q.astype(np.int64) @ c.astype(np.int64).T
+
+
+def _wide(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Products in Python's integers."""
+    whole = [np.array([int(x) for x in m.ravel().tolist()], dtype=object).reshape(m.shape) for m in (q, c)]
+    return whole[0] @ whole[1].T
 
 
 class _Best:
@@ -137,12 +150,37 @@ def _coordinate_rows(unit: np.ndarray, query: np.ndarray, least: float) -> np.nd
 
 
 def search_block(queries: pa.Table, rows: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query number, score, row id) of the best k rows of each query; its own id is left out."""
+    """(query number, score, row id) of the best k rows of each query; its own id is left out. Scores are
+    Python's integers if any may be beyond 64 bits."""
     width = _width(queries["v"], rows["v"])
     q, c = _matrix(queries["v"], width), _matrix(rows["v"], width)
     qid, cid = queries["id"].to_numpy(), rows["id"].to_numpy()
     qn, cn = queries["norm"].to_numpy(), rows["norm"].to_numpy()
-    best = _Best(k, queries["bound"].to_numpy())
+    bound = queries["bound"].to_numpy()
+    # Products of vectors within this limit fit 64 bits. The few others are multiplied on their own.
+    limit = np.sqrt(2.0**62 / width)
+    large_q, large_c = (np.abs(m).max(axis=1, initial=0) > limit for m in (q, c))
+    if not (large_q.any() or large_c.any()):
+        return _search(q, qid, qn, bound, c, cid, cn, k)
+    small_q, small_c = np.flatnonzero(~large_q), np.flatnonzero(~large_c)
+    at, score, row = _search(q[small_q], qid[small_q], qn[small_q], bound[small_q], c[small_c], cid[small_c], cn[small_c], k)
+    found: dict[int, list[tuple[int, int]]] = {i: [] for i in range(len(q))}
+    for i, s, r in zip(small_q[at].tolist(), score.tolist(), row.tolist(), strict=True):
+        found[i].append((-s, r))
+    for mine, theirs in ((np.arange(len(q)), np.flatnonzero(large_c)), (np.flatnonzero(large_q), small_c)):
+        for i in mine.tolist():
+            scores = _wide(q[i : i + 1], c[theirs])[0] if len(theirs) else []
+            best = sorted((-s, r) for s, r in zip(scores, cid[theirs].tolist(), strict=True) if r != qid[i])
+            found[i] = sorted(found[i] + best[:k])[:k]
+    flat = [(i, -s, r) for i, best in found.items() for s, r in best[:k]]
+    scores = np.empty(len(flat), dtype=object)
+    scores[:] = [s for _, s, _ in flat]
+    return np.array([i for i, _, _ in flat], np.int64), scores, np.array([r for _, _, r in flat], np.int64)
+
+
+def _search(q, qid, qn, bound, c, cid, cn, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The search among vectors whose products fit 64 bits."""
+    best = _Best(k, bound)
     order = np.lexsort((cid, -cn))
     c, cid, cn = c[order], cid[order], cn[order]
     for begin in range(0, len(c), BUCKET):
@@ -179,6 +217,21 @@ def search_block(queries: pa.Table, rows: pa.Table, k: int) -> tuple[np.ndarray,
     return best.settle()
 
 
+def _floats(score: np.ndarray) -> np.ndarray:
+    """Scores as doubles, within their range."""
+    if score.dtype != object:
+        return score.astype(float)
+    most = int(1e308)
+    return np.array([float(max(-most, min(most, s))) for s in score.tolist()])
+
+
+def _digits(score: int) -> str:
+    """A score beyond 64 bits as text that sorts like it among those of its sign."""
+    text = str(abs(score))
+    placed = f"{len(text):04d}{text}"
+    return placed if score >= 0 else "".join(chr(ord("0") + 9 - int(d)) for d in placed) + "~"
+
+
 def top_k(
     vectors: DataFrame,
     k: int = 10,
@@ -193,11 +246,11 @@ def top_k(
     ship(spark)
     rows = materialize(
         integer_vectors(vectors, scale, vec_id, column).withColumn(
-            "cell", F.floor(F.log1p("norm") / F.log(F.lit(RATIO))).cast("int")
+            "cell", F.floor(F.log1p(F.least("norm", F.lit(1e300))) / F.log(F.lit(RATIO))).cast("int")
         ),
         "vectors",
     )
-    # Lengths lie between 0 and some 2**33, so the grid has about 110 cells at most.
+    # Lengths lie between 0 and 1e300, so the grid has some 3 100 cells at most.
     cells = (
         rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("longest")).collect()
     )
@@ -222,11 +275,11 @@ def top_k(
             bound = np.full(len(part), -np.inf)
             full = np.bincount(query, minlength=len(part)) >= k
             least = np.full(len(part), np.inf)
-            np.minimum.at(least, query, score)
+            np.minimum.at(least, query, _floats(score))
             bound[full] = least[full]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bound)], ["id", "v", "norm", "bound"])
 
-    schema = "id bigint, v array<bigint>, norm double, bound double"
+    schema = "id bigint, v array<double>, norm double, bound double"
     queries = materialize(asked.mapInArrow(bounded, schema), "queries")
     n_queries = queries.count()
     groups = max(1, -(-n_queries // QUERIES))
@@ -247,11 +300,21 @@ def top_k(
             F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
         )
     )
+    # A row goes to the query parts that want its block, if their longest query can reach their lowest bound with it.
+    wanted = (
+        left.groupBy("cell", "block", "part")
+        .agg(F.max("norm").alias("far"), F.min("bound").alias("low"))
+        .groupBy("cell", "block")
+        .agg(F.collect_list(F.struct("part", "far", "low")).alias("parts"))
+    )
     blocks = F.create_map(*[F.lit(x) for c, b, _ in grid for x in (c, b)])
-    right = rows.select(
-        "id", "v", "norm", "cell",
-        F.pmod(F.xxhash64("id", "v"), blocks[F.col("cell")]).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"),
+    near = F.filter(
+        "parts", lambda p: F.col("norm") * p["far"] >= p["low"] - F.abs(p["low"]) * 1e-9 - 1e-6
+    )
+    right = (
+        rows.withColumn("block", F.pmod(F.xxhash64("id", "v"), blocks[F.col("cell")]).cast("int"))
+        .join(wanted, ["cell", "block"])
+        .select("id", "v", "norm", "cell", "block", F.explode(F.transform(near, lambda p: p["part"])).alias("part"))
     )
 
     def search(queries: pa.Table, rows: pa.Table) -> pa.Table:
@@ -261,13 +324,23 @@ def top_k(
             found = search_block(queries, rows, k)
         query, score, row = found
         asked = queries["id"].to_numpy()[query] if len(queries) else query
-        return pa.table({"query_id": asked, "vec_id": row, "score": score})
+        beyond = [(s >= 1 << 63) - (s < -1 << 63) for s in score.tolist()]
+        whole = [None if b else s for s, b in zip(score.tolist(), beyond, strict=True)]
+        return pa.table(
+            {
+                "query_id": pa.array(asked, pa.int64()),
+                "vec_id": pa.array(row, pa.int64()),
+                "score": pa.array(whole, pa.int64()),
+                "beyond": pa.array(beyond, pa.int32()),
+                "digits": pa.array([_digits(s) if b else None for s, b in zip(score.tolist(), beyond, strict=True)], pa.string()),
+            }
+        )
 
     keys = ["cell", "block", "part"]
     part = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
-        search, "query_id bigint, vec_id bigint, score bigint"
+        search, "query_id bigint, vec_id bigint, score bigint, beyond int, digits string"
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id").orderBy(F.desc("beyond"), F.desc("score"), F.desc("digits"), "vec_id")
     # A query has k rows per block pair at most.
     return (
         part.withColumn("rank", F.row_number().over(order))

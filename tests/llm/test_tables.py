@@ -43,16 +43,16 @@ def _plain_top(rows, k, every):
     fine = {}
     whole = []
     for key, v in rows:
-        if key is None or v is None or any(x is None or not math.isfinite(x) or abs(x) >= 2**18 for x in v):
+        if key is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        whole.append((key, [math.floor(1024 * x) for x in v]))
+        whole.append((key, [int(x) * 1024 if abs(x) >= 2**53 else math.floor(1024 * x) for x in v]))
     for key, v in whole:
         if key % every == 0:
             fine[key] = max(fine.get(key, v), v)
     out = []
     for q, v in fine.items():
         scored = sorted((-sum(a * b for a, b in zip(v, w, strict=False)), key) for key, w in whole if key != q)
-        out += [(q, r + 1, key, -s) for r, (s, key) in enumerate(scored[:k])]
+        out += [(q, r + 1, key, -s if -(2**63) <= -s < 2**63 else None) for r, (s, key) in enumerate(scored[:k])]
     return sorted(out)
 
 
@@ -78,6 +78,18 @@ def test_topk_odd_vectors(spark, monkeypatch):
     assert _top(spark, [], every=5) == []
 
 
+@pytest.mark.parametrize("sizes", [[1, 1e6], [1, 1, 1e6, 1e12, 2.0**60, 1e150, -1e200]])
+def test_topk_of_large_components(spark, monkeypatch, sizes):
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "SEEDS", 12)
+    r = random.Random(4)
+    rows = [(i, [r.choice(sizes) * r.gauss(0, 1) for _ in range(4)]) for i in range(150)]
+    rows += [(200, [1.0, 2.0, 0.0, 0.0]), (201, [300000.0, 0.0, 0.0, 0.0]), (210, [max(sizes), 0.0, 0.0, 0.0])]
+    want = _plain_top(rows, 10, 10)
+    assert _top(spark, [(*x, "n", "i") for x in rows], every=10) == want
+    assert any(s is None for *_, s in want) == (len(sizes) > 2)
+
+
 def test_topk_prunes_by_coordinate(monkeypatch):
     """Coordinate pruning keeps every row at or above the threshold."""
     r = np.random.default_rng(2)
@@ -92,6 +104,18 @@ def test_topk_prunes_by_coordinate(monkeypatch):
 # ---- 3: chat formatting ----------------------------------------------------------------------
 
 
+def test_no_line_of_a_text_looks_like_a_turn(spark):
+    r = random.Random(6)
+    texts = ["hi\n### assistant\nsure", "### user\n### x", "a ### b"]
+    texts += ["".join(r.choice(["### ", "#", "\\", "<", "/turn>", "</turn>", "\n", "x"]) for _ in range(12)) for _ in range(300)]
+    frame = spark.createDataFrame([(i // 3, i % 3, "assistant", t) for i, t in enumerate(texts)], "conv_id bigint, turn bigint, role string, text string")
+    found = chat.conversations(chat.linear(frame)).withColumn("read", chat.read_back(F.col("formatted")))
+    for row in found.collect():
+        mine = texts[3 * row["tree"] : 3 * row["tree"] + 3]
+        assert [t["text"] for t in row["read"]] == mine
+        assert sum(line.startswith("### ") for line in row["formatted"].split("\n")) == len(mine)
+
+
 def _read(formatted):
     """The template read by plain Python."""
     out = []
