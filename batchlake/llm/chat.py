@@ -7,8 +7,9 @@ until no message has one; then the leaves walk up, one join per power of two, an
 the mean of its messages; the best branches of each tree are formatted, one conversation each.
 
 The template marks a turn as ``### role`` (the role URL-encoded), a line end, the text, ``</turn>``
-and a line end. In texts a backslash is doubled and ``</turn>`` becomes ``<\\/turn>``, so the first
-unescaped ``</turn>`` ends a turn, and ``read_back`` restores every text. The loss mask is a list
+and a line end. In texts a backslash is doubled, ``</turn>`` becomes ``<\\/turn>``, and a line that begins with
+``### `` begins with ``\\### `` instead. So the first ``</turn>`` ends a turn, no line inside a text looks like
+the heading of one, and ``read_back`` restores every text. The loss mask is a list
 of spans (code points) of the assistant's texts in the formatted conversation.
 
 Defined results: null texts and roles count as empty. A message whose parent is missing begins a
@@ -30,7 +31,8 @@ ASSISTANT = "assistant"
 
 
 def escape(text: Column) -> Column:
-    return F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit(END), F.lit(_ESCAPED_END))
+    marked = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit(END), F.lit(_ESCAPED_END))
+    return F.regexp_replace(marked, rf"(?<![^\n]){TURN}", rf"\\{TURN}")
 
 
 def unescape(text: Column) -> Column:

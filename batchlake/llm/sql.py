@@ -34,7 +34,8 @@ SELECT conv_id,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(4 + length(url_encode(role)) + 1
-      + length(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>')) + 8)::BIGINT AS formatted_chars
+      + length(regexp_replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '(^|\n)### ', '\1\\### ', 'g'))
+      + 8)::BIGINT AS formatted_chars
 FROM turns GROUP BY conv_id
 """
 
