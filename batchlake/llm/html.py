@@ -5,17 +5,22 @@ of elements that never hold article text (scripts, styles, navigation, forms, ..
 rest into blocks at block-level tags. Each block is a line, weighted with its text length outside
 of links. Sums over sliding windows of lines give the block distribution: a surge point is a line
 at which the sum rises above a threshold that the page itself sets, a dive point one at which it
-falls to nothing. Kept is what lies between a surge and the next dive, each stretch trimmed to its
-first and last line with text. A stretch is then joined with its neighbourhood, whatever the page's
-threshold: paragraphs that stand in the same element as its heaviest one, headings that touch it or
-lie within a window before it in that element, and link-only list items of that element that touch
-its end (or its begin, if the element is not the whole page). Where a page marks its article
-(``article``, ``main``), all lines inside are kept, and no others.
-
-Class words are hints only. A word counts as a whole, or if all its hyphen-parts are such words.
-Inside a marked article only words for advertisements count. Elsewhere an element is dropped for
-its class or id unless it holds an ``article`` or ``main`` or, advertisements apart, the page's
-heaviest window.
+falls to nothing. What lies between a surge and the next dive is a stretch, trimmed to its first and
+last line with text. The stretches choose the text of every page.
+
+Where a page marks its article (``article``, ``main``), the marks bound and complete the stretches: a
+stretch counts if its heaviest line lies in a marked element; an ``article`` with such a stretch is kept
+whole, and so is a ``main`` that holds no ``article``; of the rest of a ``main`` the stretches stay. A further
+``article`` without a surge is kept if it stands beside a kept one and isn't mostly links. Elsewhere a stretch is
+joined with its neighbourhood: paragraphs that stand in the same element as its heaviest one, headings
+that touch it or lie within a window before it in that element, and link-only list items of that
+element that touch its end (or its begin, if the element is not the whole page).
+
+Class words are hints. A word counts as a whole, or if all its hyphen-parts are such words. Words for
+reader comments and advertisements drop an element wherever it stands (an ``article`` of that kind marks
+nothing). Other words drop a container, but for one that holds an ``article`` or ``main`` or, on a page without
+these, the page's heaviest window; inside an ``article`` or ``main`` only those words count that no part of an
+article is named by.
 
 Defined results: a null, empty or markup-only page has an empty text. Broken markup never fails: an
 unclosed comment or tag runs to the end of the page, unclosed elements close with their parent.
@@ -26,6 +31,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -81,8 +87,15 @@ _P = frozenset({"p"})
 #: Elements that close an open p.
 _ENDS_P = BLOCK - set("body br caption html legend option tbody td tfoot th thead tr".split()) | {"dir", "search", "xmp"}
 
-#: Class words that also count inside a marked article.
+#: Class words that count wherever they stand, and those that count for containers inside a marked element.
 ADS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion".split())
+REPLIES = frozenset("comment comments comment-list respond reply replies disqus".split())
+ASIDES = REPLIES | ADS | frozenset(
+    "cookie cookies cookie-notice consent gdpr newsletter subscribe signup popup modal overlay nav navbar navigation "
+    "menu breadcrumb breadcrumbs sidebar widget widgets related recommended share sharing pagination pager toolbar".split()
+)
+#: Elements that hold others. Inside a marked element only these are dropped for other words than ``ADS``.
+CONTAINERS = frozenset("article details dl div fieldset ol section table ul".split())
 
 #: A quote only opens a value right after "="; elsewhere, or if no other follows, it is a character.
 _ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s>]*+))?+""")
@@ -97,15 +110,19 @@ WINDOW, SURGE = 3, 0.08
 
 def _dropped(name: str, attributes: str, inside: bool) -> tuple[bool, int]:
     """Whether an element's content is left out, and whether a class word speaks against it (2: as
-    an advertisement); ``inside``: it is part of a marked article."""
+    an advertisement, 3: as a reader's comment); ``inside``: it is part of a marked element."""
     if name in DROPPED or (name == "header" and not inside):
         return True, 0
-    if name in ("html", "body", "main", "article") or not attributes.strip():
+    if name in ("html", "body", "main") or not attributes.strip():
         return False, 0
-    doubtful, known = 0, ADS if inside else CLASSES
+    doubtful, known = 0, CLASSES
+    if name == "article":
+        known = ASIDES if inside else REPLIES | ADS
+    elif inside:
+        known = ASIDES if name in CONTAINERS else ADS
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
-        if key == "role" and value in ROLES:
+        if key == "role" and value in ROLES and name != "article":
             return True, 0
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
             return True, 0
@@ -113,7 +130,8 @@ def _dropped(name: str, attributes: str, inside: bool) -> tuple[bool, int]:
             words = value.replace("_", "-").split()
             for w in words:
                 if w in known or known.issuperset(w.split("-")):
-                    doubtful = max(doubtful, 1 + (w in ADS))
+                    replies = name in CONTAINERS and (w in REPLIES or REPLIES.issuperset(w.split("-")))
+                    doubtful = max(doubtful, 3 if replies else 1 + (w in ADS))
     return False, doubtful
 
 
@@ -137,11 +155,11 @@ def _judged(
     own = np.array(weight, dtype=np.int64)
     # An element's lines follow each other, but for those of firm elements in it.
     first, last = [len(doubt)] * len(guilty), [-1] * len(guilty)
+    light = [False] * len(guilty)  # whether it is firm, or lies in a firm one
+    for d, outer in enumerate(within):
+        light[d] = (firm[d] and guilty[d]) or (outer >= 0 and light[outer])
     for k, d in enumerate(doubt):
-        around = d
-        while around >= 0 and not (firm[around] and guilty[around]):
-            around = within[around]
-        if around >= 0:
+        if d >= 0 and light[d]:
             own[k] = 0
         elif d >= 0:
             first[d], last[d] = min(first[d], k), k
@@ -161,23 +179,28 @@ def _judged(
 
 
 def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray, list[int], list[tuple[str, int]]]:
-    """Blocks of a page without markup, their text length outside of links, whether each lies in a
-    marked article, the block-level element it stands in, and these elements (name, parent)."""
+    """Blocks of a page without markup, their text length outside of links, the marked element each lies
+    in (0: none, else its number; negative in a ``main`` outside of any ``article``), the block-level element it
+    stands in, and these elements (name, parent)."""
     out: list[str] = []  # pieces of lines; only an inline doubtful element cuts a line into pieces
     weight: list[int] = []
-    inside: list[bool] = []
+    inside: list[int] = []
+    marks: list[int] = []  # the open marked elements, as in the result
+    n_marks = 0
+    names: Counter[str] = Counter()  # open elements
     node: list[int] = []
     elements: list[tuple[str, int]] = [("", -1)]
     blocks: list[int] = [0]  # the block-level element of each open element, after the page's own
     line: list[int] = []  # of each piece, the number of its line
     buffer: list[str] = []
     linked = n_lines = 0
-    open_: list[tuple[str, bool, int]] = []  # element, whether it is dropped, or doubtful
+    open_: list[tuple[str, bool, int, bool]] = []  # element, whether it is dropped, or doubtful, or a mark
     doubt: list[int] = []  # of each line, its innermost doubtful element
     within: list[int] = []  # of each doubtful element, the one around it
     holds: list[bool] = []
     firm: list[bool] = []
-    hidden = links = marked = open_p = 0
+    replies: list[bool] = []
+    hidden = links = open_p = 0
     doubtful = -1
     at, n = 0, len(page)
 
@@ -189,7 +212,7 @@ def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray, list[int], list
             if text.strip():
                 out.append(text)
                 weight.append(max(0, len(text.strip()) - linked))
-                inside.append(marked > 0)
+                inside.append(marks[-1] if marks else 0)
                 doubt.append(doubtful)
                 node.append(blocks[-1])
                 line.append(n_lines)
@@ -205,23 +228,26 @@ def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray, list[int], list
 
     def close(k: int) -> None:
         """Close the open elements from number ``k`` on."""
-        nonlocal hidden, links, marked, doubtful, open_p
-        for name, drops, doubts in reversed(open_[k:]):
+        nonlocal hidden, links, doubtful, open_p
+        for name, drops, doubts, marks_ in reversed(open_[k:]):
+            names[name] -= 1
             hidden -= drops
             open_p -= name == "p"
             if doubts:
                 piece()
                 doubtful = within[doubtful]
             links -= name == "a"
-            if name in ("article", "main"):
+            if marks_:
                 flush()
-                marked -= 1
+                marks.pop()
         del open_[k:], blocks[k + 1 :]
 
-    def shut(names: frozenset[str], wall: frozenset[str]) -> None:
-        """Close the last open element of ``names``, if it lies in no element of ``wall``."""
+    def shut(some: frozenset[str], wall: frozenset[str]) -> None:
+        """Close the last open element of ``some``, if it lies in no element of ``wall``."""
+        if not any(names[x] for x in some):
+            return
         for k in range(len(open_) - 1, -1, -1):
-            if open_[k][0] in names:
+            if open_[k][0] in some:
                 close(k)
                 return
             if open_[k][0] in wall:
@@ -256,7 +282,7 @@ def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray, list[int], list
         if name in BLOCK:
             flush()
         if tag[1]:
-            for k in range(len(open_) - 1, -1, -1):
+            for k in range(len(open_) - 1, -1, -1) if names[name] else ():
                 if open_[k][0] == name:
                     close(k)
                     break
@@ -272,18 +298,24 @@ def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray, list[int], list
             shut(_P, _SCOPE)
         if name in _CLOSES:
             shut(*_CLOSES[name])
-        drops, doubts = _dropped(name, tag[3], marked > 0)
+        drops, doubts = _dropped(name, tag[3], bool(marks))
         if doubts:
             piece()
             within.append(doubtful)
             holds.append(False)
             firm.append(doubts > 1)
+            replies.append(doubts > 2)
             doubtful = len(within) - 1
-        if name in ("article", "main") and not hidden:
+        mark = name in ("article", "main") and not hidden and not drops and not doubts
+        if mark:
+            n_marks += 1
+            in_article = bool(marks) and marks[-1] > 0
+            marks.append(marks[-1] if in_article else n_marks if name == "article" else -n_marks)
             outer = doubtful
-            while outer >= 0 and not holds[outer]:
+            while outer >= 0 and not holds[outer] and not in_article and not replies[outer]:
                 holds[outer], outer = True, within[outer]
-        open_.append((name, drops, doubts))
+        open_.append((name, drops, doubts, mark))
+        names[name] += 1
         if name in BLOCK:
             elements.append((name, blocks[-1]))
             blocks.append(len(elements) - 1)
@@ -292,12 +324,14 @@ def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray, list[int], list
         hidden += drops
         open_p += name == "p"
         links += name == "a"
-        marked += name in ("article", "main")
     flush()
     kept = _judged(weight, doubt, within, holds, firm, any(inside))
+    if any(inside) and not any(w and i and k for w, i, k in zip(weight, inside, kept, strict=True)):
+        # Nothing is left of the marked elements: the words were misleading, but for advertisements.
+        kept = _judged(weight, doubt, within, [h or not f for h, f in zip(holds, firm, strict=True)], firm, True)
     texts: list[str] = []
     sizes: list[int] = []
-    places: list[bool] = []
+    places: list[int] = []
     nodes: list[int] = []
     last = -1
     for k in np.flatnonzero(kept):
@@ -311,7 +345,7 @@ def lines(page: str) -> tuple[list[str], np.ndarray, np.ndarray, list[int], list
             nodes.append(node[k])
         last = line[k]
     texts = [_SPACE.sub(" ", t).strip() for t in texts]
-    return texts, np.array(sizes, dtype=np.int64), np.array(places, dtype=bool), nodes, elements
+    return texts, np.array(sizes, dtype=np.int64), np.array(places, dtype=np.int64), nodes, elements
 
 
 def window_sums(weight: np.ndarray, width: int = WINDOW) -> np.ndarray:
@@ -341,7 +375,25 @@ def stretches(weight: np.ndarray, width: int = WINDOW, surge: float = SURGE) ->
     return found
 
 
-def _joined(a: int, b: int, weight: np.ndarray, node: list[int], elements: list[tuple[str, int]]) -> tuple[int, int]:
+class _Places:
+    """First and last line with weight in each element, and in its children of each name."""
+
+    def __init__(self, weight: np.ndarray, node: list[int], elements: list[tuple[str, int]]):
+        self.own: dict[int, tuple[int, int]] = {}
+        self.under: dict[tuple[int, str], tuple[int, int]] = {}
+        for k in np.flatnonzero(weight).tolist():
+            name, parent = elements[node[k]]
+            self.own[node[k]] = (self.own.get(node[k], (k, k))[0], k)
+            self.under[parent, name] = (self.under.get((parent, name), (k, k))[0], k)
+
+    def alike(self, home: int, name: str) -> list[tuple[int, int]]:
+        found = [self.own.get(home), *(self.under.get((home, x)) for x in TEXT | {name})]
+        return [x for x in found if x]
+
+
+def _joined(
+    a: int, b: int, weight: np.ndarray, node: list[int], elements: list[tuple[str, int]], places: _Places
+) -> tuple[int, int]:
     """The stretch from line ``a`` to ``b`` with the lines of its neighbourhood that belong to it."""
     heaviest = a + int(weight[a:b].argmax())
     name, home = elements[node[heaviest]]
@@ -359,12 +411,8 @@ def _joined(a: int, b: int, weight: np.ndarray, node: list[int], elements: list[
             at = elements[at][1]
         return at == home and found
 
-    alike = [
-        k
-        for k in np.flatnonzero(weight)
-        if node[k] == home or (elements[node[k]][1] == home and elements[node[k]][0] in TEXT | {name})
-    ]
-    a, b = min([a, *alike]), max([b, *(k + 1 for k in alike)])
+    alike = places.alike(home, name)
+    a, b = min([a, *(x for x, _ in alike)]), max([b, *(y + 1 for _, y in alike)])
     while b < len(weight) and not weight[b] and within(b, ITEMS):
         b += 1
     while not page and a and not weight[a - 1] and within(a - 1, ITEMS):
@@ -381,16 +429,49 @@ def _joined(a: int, b: int, weight: np.ndarray, node: list[int], elements: list[
     return a, b
 
 
+def _completed(
+    blocks: list[str], weight: np.ndarray, mark: np.ndarray, found: list[tuple[int, int]], node: list[int], elements: list[tuple[str, int]]
+) -> np.ndarray:
+    """Lines of marked elements that the stretches choose; none if no stretch lies in one."""
+    kept, bounded = np.zeros(len(blocks), dtype=bool), mark != 0
+    articles = bool((mark > 0).any())
+    for a, b in found:
+        m = mark[a + int(weight[a:b].argmax())]
+        if m > 0 or (m < 0 and not articles):
+            kept |= mark == m
+        elif m < 0:
+            kept[a:b] |= bounded[a:b]
+    # Further articles without a surge.
+    homes = {_parent_of_article(node[k], elements) for k in np.flatnonzero(kept & (mark > 0)).tolist()}
+    for m in np.unique(mark[(mark > 0) & ~kept]).tolist():
+        mine = np.flatnonzero(mark == m)
+        beside = _parent_of_article(node[mine[0]], elements) in homes
+        if beside and 2 * int(weight[mine].sum()) > sum(len(blocks[k]) for k in mine):
+            kept[mine] = True
+    return kept
+
+
+def _parent_of_article(at: int, elements: list[tuple[str, int]]) -> int:
+    """The element around the outermost ``article`` around an element."""
+    around = -1
+    while at >= 0:
+        if elements[at][0] == "article":
+            around = elements[at][1]
+        at = elements[at][1]
+    return around
+
+
 def main_text(page: str | None) -> str:
     """The article of a page, blocks joined by line ends."""
-    blocks, weight, inside, node, elements = lines(page or "")
-    if inside.any():
-        return "\n".join(x for x, stays in zip(blocks, inside, strict=True) if stays)
-    kept = np.zeros(len(blocks), dtype=bool)
-    for a, b in stretches(weight):
-        if not kept[a:b].all():
-            a, b = _joined(a, b, weight, node, elements)
-            kept[a:b] = True
+    blocks, weight, mark, node, elements = lines(page or "")
+    found = stretches(weight)
+    kept = _completed(blocks, weight, mark, found, node, elements)
+    if not kept.any():
+        places = _Places(weight, node, elements)
+        for a, b in found:
+            if not kept[a:b].all():
+                a, b = _joined(a, b, weight, node, elements, places)
+                kept[a:b] = True
     return "\n".join(blocks[k] for k in np.flatnonzero(kept))
 
 
