@@ -1,11 +1,11 @@
 """Token ids as Arrow files of equal-length sequences.
 
-Texts are encoded once, and their ids stored as bytes of the narrowest kind. The ids are put in order of their
-documents' by a range shuffle; each task writes the shard of its range as two Arrow IPC files in
-the shared folder:
+Texts are read and encoded once. The ids, in bytes of the narrowest kind, are dealt out by ranges of document
+ids, whose bounds are quantiles of the ids alone; each task writes the shard of its range as two Arrow
+IPC files in the shared folder:
 
-* ``shard-N.arrow``: ``ids`` and ``mask``, both fixed-size lists of ``length`` entries (a byte per entry of
-  the mask, so that both are views). The ids of
+* ``shard-N.arrow``: ``ids``, fixed-size lists of ``length`` entries, and ``mask``, fixed-size lists of
+  ``length / 8`` bytes with a bit per entry, so that both are read as views. The ids of
   all documents, each followed by the end id, run through the sequences without gaps; only the
   last sequence of a shard is padded, with mask 0 there.
 * ``shard-N.docs.arrow``: each document's id, first position in the shard and number of ids.
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pyarrow.fs
 import pyarrow.ipc
 from pyspark import TaskContext
@@ -50,7 +51,7 @@ class _Shard:
         self.path, self.length, self.rows, self.kind = path, length, rows, kind
         self.system, self.name = _at(path)
         self.mark = f".{TaskContext.get().taskAttemptId()}" if TaskContext.get() else ".own"
-        lists = [pa.list_(kind, length), pa.list_(pa.uint8(), length)]
+        lists = [pa.list_(kind, length), pa.list_(pa.uint8(), -(-length // 8))]
         self.schema = pa.schema([("ids", lists[0]), ("mask", lists[1])])
         self.docs_schema = pa.schema([("doc_id", key), ("first", pa.int64()), ("n", pa.int64())])
         self.sinks = [self.system.open_output_stream(n + self.mark) for n in self._names()]
@@ -60,7 +61,7 @@ class _Shard:
         ]
         block = length * rows
         self.buffer = np.zeros(block, dtype=kind.to_pandas_dtype())
-        self.ones = np.ones(block, dtype=np.uint8)
+        self.bits = -(-length // 8)
         self.held = self.total = self.documents = 0
 
     def _names(self) -> list[str]:
@@ -68,14 +69,12 @@ class _Shard:
 
     def _write(self) -> None:
         """What the buffer holds as whole sequences, the last one padded."""
-        short = -self.held % self.length
-        mask = self.ones[: self.held + short]
-        if short:
-            self.buffer[self.held : self.held + short] = 0
-            mask = mask.copy()
-            mask[self.held :] = 0
+        size = self.held + -self.held % self.length
+        self.buffer[self.held : size] = 0
+        mask = (np.arange(size) < self.held).reshape(-1, self.length)
         columns = [
-            pa.FixedSizeListArray.from_arrays(pa.array(v), self.length) for v in (self.buffer[: len(mask)], mask)
+            pa.FixedSizeListArray.from_arrays(pa.array(self.buffer[:size]), self.length),
+            pa.FixedSizeListArray.from_arrays(pa.array(np.packbits(mask, axis=1).ravel()), self.bits),
         ]
         self.files[0].write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
         self.held = 0
@@ -125,10 +124,15 @@ class Sequences:
         return self.views
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence ``i``, both views."""
+        """Ids of sequence ``i`` and its mask, a bit per id (``np.packbits``); both are views."""
         block, row = divmod(i, self.rows)
-        ids, mask = (v[row * self.length : (row + 1) * self.length] for v in self._views(block))
-        return ids, mask.view(np.bool_)
+        ids, bits = self._views(block)
+        size = len(bits) // (len(ids) // self.length)
+        return ids[row * self.length : (row + 1) * self.length], bits[row * size : (row + 1) * size]
+
+    def mask(self, i: int) -> np.ndarray:
+        """The mask of sequence ``i``, a flag per id."""
+        return np.unpackbits(self.sequence(i)[1], count=self.length).view(np.bool_)
 
     def span(self, first: int, n: int) -> Iterator[np.ndarray]:
         """The ids from position ``first`` on, as views of one record batch each."""
@@ -152,8 +156,31 @@ def _narrow(vocabulary: str, end: int) -> bool:
     return max(encoder(vocabulary).tokenizer.get_vocab_size(), end + 1) <= 1 << 16
 
 
-def _encoded(docs: DataFrame, vocabulary: str, end: int, kind: np.dtype, doc_id: str, text: str) -> DataFrame:
-    """Each document's id, a hash of its text to order repeated ids by, and the bytes of its ids."""
+def _bounds(docs: DataFrame, doc_id: str, shards: int) -> list[int]:
+    """Ids that cut the documents into ``shards`` ranges of like size; a frequent id may be several bounds."""
+    if shards < 2:
+        return []
+    cuts = [k / shards for k in range(1, shards)]
+    return docs.agg(F.percentile_approx(docs[doc_id], cuts, 100 * shards).alias("cuts")).first()["cuts"] or []
+
+
+def _shard_of(ids: pa.Array, ties: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The range of each (id, tie), in their order. An id that is several bounds is spread over their ranges
+    by its ties; null ids come first."""
+    keys = pa.compute.fill_null(ids, 0).to_numpy()
+    low, high = (np.searchsorted(bounds, keys, side) for side in ("left", "right"))
+    part = (ties.astype(np.float64) + 2.0**63) / 2.0**64
+    inner = np.minimum((part * (high - low)).astype(np.int64), np.maximum(high - low - 1, 0))
+    shard = np.where(high - low > 1, low + inner, low)
+    shard[ids.is_null().to_numpy(zero_copy_only=False)] = 0
+    return shard
+
+
+def _encoded(
+    docs: DataFrame, vocabulary: str, end: int, kind: np.dtype, shards: int, doc_id: str, text: str
+) -> DataFrame:
+    """Each document's id, a hash of its text to order repeated ids by, its shard and the bytes of its ids."""
+    bounds = np.array(_bounds(docs, doc_id, shards), dtype=np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = encoder(vocabulary)
@@ -164,11 +191,13 @@ def _encoded(docs: DataFrame, vocabulary: str, end: int, kind: np.dtype, doc_id:
             out[ragged(ends - lengths - 1, lengths)] = ids
             offsets = np.concatenate(([0], ends * kind.itemsize)).astype(np.int32)
             data = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
-            yield pa.RecordBatch.from_arrays([batch.column(doc_id), batch.column("_tie"), data], [doc_id, "_tie", "ids"])
+            keys, ties = batch.column(doc_id), batch.column("_tie")
+            shard = pa.array(_shard_of(keys, ties.to_numpy(), bounds), pa.int32())
+            yield pa.RecordBatch.from_arrays([keys, ties, shard, data], [doc_id, "_tie", "_shard", "ids"])
 
     given = docs.select(docs[doc_id], docs[text], F.xxhash64(docs[text]).alias("_tie"))
     id_kind = docs.schema[doc_id].dataType.simpleString()
-    return given.mapInArrow(run, f"`{doc_id}` {id_kind}, _tie bigint, ids binary")
+    return given.mapInArrow(run, f"`{doc_id}` {id_kind}, _tie bigint, _shard int, ids binary")
 
 
 def write(
@@ -180,17 +209,19 @@ def write(
     rows: int = ROWS,
     doc_id: str = "doc_id",
     text: str = "text",
+    shards: int | None = None,
 ) -> DataFrame:
-    """Write all shards below ``path``. One row per shard: ``shard``, ``path``, ``documents``,
+    """Write all shards below ``path``, ``shards`` of them (by default as many as ``docs`` has partitions). One row per shard: ``shard``, ``path``, ``documents``,
     ``n_tokens`` and ``start``, the number of ids in all shards before it."""
     spark = docs.sparkSession
     ship(spark)
     system, name = _at(path)
     system.create_dir(name, recursive=True)
     kinds = (pa.uint16(), np.dtype("<u2")) if _narrow(vocabulary, end) else (pa.uint32(), np.dtype("<u4"))
-    stored = materialize(_encoded(docs, vocabulary, end, kinds[1], doc_id, text), "token-ids")
+    shards = shards or max(1, docs.rdd.getNumPartitions())
+    encoded = _encoded(docs, vocabulary, end, kinds[1], shards, doc_id, text)
     order = [F.col(doc_id).asc_nulls_first(), F.col("_tie")]
-    ranged = stored.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = encoded.repartitionById(shards, "_shard").sortWithinPartitions(*order).drop("_tie", "_shard")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, number = None, TaskContext.get().partitionId()
@@ -208,12 +239,12 @@ def write(
             )
 
     # Stored, so that no later action writes the shards again.
-    shards = materialize(
+    written = materialize(
         ranged.mapInArrow(run, "shard bigint, path string, documents bigint, n_tokens bigint"),
         "shards",
     )
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row per shard
-    return shards.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
+    return written.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
 def read_documents(shards: DataFrame, kind: str = "bigint", doc_id: str = "doc_id") -> DataFrame:

@@ -419,14 +419,28 @@ def test_sequences_are_views(documents, tmp_path):
     for row in shards:
         shard = binary.Sequences(row["path"])
         for i in (0, 9, (row["n_tokens"] - 1) // 64):
-            ids, mask = shard.sequence(i)
-            assert len(ids) == len(mask) == 64 and not ids.flags.owndata
+            ids, bits = shard.sequence(i)
+            mask = shard.mask(i)
+            assert len(ids) == len(mask) == 8 * len(bits) == 64
+            assert not ids.flags.owndata and not bits.flags.owndata
             begin = row["start"] + 64 * i
             stop = min(begin + 64, row["start"] + row["n_tokens"])
             assert ids[mask].tolist() == stream[begin:stop]
             assert mask.sum() == stop - begin
 
 
+def test_shards_keep_the_order():
+    """Ranges follow (id, tie), and an id that holds most rows is spread over its bounds."""
+    r = np.random.default_rng(3)
+    ids = np.where(r.random(4000) < 0.6, 7, r.integers(0, 15, 4000))
+    ties = r.integers(-(2**63), 2**63 - 1, 4000)
+    bounds = np.sort(ids)[[500 * k for k in range(1, 8)]]
+    shard = binary._shard_of(pa.array(ids), ties, bounds)
+    order = np.lexsort((ties, ids))
+    assert (np.diff(shard[order]) >= 0).all() and np.bincount(shard).max() < 1200
+    assert binary._shard_of(pa.array([None, 3], pa.int64()), np.zeros(2, np.int64), bounds)[0] == 0
+
+
 def _hold_packing(rows, docs, capacity=2048):
     left = Counter()
     pieces, windows = defaultdict(list), defaultdict(list)
