@@ -14,18 +14,17 @@ the documents of the one bucket that holds the border are put in order. So a lea
 most of all rows is neither sorted nor gathered.
 
 All amounts are integers, rounded down, so at most one token per child is lost to rounding. Since
-only whole documents are taken, a prefix can stop up to a document short of its allocation. With
-``refill``, what prefixes leave over is handed on: it is shared among the siblings whose next
-document fits into it, by weight, and what is left then goes whole to one leaf after the other, the
-shortest next document first, among the siblings, then below each ancestor up to the root. A leaf
-that was offered all of a rest has a next document longer than what remains, so it is asked once a
-level. In the end no leaf's next document fits into what is left of the whole budget. Without
-``refill`` these rests stay unused, up to a document less a token per leaf.
+only whole documents are taken, a prefix can stop up to a document short of its allocation. What prefixes
+leave over is handed on (``refill``): below each parent the left-overs make a pool, from which leaves
+get the one document that ended their prefix, the shortest first, as long as the pool lasts; what remains
+goes up to the next ancestor and its leaves, up to the root. Each level is one step over a row per
+leaf, however many leaves there are. What is left of the whole budget in the end is less than the
+document that some leaf would take next. Without ``refill`` the left-overs stay unused.
 
 Defined results: a null level counts as an empty string; a null text has no tokens; a document
 without tokens is in every epoch whose prefix reaches it. Weights that are not given are 1; a
 weight of 0 takes nothing, so its documents are left out. Rows that repeat an id are ordered by
-the hash of their text. Other columns stay as they are.
+the hash of their text; rows equal in both are taken together or not at all. Other columns stay as they are.
 """
 
 from __future__ import annotations
@@ -110,56 +109,36 @@ def allocate(leaves: DataFrame, levels: list[str], weights: dict, budget: Column
     return nodes.drop("weight", "budget")
 
 
-def _refilled(ends: DataFrame, leaves: DataFrame, names: list[str], weights: dict, prefixes) -> DataFrame:
-    """``ends`` after what its prefixes leave over was handed on, siblings first, then upwards.
-
-    ``prefixes``: the prefixes of leaves for new allocations. Each round looks at the documents of
-    those leaves only that are offered something; all else works on a row per leaf.
-    """
+def _refilled(ends: DataFrame, names: list[str], weights: dict) -> DataFrame:
+    """``ends`` with ``more``: whether the document after a leaf's prefix is taken as well, out of what
+    prefixes leave over. Siblings come first, then the leaves below each ancestor."""
     paths = [_weight(weights, [F.col(c) for c in names[:depth]]) for depth in range(1, len(names) + 1)]
-    weight = F.when(F.least(*paths, F.lit(1).cast(_BIG)) > 0, paths[-1]).otherwise(0).cast(_BIG)
-    fixed = leaves.select(*names, "one", F.col("supply").alias("most"), weight.alias("weight"))
-    found = ["given", "full", "_stop", "next", "used"]
-    state = materialize(
-        ends.join(fixed, names).withColumn("left", (F.col("given") - F.col("used")).cast(_BIG)), "mix-left"
+    state = ends.withColumns(
+        {
+            "_open": (F.least(*paths, F.lit(1).cast(_BIG)) > 0) & (F.col("given") > 0) & F.col("next").isNotNull(),
+            "left": (F.col("given") - F.col("used")).cast(_BIG),
+            "more": F.lit(False),
+        }
     )
     for depth in range(len(names) - 1, -1, -1):
         parents = names[:depth] or [F.lit(1)]
-        shared = depth == len(names) - 1  # among siblings by weight at first
-        while True:
-            pool = F.sum("left").over(Window.partitionBy(*parents)).cast(_BIG)
-            fits = state.withColumn("budget", pool).where("weight > 0 AND next <= budget")
-            room = (F.col("most") - F.col("used")).cast(_BIG)
-            if shared:
-                offered = share_out(fits.withColumn("supply", room), parents, names[-1])
-                offered = offered.select(*names, F.col("given").alias("part"))
-            else:
-                rank = Window.partitionBy(*parents).orderBy("next", *names)
-                offered = fits.withColumn("_rank", F.row_number().over(rank)).where("_rank = 1")
-                offered = offered.select(*names, F.least("budget", room).cast(_BIG).alias("part"))
-            offered = materialize(offered, "mix-offers")
-            if offered.isEmpty():
-                break
-            shared = False
-            grown = prefixes(
-                state.join(offered, names).select(*names, "one", (F.col("used") + F.col("part")).cast(_BIG).alias("given"))
-            )
-            # The rest of a pool waits at its first leaf; only the sum counts.
-            new = grown.select(*names, *[F.col(c).alias(f"_new_{c}") for c in found], F.lit(True).alias("_new"))
-            first = F.row_number().over(Window.partitionBy(*parents).orderBy(*names)) == 1
-            state = (
-                state.withColumn("_pool", pool)
-                .join(new, names, "left")
-                .withColumn("_taken", F.when(F.col("_new"), F.col("_new_used") - F.col("used")).otherwise(0))
-                .withColumn("_rest", F.col("_pool") - F.sum("_taken").over(Window.partitionBy(*parents)))
-                .withColumn("left", F.when(first, F.col("_rest")).otherwise(0).cast(_BIG))
-                .select(
-                    *names, "one", "most", "weight", "left",
-                    *[F.when(F.col("_new"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in found],
-                )
-            )
-            state = materialize(state, "mix-left")
-    return state.select(*names, *found)
+        whole = Window.partitionBy(*parents)
+        asks = F.col("_open") & ~F.col("more") & (F.col("next") <= F.col("_pool"))
+        shortest = whole.orderBy(F.desc("_asks"), "next", *names).rowsBetween(Window.unboundedPreceding, 0)
+        wanted = F.when(F.col("_asks"), F.col("next")).otherwise(0)
+        gets = F.col("_asks") & (F.sum(wanted).over(shortest) <= F.col("_pool"))
+        spent = F.sum(F.when(F.col("_gets"), F.col("next")).otherwise(0)).over(whole)
+        # The rest of a pool waits at its first leaf; only the sum counts.
+        first = F.row_number().over(whole.orderBy(*names)) == 1
+        state = (
+            state.withColumn("_pool", F.sum("left").over(whole).cast(_BIG))
+            .withColumn("_asks", asks)
+            .withColumn("_gets", gets)
+            .withColumn("left", F.when(first, F.col("_pool") - spent).otherwise(0).cast(_BIG))
+            .withColumn("more", F.col("more") | F.col("_gets"))
+            .drop("_pool", "_asks", "_gets")
+        )
+    return state.drop("_open", "left")
 
 
 def mix(
@@ -224,11 +203,14 @@ def mix(
             .select(*names, F.col("b._bucket").alias("_bucket"), F.col("b.room").alias("room")),
             "mix-borders",
         )
-        inside = Window.partitionBy(*names).orderBy("_place", "_id", "_mark").rowsBetween(Window.unboundedPreceding, 0)
+        # Equal rows count together.
+        inside = Window.partitionBy(*names).orderBy("_place", "_id", "_mark").rangeBetween(Window.unboundedPreceding, 0)
+        alike = Window.partitionBy(*names, "_place", "_id", "_mark")
         # The first document of the border bucket that does not fit ends the prefix.
         over = (
             placed.join(border, [*names, "_bucket"])
             .withColumn("upto", F.sum("tokens").over(inside))
+            .withColumn("tokens", F.sum("tokens").over(alike))
             .where("upto > room")
             .groupBy(*names)
             .agg(
@@ -252,13 +234,13 @@ def mix(
         )
 
     ends = prefixes(allocate(leaves, names, weights, budget))
-    if refill:
-        ends = _refilled(ends, leaves, names, weights, prefixes)
+    ends = materialize(_refilled(ends, names, weights), "mix-refilled") if refill else ends.withColumn("more", F.lit(False))
     here = F.struct(key.alias("_place"), F.col("_id").alias("_id"), F.col("_mark").alias("_mark"))
-    partly = (F.col("full") < epochs) & (F.col("given") > 0) & (F.col("_stop").isNull() | (here < F.col("_stop")))
+    reached = F.col("_stop").isNull() | (here < F.col("_stop")) | (F.col("more") & (here == F.col("_stop")))
+    partly = (F.col("full") < epochs) & (F.col("given") > 0) & reached
     taken = F.when(partly, F.col("full") + 1).otherwise(F.col("full"))
     return (
-        rows.join(ends.select(*names, "given", "full", "_stop"), names)
+        rows.join(ends.select(*names, "given", "full", "_stop", "more"), names)
         .withColumn("taken", taken)
         .where("taken > 0")
         .select("row", F.array(*names).alias("leaf"), "tokens", F.explode(F.sequence(F.lit(0), F.col("taken") - 1)).alias("epoch"))

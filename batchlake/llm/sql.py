@@ -62,6 +62,27 @@ def _shared(name: str, source: str, parents: str, node: str) -> str:
 )"""
 
 
+def _refill(name: str, source: str, parents: str) -> str:
+    """CTEs that give leaves the document after their prefix, the shortest first, out of what is spare below
+    ``parents``; ``spare`` is what the leaves of a parent then have left, all of it at one of them."""
+    before = "got" if source != "ends" else "false"
+    columns = "* EXCLUDE (got)" if source != "ends" else "*"
+    return f"""
+{name}_a AS (
+  SELECT {columns}, {before} AS had, sum(spare) OVER (PARTITION BY {parents}) AS pool FROM {source}
+), {name}_b AS (
+  SELECT *, weight > 0 AND given > 0 AND next IS NOT NULL AND NOT had AND next <= pool AS asks FROM {name}_a
+), {name}_c AS (
+  SELECT *, asks AND sum(CASE WHEN asks THEN next ELSE 0 END) OVER (
+    PARTITION BY {parents} ORDER BY NOT asks, next, domain, lang, source ROWS UNBOUNDED PRECEDING) <= pool AS gets FROM {name}_b
+), {name} AS (
+  SELECT domain, lang, source, given, weight, next, had OR gets AS got,
+    CASE WHEN row_number() OVER (PARTITION BY {parents} ORDER BY domain, lang, source) = 1
+      THEN pool - sum(CASE WHEN gets THEN next ELSE 0 END) OVER (PARTITION BY {parents}) ELSE 0 END AS spare
+  FROM {name}_c
+)"""
+
+
 def mixing(domain: str, weights: dict[tuple[str, ...], int], share: tuple[int, int], epochs: int, seed: int) -> str:
     """Rows that the mixing operator chooses, for the levels domain, lang and source."""
 
@@ -101,8 +122,17 @@ WITH docs AS (
   SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY place ROWS UNBOUNDED PRECEDING) AS upto FROM placed
 ), cut AS (
   SELECT *, bool_or(upto > rest) OVER (PARTITION BY domain, lang, source ORDER BY place ROWS UNBOUNDED PRECEDING) AS beyond FROM running
+), ends AS (
+  SELECT domain, lang, source, any_value(given) AS given,
+    least({weight('domain')}, {weight('domain', 'lang')}, {weight('domain', 'lang', 'source')}) AS weight,
+    CASE WHEN any_value(n_full) < {epochs} THEN any_value(rest) - coalesce(sum(tokens) FILTER (NOT beyond), 0) ELSE 0 END AS spare,
+    CASE WHEN any_value(n_full) < {epochs} THEN arg_min(tokens, place) FILTER (beyond) END AS next
+  FROM cut GROUP BY domain, lang, source
+), {_refill('more1', 'ends', 'domain, lang')}, {_refill('more2', 'more1', 'domain')}, {_refill('more3', 'more2', '1')}, stops AS (
+  SELECT domain, lang, source, min(place) FILTER (beyond) AS stop FROM cut GROUP BY domain, lang, source
 ), chosen AS (
-  SELECT *, n_full + CASE WHEN n_full < {epochs} AND given > 0 AND NOT beyond THEN 1 ELSE 0 END AS taken FROM cut
+  SELECT c.*, n_full + CASE WHEN n_full < {epochs} AND c.given > 0 AND (NOT beyond OR (m.got AND place = stop)) THEN 1 ELSE 0 END AS taken
+  FROM cut c JOIN more3 m USING (domain, lang, source) JOIN stops USING (domain, lang, source)
 )
 SELECT doc_id, domain, lang, source, tokens, unnest(range(taken))::INTEGER AS epoch FROM chosen WHERE taken > 0
 """

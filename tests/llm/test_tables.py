@@ -291,7 +291,7 @@ def _mixed(docs, weights, budget, chosen, epochs=1, seed=0):
 
 @pytest.mark.parametrize(("epochs", "share"), [(1, (1, 2)), (1, (9, 10)), (2, (4, 5))])
 def test_mix_hands_on_what_prefixes_leave(spark, epochs, share):
-    """Leaves with a document longer than their share: others use it, so far as a document fits."""
+    """Leaves with a document longer than their share: others use it, to within one document."""
     r = random.Random(5)
     docs = []
     for lang in ("en", "de", "fr"):
@@ -314,9 +314,35 @@ def test_mix_hands_on_what_prefixes_leave(spark, epochs, share):
     used, after = run()
     assert ("de", "d") not in {k for k, n in used.items() if n}
     rest = budget - sum(used.values())
-    assert all(n > rest for n in after.values()), (rest, after)
-    before, _ = run(refill=False)
+    before, ahead = run(refill=False)
     assert all(used[k] >= before[k] for k in used) and sum(used.values()) > sum(before.values())
+    # Each leaf gets the next document or none; no document that was not given fits into the rest.
+    assert all(used[k] - before[k] in (0, ahead.get(k)) for k in used)
+    assert all(n > rest for k, n in ahead.items() if used[k] == before[k] and before[k] + n <= budget), (rest, ahead)
+    assert 0 <= rest < max(after.values())
+
+
+def test_mix_equals_sql_on_long_documents(spark):
+    """The checking SQL is another way to the same rows, also where borders are long."""
+    import duckdb
+    from batchlake.llm import sql
+
+    r = random.Random(8)
+    docs = [
+        (i, "w " * r.choice([1, 3, 20, 60, 400, 3000]), r.choice(["en", "de", None]), f"src{r.randrange(14)}", 0)
+        for i in range(400)
+    ]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    levels = {"domain": F.expr(queries.DOMAIN), "lang": F.col("lang"), "source": F.col("source")}
+    con = duckdb.connect()
+    con.register("given", frame.toArrow())
+    con.execute("CREATE TABLE documents AS SELECT * FROM given")
+    for share, epochs in (((1, 3), 1), ((4, 5), 2)):
+        chosen = mixing.mix(frame, levels, queries.WEIGHTS, share, epochs, 5)
+        chosen = chosen.select("row.doc_id", *[F.col("leaf")[k].alias(n) for k, n in enumerate(levels)], "tokens", "epoch")
+        assert compare.differences(chosen, con, sql.mixing(queries.DOMAIN, queries.WEIGHTS, share, epochs, 5)) is None
+        budget = sum(len(plain.words(d[1])) for d in docs) * share[0] // share[1]
+        assert budget - 3000 <= chosen.agg(F.sum("tokens")).first()[0] <= budget
 
 
 # ---- 10: main text ---------------------------------------------------------------------------
