@@ -167,9 +167,8 @@ def op11_recursive_bpe(spark, sf):
     )
 
 
-@query
-def op12_merkle_manifest(spark, sf):
-    docs = table(spark, sf, "documents")
+def manifest_rows(docs: DataFrame, span: int = merkle.SPAN) -> DataFrame:
+    """Leaves, roots and proofs, and what the proofs give for rows some of which were tampered with."""
     fields = [docs[c] for c in ("doc_id", "source", "lang", "n_chars", "text")]
     tampered = [*fields[:3], docs["n_chars"].cast("decimal(38,0)") + 1, fields[4]]
     altered = F.pmod(F.crc32(docs["doc_id"].cast("string")), F.lit(7)) == 0
@@ -179,7 +178,7 @@ def op12_merkle_manifest(spark, sf):
         merkle.leaf_digest(*fields).alias("leaf"),
         F.when(altered, merkle.leaf_digest(*tampered)).alias("tampered"),
     )
-    proofs = merkle.Manifest(merkle.place(leaves, "lang", "doc_id")).proofs()
+    proofs = merkle.Manifest(merkle.place(leaves, "lang", "doc_id"), span).proofs()
     checked = merkle.verify(proofs.withColumn("seen", F.coalesce("tampered", "leaf")), "seen")
     return checked.select(
         "doc_id",
@@ -192,6 +191,11 @@ def op12_merkle_manifest(spark, sf):
     )
 
 
+@query
+def op12_merkle_manifest(spark, sf):
+    return manifest_rows(table(spark, sf, "documents"))
+
+
 @query
 def op13_drift_clusters(spark, sf):
     return centroids.with_inertia(centroids.cluster(table(spark, sf, "embeddings")))
