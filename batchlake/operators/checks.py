@@ -1,22 +1,28 @@
 """Declarative integrity checks over related tables.
 
-A suite is plain data: lists of keys, references, mandatory columns and predicates. Building the
-report plans one aggregate per check (one scan per table for all NULL counts and predicates) and
-unions the one-row results; nothing but the report leaves the executors.
+A suite is plain data: lists of keys, references, mandatory columns and predicates. Each check is one
+aggregate (one scan per table for all NULL counts and predicates) and a job of its own, so a fault
+in one leaves the others alone; nothing but the report leaves the executors.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from batchlake.operators.skew import join_groups
 
 Tables = dict[str, DataFrame]
 
+#: Checks that run at the same time.
+AT_ONCE = 8
+
 REPORT = "section string, check_name string, status string, issue_count bigint, error string"
 
 
@@ -200,35 +206,57 @@ def reconcile(
 # ---- whole suite -----------------------------------------------------------------------------
 
 
-def run_suite(spark: SparkSession, suite: Suite, tables: Tables) -> DataFrame:
+@dataclass(frozen=True)
+class _Job:
+    """Checks that share a job: their sections and names, and a frame with the row (issue counts in the same
+    order); ``alone`` makes the frame of one of them."""
+
+    names: list[tuple[str, str]]
+    frame: DataFrame
+    alone: Callable[[int], DataFrame] | None = None
+
+
+def _outcome(spark: SparkSession, job: _Job) -> list[tuple]:
+    """Report rows of a job, run under a job group of its own. If it fails, each of its checks is run
+    alone, so that only the faulty ones are errors."""
+    spark.sparkContext.setJobGroup("check " + ", ".join(f"{s}: {n}" for s, n in job.names[:3]), "integrity check")
+    try:
+        counts = job.frame.first()
+    except Exception as fault:  # whatever stopped the job is this check's result
+        if len(job.names) > 1:
+            return [r for k, name in enumerate(job.names) for r in _outcome(spark, _Job([name], job.alone(k)))]
+        return [(*job.names[0], "ERROR", None, _message(fault))]
+    return [(s, n, "FAIL" if count else "PASS", count, None) for (s, n), count in zip(job.names, counts, strict=True)]
+
+
+def _message(fault: Exception) -> str:
+    return str(fault).split("\n")[0] or type(fault).__name__
+
+
+def run_suite(spark: SparkSession, suite: Suite, tables: Tables, at_once: int = AT_ONCE) -> DataFrame:
     """The report: one row per check with PASS, FAIL or ERROR and the number of faults.
 
-    A check that cannot be planned (missing table or column) is an ERROR row; the others run.
+    Checks are jobs of their own, ``at_once`` at a time; NULL counts and predicates of a table share one
+    scan. A check that cannot be planned (missing table or column) or fails while it runs (a division
+    by zero, an unreadable file) is an ERROR row; the others are not touched by it. A row per check
+    comes to the driver.
     """
-    parts: list[DataFrame] = []
-    broken: list[tuple[str, str, str]] = []
+    jobs: list[_Job] = []
+    rows: list[tuple] = []
 
-    def attempt(section: str, name: str, build) -> None:
+    def attempt(section: str, name: str, build: Callable[[], DataFrame]) -> None:
         try:
-            part = build().select(
-                F.lit(section).alias("section"),
-                F.lit(name).alias("check_name"),
-                F.col("issue_count").cast("bigint").alias("issue_count"),
-            )
-            part.schema  # forces analysis now, so a bad column surfaces here
-            parts.append(part)
-        except (AnalysisException, KeyError) as exc:
-            broken.append((section, name, str(exc).split("\n")[0]))
+            frame = build().select(F.col("issue_count").cast("bigint"))
+            frame.schema  # forces analysis now, so a bad column surfaces here
+            jobs.append(_Job([(section, name)], frame))
+        except (AnalysisException, KeyError) as fault:
+            rows.append((section, name, "ERROR", None, _message(fault)))
 
-    def rows(frame: DataFrame) -> DataFrame:
+    def count(frame: DataFrame) -> DataFrame:
         return frame.agg(F.count(F.lit(1)).alias("issue_count"))
 
     for table, key in suite.primary_keys:
-        attempt(
-            "primary_keys",
-            f"{table}.{key}",
-            lambda: rows(duplicate_keys(tables[table], key)),
-        )
+        attempt("primary_keys", f"{table}.{key}", lambda: count(duplicate_keys(tables[table], key)))
     for child, column, parent, parent_column in suite.foreign_keys:
         attempt(
             "foreign_keys",
@@ -236,12 +264,9 @@ def run_suite(spark: SparkSession, suite: Suite, tables: Tables) -> DataFrame:
             lambda: orphan_count(tables[child], column, tables[parent], parent_column),
         )
 
-    # NULL counts and predicates share one scan per table.
     flags: dict[str, list[tuple[str, str, str]]] = {}
     for table, column in suite.not_null:
-        flags.setdefault(table, []).append(
-            ("null_constraints", f"{table}.{column}", f"`{column}` IS NULL")
-        )
+        flags.setdefault(table, []).append(("null_constraints", f"{table}.{column}", f"`{column}` IS NULL"))
     for name, (table, condition) in suite.predicates.items():
         flags.setdefault(table, []).append(("data_consistency", name, condition))
     for table, checks in flags.items():
@@ -250,40 +275,23 @@ def run_suite(spark: SparkSession, suite: Suite, tables: Tables) -> DataFrame:
             try:
                 tables[table].where(condition).schema
                 good.append((section, name, condition))
-            except (AnalysisException, KeyError) as exc:
-                broken.append((section, name, str(exc).split("\n")[0]))
+            except (AnalysisException, KeyError) as fault:
+                rows.append((section, name, "ERROR", None, _message(fault)))
+
+        def counted(some: list[tuple[str, str, str]], table: str = table) -> DataFrame:
+            return tables[table].agg(*[F.count_if(F.expr(c)).alias(f"c{i}") for i, (_, _, c) in enumerate(some)])
+
         if good:
-            totals = tables[table].agg(
-                *[F.count_if(F.expr(c)).alias(f"c{i}") for i, (_, _, c) in enumerate(good)]
-            )
-            entries = F.array(
-                *[
-                    F.struct(
-                        F.lit(s).alias("section"),
-                        F.lit(n).alias("check_name"),
-                        F.col(f"c{i}").alias("issue_count"),
-                    )
-                    for i, (s, n, _) in enumerate(good)
-                ]
-            )
-            parts.append(totals.select(F.inline(entries)))
+            alone = lambda k, good=good, counted=counted: counted([good[k]])
+            jobs.append(_Job([(s, n) for s, n, _ in good], counted(good), alone))
     for name, violations in suite.custom.items():
-        attempt("data_consistency", name, lambda: rows(violations(tables)))
+        attempt("data_consistency", name, lambda: count(violations(tables)))
 
-    errors = spark.createDataFrame(
-        [(s, n, "ERROR", None, e) for s, n, e in broken], REPORT
-    )
-    if not parts:
-        return errors
-    status = F.when(F.col("issue_count") == 0, "PASS").otherwise("FAIL")
-    done = _union(parts).select(
-        "section",
-        "check_name",
-        status.alias("status"),
-        "issue_count",
-        F.lit(None).cast("string").alias("error"),
-    )
-    return done.unionByName(errors) if broken else done
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        run = inheritable_thread_target(spark)(lambda job: _outcome(spark, job))
+        for found in pool.map(run, jobs):
+            rows += found
+    return spark.createDataFrame(rows, REPORT)
 
 
 def summarize(report: DataFrame) -> DataFrame:

@@ -264,6 +264,25 @@ def test_suite_reports_errors_and_goes_on(spark):
     assert (total.overall_status, total.passed_checks, total.failed_checks, total.errors) == ("FAIL", 1, 2, 2)
 
 
+def test_a_check_that_fails_at_run_time_leaves_the_others(spark):
+    def broken(tables):
+        return tables["t"].where(F.raise_error(F.lit("torn file")).isNotNull())
+
+    suite = checks.Suite(
+        primary_keys=[("t", "id")],
+        not_null=[("t", "v")],
+        predicates={"ratio": ("t", "id / (v - v) > 1"), "positive": ("t", "v < 0")},
+        custom={"torn": broken},
+    )
+    table = spark.createDataFrame([(1, 2), (1, 3)], "id int, v int")
+    report = {r.check_name: r for r in checks.run_suite(spark, suite, {"t": table}).collect()}
+    assert {n: r.status for n, r in report.items()} == {
+        "t.id": "FAIL", "t.v": "PASS", "positive": "PASS", "ratio": "ERROR", "torn": "ERROR"
+    }
+    assert "zero" in report["ratio"].error and "torn file" in report["torn"].error
+    assert report["ratio"].issue_count is None
+
+
 def test_single_batch_check(spark):
     rows = spark.createDataFrame(
         [("u1", "a"), ("u1", None), ("u2", ""), ("u3", "a"), ("u3", "b")], "unit string, phase3_batch_id string"
