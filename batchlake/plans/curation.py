@@ -121,6 +121,8 @@ def curate(
             writers.append(out.select("*", limit, F.lit(run_ts).alias("run_ts")), lake.zone("parked_batches"))
     elif not op.quality_gate(run, max_invalid_percent).first()["passed"]:
         raise QualityGateError(f"{totals['rows_quarantined']} of {totals['rows_read']} rows quarantined")
+    ready = materialize(ready, "handed-on")
+    writers.write_documents(ready, lake.zone("handoffs"), "phase3_batch_id")
     writers.append(ready, lake.zone("serving_batches"))
     return totals
 
@@ -154,7 +156,8 @@ def handoff(spark: SparkSession, lake: Lake, manifests: DataFrame, names: list[s
     origin = manifests.select(
         F.col("phase1_batch_id").alias("phase3_batch_id"),
         F.col("source_filename").alias("_name"),
-        F.concat(F.lit("metadata/"), "raw_key", F.lit(".json")).alias("_manifest"),
+        # The document the manifest was read from.
+        F.concat(F.lit("metadata/"), "manifest_key").alias("_manifest"),
     )
     if exists(spark, root):
         rows = with_file(read_curated(spark, root).where(F.col("phase3_batch_id").isin(names)))
@@ -164,7 +167,7 @@ def handoff(spark: SparkSession, lake: Lake, manifests: DataFrame, names: list[s
     both = origin.join(made, "phase3_batch_id", "left")
     return both.select(
         "phase3_batch_id",
-        F.coalesce("source_manifest_key", "_manifest").alias("source_manifest_key"),
+        F.col("_manifest").alias("source_manifest_key"),
         F.coalesce("source_filename", "_name").alias("source_filename"),
         "source_checksum",
         F.lit("curated").alias("curated_bucket"),

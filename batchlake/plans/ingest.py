@@ -35,21 +35,30 @@ def build_manifests(
     duration_ms: float,
     pipeline_version: str = PIPELINE_VERSION,
     request_id: str | None = None,
+    objects: DataFrame | None = None,
 ) -> DataFrame:
     """Manifest rows of the files, joined with their row counts; a file without rows counts 0.
 
     ``files`` has batch_id, raw_key and event_time (ISO text or anything else, then the run's
-    time stands in).
+    time stands in). ``objects`` (batch_id, clean_object_keys, rejected_object_keys) are the files written; the
+    first of each is the batch's clean or rejected key, and a batch that has none has no such key.
     """
     totals = ["total_records", "valid_records", "invalid_records"]
     key = F.col("raw_key")
-    return files.join(counts, "batch_id", "left").select(
+    keys = ["clean_object_keys", "rejected_object_keys"]
+    both = files.join(counts, "batch_id", "left")
+    if objects is None:
+        none = F.lit(None).cast("array<string>")
+        both = both.withColumns(dict.fromkeys(keys, none))
+    else:
+        both = both.join(objects, "batch_id", "left")
+    return both.select(
         F.lit("raw").alias("raw_bucket"),
         "raw_key",
         F.lit("clean").alias("clean_bucket"),
-        key.alias("clean_key"),
+        F.get("clean_object_keys", 0).alias("clean_key"),
         F.lit("rejected").alias("rejected_bucket"),
-        key.alias("rejected_key"),
+        F.get("rejected_object_keys", 0).alias("rejected_key"),
         text.base_name(key).alias("source_filename"),
         dates.event_timestamp(F.col("event_time"), processed_timestamp).alias("event_timestamp"),
         F.lit(processed_timestamp).alias("phase1_processed_timestamp"),
@@ -57,6 +66,7 @@ def build_manifests(
         F.lit(pipeline_version).alias("phase1_pipeline_version"),
         *[F.coalesce(c, F.lit(0)).alias(c) for c in totals],
         F.lit(round(duration_ms, 1)).alias("execution_duration_ms"),
+        *[F.coalesce(k, F.array().cast("array<string>")).alias(k) for k in keys],
         F.lit(request_id).cast("string").alias("lambda_request_id"),
     )
 
@@ -172,11 +182,14 @@ def ingest_files(
         ).alias("batch_id"),
         dates.iso_z(F.col("last_modified")).alias("event_time"),
     ).join(failed.select("raw_key"), "raw_key", "left_anti")
+    counts = materialize(validate.batch_counts(tagged), "batch-counts")
+    objects = [_objects(spark, lake, zone, counts) for zone in ("clean", "rejected")]
     manifests = build_manifests(
         files,
-        validate.batch_counts(tagged),
+        counts,
         run_ts,
         (time.monotonic() - begun) * 1000,
+        objects=objects[0].join(objects[1], "batch_id", "full_outer"),
     )
     manifests = materialize(manifests, "manifests")
     writers.write_documents(manifests, lake.zone("metadata"), "phase1_batch_id")
@@ -190,6 +203,20 @@ def ingest_files(
     return manifests
 
 
+def _objects(spark: SparkSession, lake: Lake, zone: str, counts: DataFrame) -> DataFrame:
+    """(batch_id, <zone>_object_keys): the files that now hold the rows of the batches in ``counts``, from a
+    listing of their folders only."""
+    rows = {"clean": "valid_records", "rejected": "invalid_records"}[zone]
+    names = [r[0] for r in counts.where(F.col(rows) > 0).select("batch_id").collect()]  # of one round
+    shape = f"batch_id string, {zone}_object_keys array<string>"
+    if not names:
+        return spark.createDataFrame([], shape)
+    root = lake.zone(zone)
+    listed = list_objects(spark, root, "", "*.csv", [f"{root}/batch_id={n}" for n in sorted(names)])
+    batch = F.regexp_extract("key", r"(?:^|/)batch_id=([^/]+)/", 1).alias("batch_id")
+    return listed.groupBy(batch).agg(F.array_sort(F.collect_list("key")).alias(f"{zone}_object_keys"))
+
+
 def failures(spark: SparkSession, lake: Lake, max_attempts: int = MAX_ATTEMPTS) -> DataFrame | None:
     """Each file that ever failed: ``raw_key``, ``attempts``, ``reason`` of the last one and ``state``: WAITING to
     be tried again, GIVEN_UP after ``max_attempts``, or RESOLVED. None if no file has failed yet.

@@ -25,7 +25,8 @@ from batchlake.plans.lake import Lake
 from batchlake.plans.monitor import log_line
 from batchlake.session import exists, materialize
 from batchlake.sinks import writers
-from batchlake.sources.tables import read_curated, with_file
+from batchlake.sources.manifests import read_handoffs
+from batchlake.sources.tables import curated_objects, read_curated, with_file
 
 MAX_ATTEMPTS = 3
 #: Batches loaded at a time. All waiting ones are, in rounds of this many, by ingestion time, then
@@ -196,6 +197,24 @@ def load(
     return reduce(DataFrame.unionByName, done)
 
 
+def load_documents(spark: SparkSession, lake: Lake, run_ts: str) -> DataFrame:
+    """``load`` of the hand-off documents (``handoffs``). A document that cannot be read or has no list of
+    objects is no batch: it becomes an error row that names the document, and the others are loaded."""
+    good, bad = read_handoffs(spark, lake.zone("handoffs"))
+    serving = Serving(spark, lake)
+    if exists(spark, serving.path("load_errors")):
+        bad = bad.join(
+            serving.errors().select(F.col("source_file").alias("manifest_key")), "manifest_key", "left_anti"
+        )
+    bad = materialize(bad, "malformed-handoffs")
+    if not bad.isEmpty():
+        rows = bad.select(F.col("manifest_key").alias("source_filename"), F.lit("malformed").alias("batch_id"), "reason")
+        _batch_errors(rows, F.col("reason"), F.lit(run_ts).cast("timestamp")).write.mode("append").partitionBy(
+            "batch_id"
+        ).parquet(serving.path("load_errors"))
+    return load(spark, lake, run_ts, good.drop("manifest_key"))
+
+
 def _pages(batches: DataFrame, *order: str) -> Iterator[list[str]]:
     """Batch ids in the given order, ``ROUND`` at a time."""
     at = F.struct(*order)
@@ -256,10 +275,16 @@ def _load_batches(
     mine = with_file(
         read_curated(spark, lake.zone("curated")).where(F.col("phase3_batch_id").isin(names))
     )
+    held = curated_objects(mine, lake.zone("curated")).select(
+        "phase3_batch_id", F.col("curated_object_keys").alias("_held")
+    )
+    none = F.array().cast("array<string>")
+    listed = F.array_sort("curated_object_keys").eqNullSafe(F.coalesce("_held", none))
+    fault = F.coalesce("error", F.when(~listed, "objects differ from those handed on"))
     verdict = materialize(
-        op.verify_handoff(todo, mine).select(
-            "batch_id", "source_filename", "records_written", "error"
-        ),
+        op.verify_handoff(todo, mine)
+        .join(held, "phase3_batch_id", "left")
+        .select("batch_id", "source_filename", "records_written", fault.alias("error")),
         "verdict",
     )
     sound = verdict.where("error IS NULL").select("batch_id")

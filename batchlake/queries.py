@@ -1309,12 +1309,16 @@ def ordered_outputs(spark, sf):
 def _half_loaded(spark, sf, first_clock: str, second_clock: str) -> loading.Serving:
     """Batches of even number loaded and compacted, then the others with another clock."""
     home = _curated_lake(spark, sf)
-    handed = spark.read.parquet(home.zone("serving_batches"))
-    even = F.regexp_extract("source_manifest_key", r"batch_id=b(\d+)", 1).cast("int") % 2 == 0
-    loading.load(spark, home, first_clock, handed.where(even))
+    from batchlake.sources.manifests import read_manifests
+
+    made = read_manifests(spark, home.zone("metadata"))
+    even = F.regexp_extract("raw_key", r"batch_id=b(\d+)", 1).cast("int") % 2 == 0
+    names = made.select(F.col("phase1_batch_id").alias("phase3_batch_id"), even.alias("even"))
+    handed = spark.read.parquet(home.zone("serving_batches")).join(names, "phase3_batch_id")
+    loading.load(spark, home, first_clock, handed.where("even").drop("even"))
     serving = loading.Serving(spark, home)
     serving.compact()
-    loading.load(spark, home, second_clock, handed.where(~even))
+    loading.load(spark, home, second_clock, handed.where("NOT even").drop("even"))
     return serving
 
 
@@ -1345,6 +1349,45 @@ def mixed_objects(spark, sf):
     return load.verify_handoff(curate.serving_batches(rows), changed).select("phase3_batch_id", "error")
 
 
+@query
+def handoff_documents(spark, sf):
+    """Hand-off documents, two of them malformed, loaded: batches by outcome, and keys that lead nowhere."""
+    home = _curated_lake(spark, sf)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(home.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name, body in (("torn.json", b"{not json"), ("bare.json", b'{"phase3_batch_id": "x"}')):
+        made = files.create(path(f"{home.zone('handoffs')}/{name}"))
+        made.write(bytearray(body))
+        made.close()
+    loading.load_documents(spark, home, "2026-07-01T02:00:00Z")
+    serving = loading.Serving(spark, home)
+    from batchlake.sources.manifests import read_handoffs, read_manifests
+
+    manifests = read_manifests(spark, home.zone("metadata"))
+    handed, _ = read_handoffs(spark, home.zone("handoffs"))
+    named = {
+        "clean": manifests.select(F.explode("clean_object_keys").alias("key")),
+        "rejected": manifests.select(F.explode("rejected_object_keys").alias("key")),
+        "curated": handed.select(F.explode("curated_object_keys").alias("key")),
+        "metadata": handed.select(F.regexp_replace("source_manifest_key", "^metadata/", "").alias("key")),
+    }
+    found = listing.list_zones(spark, {z: home.zone(z) for z in named})
+    dangling = None
+    for zone, keys in named.items():
+        lost = keys.join(found.where(F.col("zone") == zone).select("key"), "key", "left_anti")
+        dangling = lost if dangling is None else dangling.unionByName(lost)
+    faults = serving.errors().where("customer_id IS NULL")
+    return serving.audit().agg(
+        F.count_if(F.col("status") == "SUCCESS").alias("loaded"),
+        F.count_if(F.col("status") != "SUCCESS").alias("not_loaded"),
+    ).select(
+        "*",
+        faults.agg(F.count_if(F.col("error_message") == "unreadable document")).scalar().alias("unreadable"),
+        faults.agg(F.count_if(F.contains("error_message", F.lit("not a list")))).scalar().alias("without_list"),
+        dangling.agg(F.count(F.lit(1))).scalar().alias("dangling_keys"),
+    )
+
+
 @query
 def gate_per_batch(spark, sf):
     """Batches judged one by one at 5 %: handed on or parked."""

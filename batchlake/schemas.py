@@ -71,6 +71,8 @@ MANIFEST = T.StructType(
         T.StructField("valid_records", T.LongType()),
         T.StructField("invalid_records", T.LongType()),
         T.StructField("execution_duration_ms", T.DoubleType()),
+        T.StructField("clean_object_keys", T.ArrayType(T.StringType())),
+        T.StructField("rejected_object_keys", T.ArrayType(T.StringType())),
     ]
     + _strings("lambda_request_id")
 )

@@ -26,7 +26,7 @@ def _documents(spark: SparkSession, root: str, schema: T.StructType, mode: str)
 def read_manifests(spark: SparkSession, root: str, clean_prefix: str = "") -> DataFrame:
     """Every ``*.json`` manifest below ``root``; an unreadable one is skipped, not fatal.
 
-    ``clean_prefix`` keeps the batches whose clean key lies below it.
+    ``clean_prefix`` keeps the batches whose clean or raw key lies below it.
     """
     found = _documents(spark, root, MANIFEST, "PERMISSIVE")
     good = found.where("_corrupt IS NULL AND phase1_batch_id IS NOT NULL").drop("_corrupt")
@@ -35,7 +35,10 @@ def read_manifests(spark: SparkSession, root: str, clean_prefix: str = "") -> Da
 
 def below_prefix(manifests: DataFrame, clean_prefix: str) -> DataFrame:
     prefix = clean_prefix.strip("/")
-    return manifests.where(F.col("clean_key").startswith(f"{prefix}/")) if prefix else manifests
+    if not prefix:
+        return manifests
+    below = lambda c: F.coalesce(F.col(c).startswith(f"{prefix}/"), F.lit(False))
+    return manifests.where(below("clean_key") | below("raw_key"))
 
 
 def read_handoffs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:

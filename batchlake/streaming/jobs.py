@@ -6,11 +6,13 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from batchlake.plans import curation, ingest, loading, monitor
 from batchlake.plans.lake import Lake
 from batchlake.schemas import MANIFEST, SERVING_BATCH
+from batchlake.sources.listing import decoded_path, key_below
 
 FILES_PER_TRIGGER = 5
 INTERVAL = "15 seconds"
@@ -61,6 +63,7 @@ def curate_stream(
         .option("pathGlobFilter", "*.json")
         .option("maxFilesPerTrigger", files)
         .json(lake.zone("metadata"))
+        .select("*", key_below(decoded_path(F.col("_metadata.file_path")), lake.zone("metadata")).alias("manifest_key"))
     )
 
     def step(batch: DataFrame, _: int) -> None:

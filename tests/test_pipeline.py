@@ -302,6 +302,46 @@ def test_tampered_batch_fails_and_stays_invisible(spark, lake):
     assert serving.customers().where("customer_id = '101'").first().name == "Ada Lovelace"
 
 
+def test_objects_are_checked_against_the_handoff(spark, lake):
+    put(lake, {"a.csv": FILES["uploads/a.csv"], "b.csv": FILES["uploads/sub dir/b+c.csv"]})
+    ingest.ingest(spark, lake, T0)
+    manifests = {r.source_filename: r for r in read_manifests(spark, lake.zone("metadata")).collect()}
+    for r in manifests.values():
+        for zone, first, keys in (("clean", r.clean_key, r.clean_object_keys), ("rejected", r.rejected_key, r.rejected_object_keys)):
+            assert first == (keys[0] if keys else None)
+            assert all(os.path.isfile(os.path.join(lake.zone(zone), k)) for k in keys)
+    assert manifests["a.csv"].rejected_object_keys and not manifests["b.csv"].rejected_object_keys
+    curation.curate(spark, lake, T1, max_invalid_percent=25)
+    handed = spark.read.parquet(lake.zone("serving_batches"))
+    for r in handed.collect():
+        assert os.path.isfile(os.path.join(lake.root, r.source_manifest_key))
+        assert all(os.path.isfile(os.path.join(lake.zone("curated"), k)) for k in r.curated_object_keys)
+    more = F.when(F.col("source_filename") == "a.csv", F.array_append("curated_object_keys", F.lit("gone.parquet")))
+    changed = handed.withColumn("curated_object_keys", F.coalesce(more, "curated_object_keys"))
+    rows = {r.source_file: r.status for r in loading.load(spark, lake, T2, changed).collect()}
+    assert rows == {"a.csv": "FAILED", "b.csv": "SUCCESS"}
+    fault = Serving(spark, lake).errors().where("customer_id IS NULL").first()
+    assert fault.error_message == "objects differ from those handed on"
+
+
+def test_malformed_documents_do_not_stop_a_load(spark, lake):
+    put(lake, {"a.csv": FILES["uploads/a.csv"]})
+    ingest.ingest(spark, lake, T0)
+    curation.curate(spark, lake, T1, max_invalid_percent=25)
+    for name, body in (("torn.json", "{not json"), ("bare.json", '{"phase3_batch_id": "x"}')):
+        with open(os.path.join(lake.zone("handoffs"), name), "w") as f:
+            f.write(body)
+    for clock in (T2, T3):  # the second run adds no rows
+        loading.load_documents(spark, lake, clock)
+        faults = Serving(spark, lake).errors().where("customer_id IS NULL").collect()
+        assert {r.source_file: r.error_message for r in faults} == {
+            "torn.json": "unreadable document",
+            "bare.json": "curated_object_keys is not a list",
+        }
+        assert len(faults) == 2
+    assert [r.status for r in Serving(spark, lake).audit().collect()] == ["SUCCESS"]
+
+
 def test_a_later_batch_corrects_a_customer(spark, lake):
     put(lake, {"a.csv": FILES["uploads/a.csv"]})
     run_all(spark, lake)
