@@ -50,6 +50,18 @@ def duplicate_sample(table: DataFrame, key: str, n: int = 10) -> DataFrame:
     return duplicate_keys(table, key).orderBy(key).limit(n)
 
 
+def duplicate_samples(keys: list[tuple[str, str]], tables: Tables, n: int = 10) -> DataFrame:
+    """(table_name, key_value, occurrences): the first ``n`` duplicate keys of each table, as text."""
+    return _union(
+        [
+            duplicate_sample(tables[name], key, n).select(
+                F.lit(name).alias("table_name"), F.col(key).cast("string").alias("key_value"), "occurrences"
+            )
+            for name, key in keys
+        ]
+    )
+
+
 def _orphan_keys(
     child: DataFrame, column: str, parent: DataFrame, parent_column: str
 ) -> DataFrame:

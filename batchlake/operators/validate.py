@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchlake.functions import numbers, text
@@ -24,6 +24,12 @@ def missing_columns(header: list[str]) -> list[str]:
     return sorted(set(REQUIRED) - set(header))
 
 
+def missing_of(header: Column) -> Column:
+    """The same for an array of names, as text."""
+    lacks = F.array_except(F.array(*[F.lit(c) for c in REQUIRED]), header)
+    return F.array_join(F.array_sort(lacks), ", ")
+
+
 def repeated_ids(rows: DataFrame, batch: str = "batch_id", order: str = "ord") -> DataFrame:
     """Ids occurring more than once in a batch: first position and row count.
 

@@ -76,6 +76,11 @@ def manifest_key(raw_key: str, prefix: str = "metadata") -> str:
     return "/".join(p for p in [prefix.strip("/"), f"{raw_key}.json"] if p)
 
 
+def manifest_key_of(raw_key: Column, prefix: str = "metadata") -> Column:
+    """The same for a column of keys."""
+    return F.concat_ws("/", F.lit(prefix.strip("/") or None), F.concat(raw_key, F.lit(".json")))
+
+
 def arrivals(spark: SparkSession, lake: Lake, files: int) -> DataFrame:
     """Stream of new raw files by name, time and size, at most ``files`` at a time; their content is not
     read here."""

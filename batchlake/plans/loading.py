@@ -9,6 +9,7 @@ costs its own size, and ``compact`` folds the changes into a new base now and th
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Iterator
 from functools import reduce
@@ -23,12 +24,15 @@ from batchlake.operators import load as op
 from batchlake.operators.merge import fold_upserts, last_per_key
 from batchlake.plans.lake import Lake
 from batchlake.plans.monitor import log_line
-from batchlake.session import exists, materialize
+from batchlake.session import create_once, entries, exists, materialize
 from batchlake.sinks import writers
 from batchlake.sources.manifests import read_handoffs
 from batchlake.sources.tables import curated_objects, read_curated, with_file
 
 MAX_ATTEMPTS = 3
+#: Seconds after which a round that neither ended nor failed counts as dead.
+LEASE = 3_600
+
 #: Batches loaded at a time. All waiting ones are, in rounds of this many, by ingestion time, then
 #: batch id; each round names its folders to the scans.
 ROUND = 1_000
@@ -149,6 +153,46 @@ def _fold(base: DataFrame, later: DataFrame) -> DataFrame:
     return folded.select("customer_id", "_row.*", "_first.*").select(*base.columns)
 
 
+class Rounds:
+    """The log of load rounds, which keeps two loads from taking one batch.
+
+    A round is a file of the next number, created only if it is not there yet, that names its batches and
+    its begin; a second file says that the round has ended. Who finds a number taken looks again at
+    what is open and loaded before it tries the next one. A round that has not ended within ``LEASE``
+    seconds is dead, and its batches are free.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, f"{root}/rounds"
+
+    def _names(self) -> tuple[list[int], set[int]]:
+        found = entries(self.spark, self.root)
+        begun = sorted(int(n.removesuffix(".begun")) for n in found if n.endswith(".begun"))
+        return begun, {int(n.removesuffix(".ended")) for n in found if n.endswith(".ended")}
+
+    def _path(self, number: int, kind: str) -> str:
+        return f"{self.root}/{number:012d}.{kind}"
+
+    def open_batches(self, besides: int | None = None) -> tuple[int, DataFrame | None]:
+        """The last number, and (batch_id) of all rounds that are open now; None if there is none."""
+        begun, ended = self._names()
+        open_ = [n for n in begun if n not in ended and n != besides]
+        last = begun[-1] if begun else 0
+        if not open_:
+            return last, None
+        rows = self.spark.read.schema("begun double, batch_id string").json([self._path(n, "begun") for n in open_])
+        return last, rows.where(F.col("begun") > time.time() - LEASE).select("batch_id")
+
+    def begin(self, batches: list[str], last: int) -> int | None:
+        """Take the batches as the round after ``last``; its number, or None if somebody was first."""
+        lines = [json.dumps({"begun": time.time(), "batch_id": b}) for b in batches]
+        taken = create_once(self.spark, self._path(last + 1, "begun"), "\n".join(lines))
+        return last + 1 if taken else None
+
+    def end(self, number: int) -> None:
+        create_once(self.spark, self._path(number, "ended"), "")
+
+
 def load(
     spark: SparkSession,
     lake: Lake,
@@ -158,8 +202,9 @@ def load(
     """Load every handed-on batch that is not loaded yet; returns the audit rows of this run.
 
     All batches load as if one after the other, by ingestion time then id, those of a round in one
-    job. While a round runs its batches are IN_PROGRESS in the audit; if it breaks off they are
-    FAILED, with a row in the errors that carries no customer.
+    job. While a round runs its batches are IN_PROGRESS in the audit and held in the log of rounds, so
+    another load leaves them alone; if it breaks off they are FAILED, with a row in the errors that
+    carries no customer.
     """
     now = F.lit(run_ts).cast("timestamp")
     serving = Serving(spark, lake)
@@ -177,7 +222,11 @@ def load(
     if not tried.isEmpty():
         _note(serving, tried)
     done = []
-    for names in _pages(todo, "_at", "batch_id"):
+    rounds = Rounds(spark, serving.root)
+    for page in _pages(todo, "_at", "batch_id"):
+        number, names = _claim(serving, rounds, page)
+        if number is None:
+            continue
         mine = todo.where(F.col("batch_id").isin(names)).drop("_at")
         writers.append(_attempt_rows(mine, now, "IN_PROGRESS"), serving.path("audit"))
         try:
@@ -192,11 +241,31 @@ def load(
             writers.append(failed, serving.path("attempts"))
             writers.append(failed, serving.path("audit"))
             raise
+        finally:
+            rounds.end(number)
     if not done:
         return spark.createDataFrame([], schemas.AUDIT)
     return reduce(DataFrame.unionByName, done)
 
 
+def _claim(serving: Serving, rounds: Rounds, page: list[str]) -> tuple[int | None, list[str]]:
+    """Those of the batches that no other load holds or has loaded, as a round of this load; no round if
+    none is left."""
+    while True:
+        last, held = rounds.open_batches()
+        # Read after the log: a round that has ended since has its rows in the audit.
+        gone = serving.audit().where("status = 'SUCCESS'").select("batch_id").where(F.col("batch_id").isin(page))
+        if held is not None:
+            gone = gone.unionByName(held.where(F.col("batch_id").isin(page)))
+        taken = {r["batch_id"] for r in gone.collect()}  # of one page
+        names = [b for b in page if b not in taken]
+        if not names:
+            return None, []
+        number = rounds.begin(names, last)
+        if number is not None:
+            return number, names
+
+
 def load_documents(spark: SparkSession, lake: Lake, run_ts: str) -> DataFrame:
     """``load`` of the hand-off documents (``handoffs``). A document that cannot be read or has no list of
     objects is no batch: it becomes an error row that names the document, and the others are loaded."""

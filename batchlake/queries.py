@@ -11,7 +11,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from batchlake import seed
+from batchlake import schemas, seed
 from batchlake.functions import dates, digests, numbers, text
 from batchlake.operators import checks, curate, load, merge, validate
 from batchlake.plans import curation, ingest, lake, loading, monitor, order_checks, reports
@@ -235,11 +235,9 @@ def required_columns(spark, sf):
         ),
         ",",
     )
-    wanted = F.array(*[F.lit(c) for c in validate.REQUIRED])
-    missing = F.array_sort(F.array_except(wanted, header))
     return (
         seed.table(spark, sf, "documents")
-        .select(F.array_join(missing, ", ").alias("missing"))
+        .select(validate.missing_of(header).alias("missing"))
         .groupBy("missing")
         .agg(F.count(F.lit(1)).alias("files"))
     )
@@ -735,7 +733,7 @@ def _(spark, t):
 
 @_orders("pk_sample")
 def _(spark, t):
-    return checks.duplicate_sample(t["order_items"], "order_item_id")
+    return checks.duplicate_samples(order_checks.PRIMARY_KEYS, t)
 
 
 @_orders("fk_orphans")
@@ -1046,7 +1044,7 @@ def scalar_functions(spark, sf):
         text.day_label(
             F.year("o_orderdate"), F.month("o_orderdate"), F.dayofmonth("o_orderdate")
         ).alias("day_label"),
-        F.concat(F.lit("metadata/"), key, F.lit(".json")).alias("manifest_key"),
+        ingest.manifest_key_of(key).alias("manifest_key"),
         text.base_name(key).alias("base_name"),
         text.safe_file_name(name).alias("safe_name"),
         F.date_format(parsed, STAMP).alias("parsed"),
@@ -1107,15 +1105,15 @@ def csv_ingest_roundtrip(spark, sf):
     )
 
 
-def _set_aside(spark, root: str, keys: list[str], aside: str) -> None:
-    """Put files without the column ``sales`` in the place of the named ones, which move to ``aside``."""
+def _set_aside(spark, root: str, keys: list[str], aside: str, body: bytes) -> None:
+    """Put files with another content in the place of the named ones, which move to ``aside``."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     files = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for key in keys:
         files.mkdirs(path(f"{aside}/{key}").getParent())
         files.rename(path(f"{root}/{key}"), path(f"{aside}/{key}"))
         broken = files.create(path(f"{root}/{key}"))
-        broken.write(bytearray(b"customer_id,name,email\n1,a,a@b.c\n"))
+        broken.write(bytearray(body))
         broken.close()
 
 
@@ -1136,7 +1134,7 @@ def redrive_files(spark, sf):
     _write_raw(spark, sf, root)
     listed = listing.list_objects(spark, root, "odd", "*.csv").select("key")
     keys = sorted(r["key"] for r in listed.collect())  # a file per odd batch
-    _set_aside(spark, root, keys, aside)
+    _set_aside(spark, root, keys, aside, b"customer_id,name,email\n1,a,a@b.c\n")
     ingest.ingest(spark, home, "2026-07-01T00:00:00Z")
     ingest.redrive_files(spark, home, "2026-07-01T01:00:00Z")
     _put_back(spark, root, keys, aside)
@@ -1388,6 +1386,34 @@ def handoff_documents(spark, sf):
     )
 
 
+@query
+def failed_load_audit(spark, sf):
+    """A load that breaks off at a torn object and one after the object is back: entries of the audit log by
+    status, the batches whose latest entry is SUCCESS, and attempts that failed."""
+    home = _curated_lake(spark, sf)
+    root, aside = home.zone("curated"), home.zone("aside")
+    torn = listing.list_objects(spark, root, "", "*.parquet").orderBy("key").limit(1).first()["key"]
+    _set_aside(spark, root, [torn], aside, b"torn")
+    try:
+        loading.load(spark, home, "2026-07-01T02:00:00Z")
+    except Exception as fault:  # noqa: BLE001 - any fault of the load is what the audit has to show
+        said = type(fault).__name__
+    else:
+        said = ""
+    _put_back(spark, root, [torn], aside)
+    loading.load(spark, home, "2026-07-01T03:00:00Z")
+    serving = loading.Serving(spark, home)
+    log = spark.read.schema(schemas.AUDIT).parquet(serving.path("audit"))
+    return log.agg(
+        *[F.count_if(F.col("status") == s).alias(s.lower()) for s in ("IN_PROGRESS", "FAILED", "SUCCESS")]
+    ).select(
+        "*",
+        serving.audit().agg(F.count_if(F.col("status") == "SUCCESS")).scalar().alias("loaded"),
+        serving.attempts().agg(F.count_if(F.col("status") == "FAILED")).scalar().alias("broken_off"),
+        F.lit(said != "").alias("raised"),
+    )
+
+
 @query
 def gate_per_batch(spark, sf):
     """Batches judged one by one at 5 %: handed on or parked."""

@@ -64,6 +64,29 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def entries(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders right below a folder, sorted; none if there is no such folder."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in files.listStatus(hadoop)) if files.exists(hadoop) else []
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file, if nobody has yet; whether it was this call that did."""
+    jvm = spark.sparkContext._jvm
+    hadoop = jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        made = files.create(hadoop, False)  # fails if the file is there
+    except Exception:
+        if files.exists(hadoop):
+            return False
+        raise
+    made.write(bytearray(text.encode()))
+    made.close()
+    return True
+
+
 def materialize(frame: DataFrame, label: str) -> DataFrame:
     """Write ``frame`` to the shared folder and read it back.
 

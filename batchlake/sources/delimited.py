@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from batchlake.functions import dates, text
 from batchlake.operators.validate import missing_columns
 from batchlake.schemas import CLEAN, RAW, REQUIRED
-from batchlake.session import materialize
+from batchlake.session import entries, materialize
 from batchlake.sources.listing import decoded_path, key_below, list_objects
 
 FAILED = "raw_key string, reason string"
@@ -394,13 +394,21 @@ def read_clean(spark: SparkSession, root: str, batches: list[str] | None = None)
     )
 
 
-def infer_columns(spark: SparkSession, paths: str | list[str], sample: float = 1.0) -> DataFrame:
-    """(column_name, data_type) as found in the files, metadata folders left out by the caller."""
+#: Folders of a root that hold no data files of their own.
+NO_DATA = ("metadata", "checkpoints")
+
+
+def infer_columns(spark: SparkSession, root: str, sample: float = 1.0) -> DataFrame:
+    """(column_name, data_type) as found in the files below ``root``, but for those in its folders of
+    documents and ledgers (``NO_DATA``) and hidden ones."""
+    names = [n for n in entries(spark, root) if n[0] not in "_."]
+    data = [f"{root.rstrip('/')}/{n}" for n in names if n not in NO_DATA]
     found = (
         spark.read.option("header", True)
         .option("inferSchema", True)
         .option("samplingRatio", sample)
-        .csv(paths)
+        .option("basePath", root)
+        .csv(data if len(data) < len(names) else root)
         .schema
     )
     return spark.createDataFrame(

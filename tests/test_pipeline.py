@@ -342,6 +342,45 @@ def test_malformed_documents_do_not_stop_a_load(spark, lake):
     assert [r.status for r in Serving(spark, lake).audit().collect()] == ["SUCCESS"]
 
 
+def test_two_loads_share_the_batches(spark, lake, monkeypatch):
+    put(lake, {"a.csv": FILES["uploads/a.csv"], "b.csv": FILES["uploads/sub dir/b+c.csv"], "c.csv": FILES["short.csv"]})
+    ingest.ingest(spark, lake, T0)
+    curation.curate(spark, lake, T1, max_invalid_percent=25)
+    monkeypatch.setattr(loading, "ROUND", 2)
+    began, inner = loading._load_batches, []
+
+    def interrupted(*given):
+        if not inner:  # a second load comes while the first holds two of the three batches
+            inner.append(None)
+            inner[0] = [r.batch_id for r in loading.load(spark, lake, T3).collect()]
+        return began(*given)
+
+    monkeypatch.setattr(loading, "_load_batches", interrupted)
+    outer = [r.batch_id for r in loading.load(spark, lake, T2).collect()]
+    assert (len(outer), len(inner[0])) == (2, 1) and not set(outer) & set(inner[0])
+    serving = Serving(spark, lake)
+    assert {r.status for r in serving.audit().collect()} == {"SUCCESS"} and serving.audit().count() == 3
+    assert serving.attempts().where("status = 'SUCCESS'").count() == 3
+
+
+def test_only_one_takes_a_round_and_dead_ones_expire(spark, lake, monkeypatch):
+    first, second = (loading.Rounds(spark, lake.zone("serving")) for _ in range(2))
+    assert first.open_batches() == (0, None)
+    assert first.begin(["x", "y"], 0) == 1 and second.begin(["x"], 0) is None
+    last, held = second.open_batches()
+    assert last == 1 and sorted(r.batch_id for r in held.collect()) == ["x", "y"]
+    monkeypatch.setattr(loading, "LEASE", -1)
+    assert second.open_batches()[1].count() == 0
+    first.end(1)
+    assert second.open_batches() == (1, None)
+
+
+def test_discovery_leaves_documents_out(spark, lake):
+    put(lake, {"sales/a.csv": "id,amount\n1,2.5\n", "metadata/m.csv": "key,value,more,other\na,b,c,d\n"})
+    found = delimited.infer_columns(spark, lake.zone("raw"))
+    assert [tuple(r) for r in found.collect()] == [("id", "int"), ("amount", "double")]
+
+
 def test_a_later_batch_corrects_a_customer(spark, lake):
     put(lake, {"a.csv": FILES["uploads/a.csv"]})
     run_all(spark, lake)
