@@ -5,21 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from batchlake.operators.skew import join_groups
 from batchlake.session import materialize
 
+#: Links from which on a node is a hub.
+HUB = 10_000
+
+
+def _joined(links: DataFrame, least: DataFrame) -> DataFrame:
+    """``links(u, v)`` with ``m`` of their ``u``. The links of a hub are spread over the tasks."""
+    return join_groups(links, least, ["u"], weight="n", salt=F.col("v"), how="inner", hot_rows=HUB)
+
 
 def _large_star(links: DataFrame) -> DataFrame:
     """Each node's larger neighbours move to the smallest node around it."""
     both = links.union(links.select("b", "a")).toDF("u", "v")
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u AND v != m").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count(F.lit(1)).alias("n"))
+    return _joined(both, least).where("v > u AND v != m").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours move to the smallest of them."""
     down = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").where("v != m").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    least = down.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    moved = _joined(down, least).where("v != m").select(F.col("v").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
 
 
@@ -32,7 +41,9 @@ def stars(links: DataFrame) -> DataFrame:
     component, with that smallest one.
 
     Every round is written to the shared folder. The number of rounds grows with the logarithm of
-    the largest component; group sizes don't matter, since a round only takes minima per node.
+    the largest component. Minima are combined before they are shuffled, and what comes back to the links
+    of a hub (the smallest node of a large component has a link to each other one) is looked up where
+    they are, so no task gets all links of a node.
     """
     now = materialize(
         links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),

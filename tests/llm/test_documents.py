@@ -9,7 +9,7 @@ import numpy as np
 import plain
 import pyarrow as pa
 import pytest
-from batchlake.llm import automaton, binary, boosting, packing, pii, quality, queries, secrets, simhash, tokens
+from batchlake.llm import automaton, binary, boosting, components, packing, pii, quality, queries, secrets, simhash, tokens
 from pyspark.sql import functions as F
 
 
@@ -357,6 +357,21 @@ def test_long_texts_in_blocks(monkeypatch):
     assert simhash.fingerprint(text) == whole == plain.fingerprint(text)
 
 
+@pytest.mark.parametrize("hub", [2, 10_000])
+def test_components_with_hubs(spark, monkeypatch, hub):
+    """A star, a chain and random links: each node gets the smallest of its component, hub or not."""
+    monkeypatch.setattr(components, "HUB", hub)
+    r = random.Random(9)
+    links = [(0, k) for k in range(1, 80)] + [(k, k + 1) for k in range(100, 130)] + [(500, 500)]
+    links += [tuple(r.sample(range(200, 260), 2)) for _ in range(45)]
+    label = {k: k for pair in links for k in pair}
+    for _ in label:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    frame = spark.createDataFrame(links, "a bigint, b bigint")
+    assert sorted(map(tuple, components.stars(frame).collect())) == sorted((k, v) for k, v in label.items() if k != v)
+
+
 # ---- 8 and 9: token ids ----------------------------------------------------------------------
 
 
