@@ -1177,6 +1177,25 @@ def curated_table_roundtrip(spark, sf):
     )
 
 
+@query
+def registered_partitions(spark, sf):
+    """A partitioned table that knows the folders of every other batch, read below a partition filter."""
+    home = _curated_lake(spark, sf)
+    name = "registered_" + home.root.rsplit("-", 1)[-1]
+    tables.create_curated_table(spark, name, home.zone("curated"), repair=False)
+    from batchlake.sources.manifests import read_manifests
+
+    even = F.regexp_extract("raw_key", r"batch_id=b(\d+)", 1).cast("int") % 2 == 0
+    made = read_manifests(spark, home.zone("metadata")).where(even).select("phase1_batch_id")
+    tables.add_partitions(spark, name, home.zone("curated"), [r[0] for r in made.collect()])
+    return (
+        spark.table(name)
+        .where("year >= '2000' AND phase3_batch_id IS NOT NULL")
+        .groupBy(_batch_of("source_raw_key").alias("batch"), "sales_category")
+        .agg(F.count(F.lit(1)).alias("records"), F.sum("sales").alias("revenue"))
+    )
+
+
 @query
 def clean_table_roundtrip(spark, sf):
     """Clean files behind an external table."""

@@ -52,20 +52,43 @@ def create_clean_table(spark: SparkSession, name: str, location: str) -> None:
     spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
-def create_curated_table(spark: SparkSession, name: str, location: str) -> None:
-    """External partitioned table over the curated files; picks up the partitions found there."""
+def create_curated_table(spark: SparkSession, name: str, location: str, repair: bool = True) -> None:
+    """External partitioned table over the curated files; picks up the partitions found there, unless told
+    to leave them to ``add_partitions``."""
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CURATED)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
         f"PARTITIONED BY ({', '.join(PARTITIONS)}, phase3_batch_id) LOCATION '{location}'"
     )
-    repair_partitions(spark, name)
+    if repair:
+        repair_partitions(spark, name)
 
 
 def repair_partitions(spark: SparkSession, name: str) -> None:
     spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
+#: Partitions that one statement adds.
+ADDED_AT_ONCE = 200
+
+
+def add_partitions(spark: SparkSession, name: str, location: str, batches: list[str]) -> int:
+    """Register the folders of the named batches (those of a run) in a partitioned table, without a look at
+    any other; how many there are. Folders that are registered already stay as they are."""
+    keys = [*PARTITIONS, "phase3_batch_id"]
+    mine = read_curated(spark, location).where(F.col("phase3_batch_id").isin(batches))
+    found = [tuple(r) for r in mine.select(*keys).distinct().orderBy(*keys).collect()]
+    for begin in range(0, len(found), ADDED_AT_ONCE):
+        parts = []
+        for values in found[begin : begin + ADDED_AT_ONCE]:
+            pairs = list(zip(keys, values, strict=True))
+            folder = "/".join(f"{k}={v}" for k, v in pairs)
+            spec = ", ".join(f"{k} = '{v}'" for k, v in pairs)
+            parts.append(f"PARTITION ({spec}) LOCATION '{location.rstrip('/')}/{folder}'")
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(parts)}")
+    return len(found)
+
+
 def catalogue_columns(spark: SparkSession, database: str | None = None) -> DataFrame:
     """(table_name, ordinal, column_name, data_type, is_nullable) of the catalogue's tables.
 

@@ -16,7 +16,7 @@ from batchlake.schemas import QUARANTINE
 from batchlake.sources import delimited
 from batchlake.sources.delimited import read_clean, read_raw
 from batchlake.sources.manifests import read_handoffs, read_manifests
-from batchlake.sources.tables import catalogue_tables, create_curated_table, read_curated
+from batchlake.sources.tables import add_partitions, catalogue_tables, create_curated_table, read_curated
 from batchlake.streaming import jobs
 
 T0, T1, T2, T3 = [f"2026-07-01T{h:02d}:00:00Z" for h in (10, 11, 12, 13)]
@@ -421,6 +421,28 @@ def test_partitioned_table_and_pruning(spark, lake):
         spark.sql("DROP TABLE curated_t")
 
 
+def test_partitions_of_a_run_are_added(spark, lake):
+    put(lake, {"a.csv": FILES["uploads/a.csv"], "b.csv": FILES["uploads/sub dir/b+c.csv"]})
+    ingest.ingest(spark, lake, T0)
+    curation.curate(spark, lake, T1, max_invalid_percent=25)
+    name = {r.source_filename: r.phase1_batch_id for r in read_manifests(spark, lake.zone("metadata")).collect()}
+    create_curated_table(spark, "added_t", lake.zone("curated"), repair=False)
+    try:
+        assert spark.table("added_t").count() == 0
+        for _ in range(2):
+            assert add_partitions(spark, "added_t", lake.zone("curated"), [name["a.csv"], "no such batch"]) == 1
+        assert spark.table("added_t").count() == 3
+        add_partitions(spark, "added_t", lake.zone("curated"), [name["b.csv"]])
+        one = spark.table("added_t").where(F.col("phase3_batch_id") == name["b.csv"])
+        assert one.count() == 2 and spark.table("added_t").count() == 5
+        plan = one._jdf.queryExecution().executedPlan().toString()
+        filters = plan.split("PartitionFilters:")[1].split("]")[0]
+        assert f"= {name['b.csv'][:20]}" in filters
+        assert len(one.inputFiles()) == 1
+    finally:
+        spark.sql("DROP TABLE added_t")
+
+
 def test_streams_give_the_batch_result(spark, lake, tmp_path_factory):
     from batchlake.plans.lake import Lake
 
