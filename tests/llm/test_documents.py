@@ -444,6 +444,23 @@ def test_sequences_are_views(documents, tmp_path):
             assert mask.sum() == stop - begin
 
 
+def test_a_task_that_runs_again_leaves_one_shard(tmp_path):
+    """A first attempt dies after some record batches; the second one writes the shard anew."""
+    ids, keys = np.arange(100, dtype=np.uint16), pa.array([1, 2])
+    lengths = np.array([60, 40])
+
+    dead = binary._Shard(str(tmp_path / "shard-000000"), pa.uint16(), pa.int64(), 16, 2)
+    dead.add(keys, ids[::-1].copy(), lengths)
+    for _ in range(2):  # also if the attempt after a finished one runs
+        alive = binary._Shard(str(tmp_path / "shard-000000"), pa.uint16(), pa.int64(), 16, 2)
+        alive.add(keys, ids, lengths)
+        alive.close()
+    found = binary.Sequences(str(tmp_path / "shard-000000"))
+    assert np.concatenate(list(found.span(0, 100))).tolist() == ids.tolist()
+    assert found.mask(6).sum() == 4 and found.mask(0).all()
+    assert [b.column("n").to_pylist() for b in found.index()] == [[60, 40]]
+
+
 def test_shards_keep_the_order():
     """Ranges follow (id, tie), and an id that holds most rows is spread over its bounds."""
     r = np.random.default_rng(3)

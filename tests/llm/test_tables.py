@@ -5,6 +5,7 @@ import html as html_module
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from decimal import Decimal
 
@@ -449,10 +450,49 @@ def test_main_text_keeps_whole_articles(page, text):
 
 def test_line_blocks():
     weight = np.array([0, 3, 0, 0, 0, 0, 200, 180, 0, 190, 0, 0, 0, 0, 5, 0, 0, 0])
-    assert html.stretches(weight) == [(6, 10)] or html.stretches(weight)[0][0] == 6
+    assert html.stretches(weight) == [(6, 10)]
     assert html.window_sums(np.array([1, 2, 3, 4]), 2).tolist() == [3, 5, 7, 4]
 
 
+BODY = "".join(f"<p>Paragraph {i}: {LONG}</p>" for i in range(5))
+TEXT = "\n".join(f"Paragraph {i}: {LONG.strip()}" for i in range(5))
+SAID = "<p>A reader says something that is rather long, and says it again, and once more.</p>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<main><article><h1>T</h1>{BODY}</article><div class=comments>{SAID}</div></main>", f"T\n{TEXT}"),
+        (f"<article><h1>T</h1>{BODY}<section id=comments><article class=comment>{SAID}</article></section></article>", f"T\n{TEXT}"),
+        (f"<article>{BODY}<section id=comments><article>{SAID * 30}</article></section></article>", TEXT),
+        (f"<main>{BODY}<div class=sidebar>{SAID}</div><div class='cookie-notice'>{SAID}</div><ul class=related><li>r</ul></main>", TEXT),
+        (f"<div><h1>T</h1>{BODY}</div><article class=comment>{SAID}</article>", f"T\n{TEXT}"),
+        (f"<article>{BODY}<section class=discussion>a</section><p class=legal>b</p></article>", f"{TEXT}\na\nb"),
+        (f"<main><article>{BODY}</article>" + "<article><a href=x>One more story to read</a></article>" * 3 + "</main>", TEXT),
+        ("".join(f"<article class=story><h2>Story {i}</h2><p>{LONG}</p></article>" for i in range(3)), "\n".join(f"Story {i}\n{LONG.strip()}" for i in range(3))),
+        (f"<article>{BODY * 9}</article><article><p>Short.</p></article>", "\n".join([TEXT] * 9 + ["Short."])),
+        (f"<article><div class=newsletter>{BODY}</div></article>", TEXT),
+    ],
+)
+def test_what_does_not_belong_goes_wherever_it_stands(page, text):
+    assert html.main_text(page) == text
+
+
+def test_the_distribution_decides_every_page(spark, sf, monkeypatch):
+    pages = [r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    assert all(html.main_text(p) for p in pages)
+    monkeypatch.setattr(html, "stretches", lambda weight: [])
+    assert not any(html.main_text(p) for p in pages)
+
+
+def test_long_pages_take_linear_time():
+    begun = time.perf_counter()
+    html.main_text("<b>" * 60_000 + "</i>" * 60_000)
+    row = f"<p>{LONG}</p><ul>" + "<li><a href=x>link</a>" * 5 + "</ul>"
+    assert len(html.main_text(row * 3_000)) > 500_000  # a page of more than 1 MB
+    assert time.perf_counter() - begun < 20
+
+
 def test_pages_table(spark):
     rows = [(None, None, None, 1), (1, "u", "<p>" + LONG, 2), (1, "u", "<p>" + LONG, 2)]
     frame = spark.createDataFrame(rows, "page_id bigint, url string, html string, text int")
