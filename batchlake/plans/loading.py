@@ -40,7 +40,15 @@ ROUND = 1_000
 _SEQ = T.StructField("load_seq", T.StringType())
 _CHANGES = T.StructType([*schemas.CUSTOMERS.fields, _SEQ])
 _BASE = T.StructType([*_CHANGES.fields, T.StructField("first_seq", T.StringType())])
-_COMPACTIONS = "version bigint"
+_COMPACTIONS = "version bigint, buckets array<int>"
+
+#: Buckets of the customers' base, by a hash of the id. A compaction rewrites those it has changes for,
+#: and a load looks for known customers in those it has rows for.
+BUCKETS = 64
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("customer_id"), F.lit(BUCKETS)).cast("int")
 
 
 class Serving:
@@ -92,53 +100,67 @@ class Serving:
         base, later = self._parts()
         return _fold(base, later).drop("load_seq", "first_seq")
 
-    def customer_keys(self) -> DataFrame:
-        """Ids of all customers, possibly repeated; nothing is folded for it."""
-        base, later = self._parts()
+    def customer_keys(self, buckets: list[int] | None = None) -> DataFrame:
+        """Ids of all customers (or of those in ``buckets``), possibly repeated; nothing is folded for it."""
+        base, later = self._parts(buckets)
+        if buckets is not None:
+            later = later.where(_bucket().isin(buckets))
         return base.select("customer_id").unionByName(later.select("customer_id"))
 
-    def _parts(self) -> tuple[DataFrame, DataFrame]:
+    def _parts(self, buckets: list[int] | None = None) -> tuple[DataFrame, DataFrame]:
         """The base, and the committed changes of all batches that are not in it."""
-        base, folded = self._base()
+        base, folded, _ = self._base(buckets)
         return base, self.changes().join(folded, "batch_id", "left_anti")
 
-    def _base(self) -> tuple[DataFrame, DataFrame]:
-        last = self._read("compactions", _COMPACTIONS).agg(F.max("version")).first()[0]
-        if last is None:
-            return (
-                self.spark.createDataFrame([], _BASE),
-                self.spark.createDataFrame([], "batch_id string"),
-            )
-        base = self.spark.read.schema(_BASE).parquet(f"{self.path('customers_base')}/version={last}")
-        folded = self.spark.read.schema("batch_id string").parquet(
-            f"{self.path('folded_batches')}/version={last}"
-        )
-        return base, folded
+    def _base(self, buckets: list[int] | None = None) -> tuple[DataFrame, DataFrame, int]:
+        """The base (or these buckets of it), the batches folded into it, and its version.
+
+        Each bucket is in the folder of the last version that rewrote it. What comes to the driver is the log
+        of compactions.
+        """
+        log = sorted(self._read("compactions", _COMPACTIONS).collect())
+        at = {b: r["version"] for r in log for b in r["buckets"]}
+        wanted = sorted(at if buckets is None else at.keys() & set(buckets))
+
+        def read(schema, paths: list[str]) -> DataFrame:
+            if not paths:
+                return self.spark.createDataFrame([], schema)
+            return self.spark.read.schema(schema).parquet(*paths)
+
+        base = read(_BASE, [f"{self.path('customers_base')}/version={at[b]}/bucket={b}" for b in wanted])
+        folded = [f"{self.path('folded_batches')}/version={r['version']}" for r in log]
+        return base, read("batch_id string", folded), log[-1]["version"] if log else 0
 
     def compact(self) -> None:
-        """Write the current customers as a new base, with the batches that are folded into it.
+        """Fold the batches that are not yet in the base into it: the buckets they change are written anew, as a
+        version of their own, with the names of the batches.
 
         A batch is in the base or it is not, whatever its clock says: a load that commits later with
         an older clock is still read. Base rows keep the order they won by, so such a load only
         wins where it would have without compaction. The log row comes last, so readers switch
         over only to a complete base.
         """
-        base, folded = self._base()
+        _, folded, last = self._base()
         new = materialize(
             self.changes().select("batch_id").distinct().join(folded, "batch_id", "left_anti"),
             "to-fold",
         )
         if new.isEmpty():
             return
-        later = self.changes().join(new, "batch_id", "left_semi")
-        version = (self._read("compactions", _COMPACTIONS).agg(F.max("version")).first()[0] or 0) + 1
-        _fold(base, later).write.mode("overwrite").parquet(
-            f"{self.path('customers_base')}/version={version}"
-        )
-        folded.unionByName(new).write.mode("overwrite").parquet(
-            f"{self.path('folded_batches')}/version={version}"
+        later = materialize(self.changes().join(new, "batch_id", "left_semi"), "to-fold-rows")
+        touched = sorted(r[0] for r in later.select(_bucket()).distinct().collect())  # at most BUCKETS
+        base, _, _ = self._base(touched)
+        version = last + 1
+        (
+            _fold(base, later)
+            .withColumn("bucket", _bucket())
+            .write.mode("overwrite")
+            .partitionBy("bucket")
+            .parquet(f"{self.path('customers_base')}/version={version}")
         )
-        writers.append(self.spark.createDataFrame([(version,)], _COMPACTIONS), self.path("compactions"))
+        new.write.mode("overwrite").parquet(f"{self.path('folded_batches')}/version={version}")
+        log = self.spark.createDataFrame([(version, touched)], _COMPACTIONS)
+        writers.append(log, self.path("compactions"))
 
 
 def _fold(base: DataFrame, later: DataFrame) -> DataFrame:
@@ -382,7 +404,8 @@ def _load_batches(
     sequenced = staged.withColumn(
         "batch_seq", F.concat_ws("|", F.lit(run_ts), "ingestion_timestamp", "batch_id")
     )
-    counts = materialize(op.merge_counts(sequenced, serving.customer_keys()), "merge-counts")
+    touched = [r[0] for r in sequenced.select(_bucket()).distinct().collect()]  # at most BUCKETS
+    counts = materialize(op.merge_counts(sequenced, serving.customer_keys(touched)), "merge-counts")
     writers.write_batches(
         op.customer_rows(sequenced, now, F.col("batch_seq").alias("load_seq")),
         serving.path("customer_changes"),

@@ -381,6 +381,31 @@ def test_discovery_leaves_documents_out(spark, lake):
     assert [tuple(r) for r in found.collect()] == [("id", "int"), ("amount", "double")]
 
 
+def test_compaction_rewrites_touched_buckets_only(spark, lake):
+    rows = "".join(f"{i},N{i},n{i}@x.org,{i}\n" for i in range(300))
+    put(lake, {"all.csv": "customer_id,name,email,sales\n" + rows})
+    run_all(spark, lake)
+    serving = Serving(spark, lake)
+    serving.compact()
+    base = os.path.join(serving.root, "customers_base")
+    assert len(os.listdir(os.path.join(base, "version=1"))) > 32
+    put(lake, {"one.csv": "customer_id,name,email,sales\n7,Seven,s@x.org,1\n"})
+    ingest.ingest(spark, lake, T2)
+    curation.curate(spark, lake, T2)
+    touched = serving.spark.range(1).select(F.lit("7").alias("customer_id")).select(loading._bucket()).first()[0]
+    keys = [r.customer_id for r in serving.customer_keys([touched]).collect()]
+    assert "7" in keys and len(keys) < 30
+    row = loading.load(spark, lake, T3).first()
+    assert (row.records_loaded, row.records_updated) == (0, 1)
+    before = sorted(map(tuple, serving.customers().collect()), key=str)
+    serving.compact()
+    folders = [n for n in os.listdir(os.path.join(base, "version=2")) if n.startswith("bucket=")]
+    assert folders == [f"bucket={touched}"]
+    assert sorted(map(tuple, serving.customers().collect()), key=str) == before and len(before) == 300
+    serving.compact()  # nothing to fold
+    assert not os.path.exists(os.path.join(base, "version=3"))
+
+
 def test_a_later_batch_corrects_a_customer(spark, lake):
     put(lake, {"a.csv": FILES["uploads/a.csv"]})
     run_all(spark, lake)
