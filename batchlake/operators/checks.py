@@ -22,6 +22,9 @@ Tables = dict[str, DataFrame]
 
 #: Checks that run at the same time.
 AT_ONCE = 8
+#: Rows whose keys one task counts, on average. Adaptive execution merges tasks by compressed bytes, and keys in
+#: order compress to next to nothing, so the number of tasks is taken from the number of rows.
+KEYS_PER_TASK = 500_000
 
 REPORT = "section string, check_name string, status string, issue_count bigint, error string"
 
@@ -41,8 +44,14 @@ class Suite:
 
 
 def duplicate_keys(table: DataFrame, key: str) -> DataFrame:
-    """Keys occurring more than once (a repeated NULL counts as one), with their row count."""
-    return table.groupBy(key).agg(F.count(F.lit(1)).alias("occurrences")).where("occurrences > 1")
+    """Keys occurring more than once (a repeated NULL counts as one), with their row count.
+
+    The rows are counted first, so ``table`` should be a stored one. A task holds a bounded number of keys, however
+    many there are; the rows of a hot key pass through one task, which keeps a single count for them.
+    """
+    tasks = max(1, -(-table.count() // KEYS_PER_TASK))
+    keys = table.select(key).repartition(tasks, key)
+    return keys.groupBy(key).agg(F.count(F.lit(1)).alias("occurrences")).where("occurrences > 1")
 
 
 def duplicate_sample(table: DataFrame, key: str, n: int = 10) -> DataFrame:
@@ -220,11 +229,11 @@ def reconcile(
 
 @dataclass(frozen=True)
 class _Job:
-    """Checks that share a job: their sections and names, and a frame with the row (issue counts in the same
-    order); ``alone`` makes the frame of one of them."""
+    """Checks that share a job: their sections and names, and what makes the frame with the row (issue counts in the
+    same order); ``alone`` makes the frame of one of them."""
 
     names: list[tuple[str, str]]
-    frame: DataFrame
+    frame: Callable[[], DataFrame]
     alone: Callable[[int], DataFrame] | None = None
 
 
@@ -233,10 +242,10 @@ def _outcome(spark: SparkSession, job: _Job) -> list[tuple]:
     alone, so that only the faulty ones are errors."""
     spark.sparkContext.setJobGroup("check " + ", ".join(f"{s}: {n}" for s, n in job.names[:3]), "integrity check")
     try:
-        counts = job.frame.first()
+        counts = job.frame().first()
     except Exception as fault:  # whatever stopped the job is this check's result
         if len(job.names) > 1:
-            return [r for k, name in enumerate(job.names) for r in _outcome(spark, _Job([name], job.alone(k)))]
+            return [r for k, name in enumerate(job.names) for r in _outcome(spark, _Job([name], lambda k=k: job.alone(k)))]
         return [(*job.names[0], "ERROR", None, _message(fault))]
     return [(s, n, "FAIL" if count else "PASS", count, None) for (s, n), count in zip(job.names, counts, strict=True)]
 
@@ -256,11 +265,12 @@ def run_suite(spark: SparkSession, suite: Suite, tables: Tables, at_once: int =
     jobs: list[_Job] = []
     rows: list[tuple] = []
 
-    def attempt(section: str, name: str, build: Callable[[], DataFrame]) -> None:
+    def attempt(section: str, name: str, build: Callable[[], DataFrame], then: Callable = lambda frame: frame) -> None:
+        """``then`` is the part of the plan that runs jobs of its own; it belongs to the check's job."""
         try:
-            frame = build().select(F.col("issue_count").cast("bigint"))
+            frame = build()
             frame.schema  # forces analysis now, so a bad column surfaces here
-            jobs.append(_Job([(section, name)], frame))
+            jobs.append(_Job([(section, name)], lambda: then(frame).select(F.col("issue_count").cast("bigint"))))
         except (AnalysisException, KeyError) as fault:
             rows.append((section, name, "ERROR", None, _message(fault)))
 
@@ -268,7 +278,12 @@ def run_suite(spark: SparkSession, suite: Suite, tables: Tables, at_once: int =
         return frame.agg(F.count(F.lit(1)).alias("issue_count"))
 
     for table, key in suite.primary_keys:
-        attempt("primary_keys", f"{table}.{key}", lambda: count(duplicate_keys(tables[table], key)))
+        attempt(
+            "primary_keys",
+            f"{table}.{key}",
+            lambda: tables[table].select(key),
+            lambda keys, key=key: count(duplicate_keys(keys, key)),
+        )
     for child, column, parent, parent_column in suite.foreign_keys:
         attempt(
             "foreign_keys",
@@ -295,7 +310,7 @@ def run_suite(spark: SparkSession, suite: Suite, tables: Tables, at_once: int =
 
         if good:
             alone = lambda k, good=good, counted=counted: counted([good[k]])
-            jobs.append(_Job([(s, n) for s, n, _ in good], counted(good), alone))
+            jobs.append(_Job([(s, n) for s, n, _ in good], lambda good=good, counted=counted: counted(good), alone))
     for name, violations in suite.custom.items():
         attempt("data_consistency", name, lambda: count(violations(tables)))
 

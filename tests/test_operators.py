@@ -230,6 +230,17 @@ def test_orphans(spark):
     assert checks.orphan_count(child, "k", parent, "pk").first()[0] == 2
 
 
+def test_duplicate_keys_are_spread_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(checks, "KEYS_PER_TASK", 250, raising=False)
+    keys = [(k % 997,) for k in range(1994)] + [(None,), (None,), (5000,)]
+    found = checks.duplicate_keys(spark.createDataFrame(keys, "k bigint"), "k")
+    parts = found.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+    assert len(parts) == 8 and max(r["n"] for r in parts) < 250  # adaptive execution does not merge them
+    assert {tuple(r) for r in found.collect()} == {(k, 2) for k in [*range(997), None]}
+    first = checks.duplicate_sample(spark.createDataFrame(keys, "k bigint"), "k", 3)
+    assert [tuple(r) for r in first.collect()] == [(None, 2), (0, 2), (1, 2)]
+
+
 def test_empty_table_checksum(spark):
     import hashlib
 
