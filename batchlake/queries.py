@@ -472,7 +472,8 @@ def post_merge_reconcile(spark, sf):
 @query
 def duplicate_customers(spark, sf):
     """Customers the serving table holds more than once after the merge: none."""
-    return checks.duplicate_keys(customers_after(staged(spark, sf)), "customer_id")
+    people = materialize(customers_after(staged(spark, sf)).select("customer_id"), "customers")
+    return checks.duplicate_keys(people, "customer_id")
 
 
 @query
