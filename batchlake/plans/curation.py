@@ -144,7 +144,8 @@ def _curate_round(
     tagged = materialize(
         op.tag_curation(op.with_lineage(clean, manifests, run_ts), date_column), "curation"
     )
-    writers.write_curated(op.curated_rows(tagged, date_column, keep=("ord",)), lake.zone("curated"))
+    dealt = writers.deal(tagged.where("error_reason IS NULL"), "phase3_batch_id", "ord")
+    writers.write_curated(op.curated_rows(dealt, date_column, keep=("ord",)), lake.zone("curated"), dealt=True)
     writers.write_quarantine(op.quarantine_rows(tagged), lake.zone("quarantine"))
     return op.run_stats(tagged, ["batch_id"])
 
@@ -161,7 +162,10 @@ def handoff(spark: SparkSession, lake: Lake, manifests: DataFrame, names: list[s
     )
     if exists(spark, root):
         rows = with_file(read_curated(spark, root).where(F.col("phase3_batch_id").isin(names)))
-        made = op.serving_batches(rows.withColumn("key", key_below(decoded_path(F.col("_file")), root)))
+        made = op.serving_batches(rows.withColumn("key", F.col("_file")))
+        # Paths are turned into keys once a file, not once a row.
+        keys = F.transform("curated_object_keys", lambda path: key_below(decoded_path(path), root))
+        made = made.withColumn("curated_object_keys", F.array_sort(keys))
     else:
         made = spark.createDataFrame([], SERVING_BATCH).drop("curated_bucket")
     both = origin.join(made, "phase3_batch_id", "left")

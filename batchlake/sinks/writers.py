@@ -27,13 +27,19 @@ def _partitioned(frame: DataFrame, by: list[str]):
     )
 
 
-def _ordered(frame: DataFrame, by: list[str], batch: str, order: str):
+def deal(frame: DataFrame, batch: str, order: str) -> DataFrame:
+    """The rows dealt out by ranges of (batch, order). The rows are read twice for it, so what is costly to compute
+    from them is better computed after this step."""
+    return frame.repartitionByRange(batch, order)
+
+
+def _ordered(frame: DataFrame, by: list[str], batch: str, order: str, dealt: bool = False):
     """As ``_partitioned``, with the rows of a batch in their order: ranges of (batch, order) go to
     the tasks in turn, so a batch's files, by name, continue each other. A large batch is
-    several ranges."""
+    several ranges. ``dealt`` tells that the rows lie in such ranges already."""
     rest = [c for c in by if c != batch]
     return (
-        frame.repartitionByRange(batch, order)
+        (frame if dealt else deal(frame, batch, order))
         .sortWithinPartitions(*by, order)
         .select(*[c for c in frame.columns if c not in (order, *by)], *rest, batch)
         .write.mode("overwrite")
@@ -64,15 +70,16 @@ def write_documents(rows: DataFrame, path: str, batch: str) -> None:
     _partitioned(body, ["batch"]).json(path)
 
 
-def write_curated(curated: DataFrame, path: str) -> None:
-    """Snappy Parquet by year, month and day, in the order ``ord`` of each batch if there is one.
+def write_curated(curated: DataFrame, path: str, dealt: bool = False) -> None:
+    """Snappy Parquet by year, month and day, in the order ``ord`` of each batch if there is one; ``dealt`` tells that
+    the rows come from ``deal``.
 
     The batch is a further folder level, which makes a batch replaceable on its own. Readers that
     filter on year, month and day prune as usual.
     """
     by = [*PARTITIONS, "phase3_batch_id"]
     ordered = "ord" in curated.columns
-    write = _ordered(curated, by, "phase3_batch_id", "ord") if ordered else _partitioned(curated, by)
+    write = _ordered(curated, by, "phase3_batch_id", "ord", dealt) if ordered else _partitioned(curated, by)
     write.option("compression", "snappy").parquet(path)
 
 

@@ -16,7 +16,14 @@ from batchlake.schemas import QUARANTINE
 from batchlake.sources import delimited
 from batchlake.sources.delimited import read_clean, read_raw
 from batchlake.sources.manifests import read_handoffs, read_manifests
-from batchlake.sources.tables import add_partitions, catalogue_tables, create_curated_table, read_curated
+from batchlake.sources.tables import (
+    add_partitions,
+    catalogue_tables,
+    create_curated_table,
+    curated_objects,
+    read_curated,
+    with_file,
+)
 from batchlake.streaming import jobs
 
 T0, T1, T2, T3 = [f"2026-07-01T{h:02d}:00:00Z" for h in (10, 11, 12, 13)]
@@ -193,6 +200,48 @@ def test_profile_is_hashed(spark, lake):
     assert list(delimited.header_lines(spark, profile).values()) == ["customer_id,name,email,sales"]
 
 
+def test_batch_ids_are_made_once_a_file(spark, lake):
+    put(lake, {k: FILES[k] for k in ("uploads/a.csv", "uploads/sub dir/b+c.csv", "short.csv")})
+    rows, _ = read_raw(spark, lake.zone("raw"))
+    # No step that handles cells handles paths, too.
+    steps = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not any("sha2" in s and "null" in s and "c0#" in s for s in steps)
+    made = ingest.ingest(spark, lake, T0)
+    found = {(r.raw_key, r.batch_id) for r in rows.select("raw_key", "batch_id").distinct().collect()}
+    assert found == {(r.raw_key, r.phase1_batch_id) for r in made.collect()} and len(found) == 3
+
+
+def test_rows_are_dealt_out_before_they_are_curated(spark, lake, monkeypatch):
+    put(lake, {"uploads/a.csv": FILES["uploads/a.csv"]})
+    ingest.ingest(spark, lake, T0)
+    plans, write = [], curation.writers.write_curated
+
+    def noted(frame, *rest, **more):
+        plans.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        write(frame, *rest, **more)
+
+    monkeypatch.setattr(curation.writers, "write_curated", noted)
+    curation.curate(spark, lake, T1, max_invalid_percent=100)
+    (plan,) = plans
+    assert 0 <= plan.find("initcap") < plan.find("RepartitionByExpression")
+    names = [r.name for r in read_curated(spark, lake.zone("curated")).collect()]
+    assert names == ["Ada Lovelace", "Katherine Johnson", "Negative"]  # in file order
+
+
+def test_keys_are_made_once_an_object(spark, lake):
+    put(lake, {"uploads/a.csv": FILES["uploads/a.csv"]})
+    ingest.ingest(spark, lake, T0)
+    curation.curate(spark, lake, T1, max_invalid_percent=100)
+    root = lake.zone("curated")
+    held = curated_objects(with_file(read_curated(spark, root)), root)
+    plan = held._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.find("%2B") < plan.rfind("Aggregate")
+    (handed,) = spark.read.parquet(lake.zone("serving_batches")).collect()
+    (listed,) = held.collect()
+    assert handed.curated_object_keys == listed.curated_object_keys
+    assert all(os.path.isfile(f"{root}/{k}") for k in listed.curated_object_keys)
+
+
 def test_manifest_documents(spark, lake):
     put(lake, {"uploads/a.csv": FILES["uploads/a.csv"]})
     ingest.ingest(spark, lake, T0)
