@@ -137,13 +137,14 @@ _HASH_BITS = 60
 
 
 def profile_files(spark: SparkSession, paths: list[str], name_filter: str = "*.csv") -> DataFrame:
-    """Per file with any non-blank line: hash of the header line, most cells in a line, size, and
+    """Per file with any non-blank line: hash of the header line, most cells in a line, size, time, and
     whether some line ends inside a quoted cell.
 
     Every aggregate is a number, so rows are hashed, never sorted: the header is found as the least of
     place and hash in one number.
     """
-    lines = _lines(spark, paths, name_filter, F.col("_metadata.file_size").alias("size"))
+    about = [F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_modification_time").alias("modified")]
+    lines = _lines(spark, paths, name_filter, *about)
     lines = lines.where(F.trim("value") != "").withColumn("effect", line_effect(F.col("value")))
     hashed = F.xxhash64("value").bitwiseAND(F.lit((1 << _HASH_BITS) - 1)).cast("decimal(19,0)")
     placed = F.col("_pos").cast("decimal(19,0)") * F.lit(1 << _HASH_BITS).cast("decimal(19,0)") + hashed
@@ -154,6 +155,7 @@ def profile_files(spark: SparkSession, paths: list[str], name_filter: str = "*.c
             F.max(F.col("effect.commas0") + 1).alias("cells"),
             F.max(F.col("effect.end0") == 1).alias("multi_line"),
             F.max("size").alias("size"),
+            F.max("modified").alias("modified"),
         )
         .withColumn("header_hash", (F.col("_first") % F.lit(1 << _HASH_BITS).cast("decimal(19,0)")).cast("bigint"))
         .drop("_first")
@@ -219,6 +221,8 @@ def read_raw(
     for r in good.collect():
         groups.setdefault((r["header"], r["multi_line"]), []).append(r["file"])
 
+    # Once a file, not once a row.
+    ids = profile.select("file", *_batch(root, F.col("file"), F.col("modified"), F.col("size")))
     frames = []
     for (line, multi_line), names in sorted(groups.items()):
         names, cols = sorted(names), _split(line)
@@ -226,7 +230,7 @@ def read_raw(
             rows, long = _read_multi_line(spark, names, cols, root, name_filter)
             failed = failed.unionByName(long)
         else:
-            rows = _read_group(spark, names, cols, False, root, name_filter)
+            rows = _read_group(spark, names, cols, False, root, name_filter, ids)
         frames.append(rows)
     empty = spark.createDataFrame([], T.StructType([*RAW.fields, T.StructField("raw_key", T.StringType())]))
     return (reduce(DataFrame.unionByName, frames) if frames else empty), failed
@@ -240,22 +244,28 @@ def _wanted(cols: list[str], cell) -> list[Column]:
     return [text.null_tokens(cell(f"c{cols.index(c)}")).alias(c) for c in REQUIRED]
 
 
-def _batch(root: str) -> list[Column]:
-    path = decoded_path(F.col("_metadata.file_path"))
-    batch = dates.file_batch_id(
-        key_below(path, root),
-        F.unix_millis("_metadata.file_modification_time"),
-        F.col("_metadata.file_size"),
-    )
-    return [batch.alias("batch_id"), key_below(path, root).alias("raw_key")]
+def _batch(root: str, file: Column, modified: Column, size: Column) -> list[Column]:
+    key = key_below(decoded_path(file), root)
+    return [dates.file_batch_id(key, F.unix_millis(modified), size).alias("batch_id"), key.alias("raw_key")]
+
+
+def _batch_here(root: str) -> list[Column]:
+    """The same for the rows of a scan."""
+    about = ("file_path", "file_modification_time", "file_size")
+    return _batch(root, *[F.col(f"_metadata.{c}") for c in about])
 
 
-def _read_group(spark, paths, cols, multi_line, root, name_filter) -> DataFrame:
+def _read_group(spark, paths, cols, multi_line, root, name_filter, ids: DataFrame | None = None) -> DataFrame:
+    """Rows of files with one header; ``ids`` (file, batch_id, raw_key) has a row per file, of which the driver holds
+    the names anyway."""
     schema = ", ".join(f"c{i} string" for i in range(len(cols)))
     reader = _reader(spark, multi_line).option("header", True).option("enforceSchema", True)
     rows = reader.option("pathGlobFilter", name_filter).schema(schema).csv(paths)
     start = F.col("_metadata.file_block_start").alias("_start")
-    placed = rows.select(start, *_batch(root), *_wanted(cols, F.col)).withColumn("ord", _position())
+    whose = _batch_here(root) if ids is None else [F.col("_metadata.file_path").alias("file")]
+    placed = rows.select(start, *whose, *_wanted(cols, F.col)).withColumn("ord", _position())
+    if ids is not None:
+        placed = placed.join(F.broadcast(ids), "file")
     return placed.select(*RAW.names, "raw_key")
 
 
@@ -263,7 +273,7 @@ def records(spark: SparkSession, paths: list[str], root: str, name_filter: str =
     """Records of files with line breaks inside cells: ``batch_id``, ``raw_key``, ``ord``, ``record``
     (line breaks as \\n) and ``cells``, the first one a file's header; and the files that hold an endless one.
     """
-    lines = _lines(spark, paths, name_filter, *_batch(root))
+    lines = _lines(spark, paths, name_filter, *_batch_here(root))
     lines = lines.select("*", line_effect(F.col("value")).alias("_effect")).select("*", "_effect.*").drop("_effect")
     block = Window.partitionBy("file", "_start").orderBy("_pos")
     upto = block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
