@@ -34,8 +34,8 @@ def curated_objects(curated: DataFrame, root: str) -> DataFrame:
 
     The pairs are made distinct map-side; a batch has as many keys as it has files.
     """
-    path = decoded_path(F.col("_file"))
-    pairs = curated.select("phase3_batch_id", key_below(path, root).alias("key")).distinct()
+    files = curated.select("phase3_batch_id", "_file").distinct()
+    pairs = files.select("phase3_batch_id", key_below(decoded_path(F.col("_file")), root).alias("key"))
     return pairs.groupBy("phase3_batch_id").agg(
         F.array_sort(F.collect_list("key")).alias("curated_object_keys")
     )
