@@ -57,7 +57,9 @@ def join_groups(
         "_lane", F.when(can_match & F.col("_hot").isNull(), F.lit(0)).otherwise(stray)
     )
     cold = groups.withColumns({"_lane": F.lit(0), "_cold": F.lit(True)})
-    joined = dealt.join(cold, [*keys, "_lane"], "left")
+    # A number first: rows are sorted by it, not by comparing long ids that are alike in all rows of a batch.
+    number = F.xxhash64(*keys)
+    joined = dealt.withColumn("_hash", number).join(cold.withColumn("_hash", number), ["_hash", *keys, "_lane"], "left")
     if how == "inner":
         joined = joined.where("_hot OR _cold")
     found = [

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from batchlake.functions import dates, text
 from batchlake.operators import validate
 from batchlake.plans.lake import Lake
-from batchlake.session import exists, materialize
+from batchlake.session import exists, materialize, together
 from batchlake.sinks import writers
 from batchlake.sources.delimited import empty_files, read_raw
 from batchlake.sources.listing import list_objects
@@ -174,12 +174,19 @@ def ingest_files(
     begun = time.monotonic()
     root = lake.zone("raw")
     raw, failed = read_raw(spark, root, paths, header)
-    failed = materialize(failed, "unreadable-files")
-    rows = materialize(raw.drop("raw_key"), "raw-rows")
+    failed, rows = together(
+        spark,
+        lambda: materialize(failed, "unreadable-files"),
+        lambda: materialize(raw.drop("raw_key"), "raw-rows"),
+    )
     tagged = materialize(validate.tag_rows(rows), "tagged-rows")
 
-    writers.write_delimited(validate.clean_rows(tagged), lake.zone("clean"))
-    writers.write_delimited(validate.rejected_rows(tagged), lake.zone("rejected"))
+    _, _, counts = together(
+        spark,
+        lambda: writers.write_delimited(validate.clean_rows(tagged), lake.zone("clean")),
+        lambda: writers.write_delimited(validate.rejected_rows(tagged), lake.zone("rejected")),
+        lambda: materialize(validate.batch_counts(tagged), "batch-counts"),
+    )
     files = list_objects(spark, root, "", "*.csv", paths).select(
         F.col("key").alias("raw_key"),
         dates.file_batch_id(
@@ -187,7 +194,6 @@ def ingest_files(
         ).alias("batch_id"),
         dates.iso_z(F.col("last_modified")).alias("event_time"),
     ).join(failed.select("raw_key"), "raw_key", "left_anti")
-    counts = materialize(validate.batch_counts(tagged), "batch-counts")
     objects = [_objects(spark, lake, zone, counts) for zone in ("clean", "rejected")]
     manifests = build_manifests(
         files,

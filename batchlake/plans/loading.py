@@ -24,7 +24,7 @@ from batchlake.operators import load as op
 from batchlake.operators.merge import fold_upserts, last_per_key
 from batchlake.plans.lake import Lake
 from batchlake.plans.monitor import log_line
-from batchlake.session import create_once, entries, exists, materialize
+from batchlake.session import create_once, entries, exists, materialize, together
 from batchlake.sinks import writers
 from batchlake.sources.manifests import read_handoffs
 from batchlake.sources.tables import curated_objects, read_curated, with_file
@@ -386,17 +386,17 @@ def _load_batches(
         ),
         "load-rows",
     )
-    writers.write_batches(op.staged_rows(tagged), serving.path("staging"))
-    staged = serving.staging().where(here).join(sound, "batch_id", "left_semi")
-
     figures = tagged.groupBy("batch_id").agg(
         F.count_if(F.expr("error_message IS NULL")).alias("expected_rows"),
         F.count_if(F.expr("error_message IS NOT NULL")).alias("records_failed"),
     )
-    figures = materialize(
-        sound.join(figures, "batch_id", "left").na.fill(0, ["expected_rows", "records_failed"]),
-        "load-figures",
+    figures = sound.join(figures, "batch_id", "left").na.fill(0, ["expected_rows", "records_failed"])
+    _, figures = together(
+        spark,
+        lambda: writers.write_batches(op.staged_rows(tagged), serving.path("staging")),
+        lambda: materialize(figures, "load-figures"),
     )
+    staged = serving.staging().where(here).join(sound, "batch_id", "left_semi")
     before = op.pre_merge_checks(staged, figures.select("batch_id", "expected_rows"))
     ok = materialize(before.where("passed").select("batch_id"), "pre-merge")
     staged = staged.join(ok, "batch_id", "left_semi")
@@ -405,13 +405,14 @@ def _load_batches(
         "batch_seq", F.concat_ws("|", F.lit(run_ts), "ingestion_timestamp", "batch_id")
     )
     touched = [r[0] for r in sequenced.select(_bucket()).distinct().collect()]  # at most BUCKETS
-    counts = materialize(op.merge_counts(sequenced, serving.customer_keys(touched)), "merge-counts")
-    writers.write_batches(
-        op.customer_rows(sequenced, now, F.col("batch_seq").alias("load_seq")),
-        serving.path("customer_changes"),
+    known = serving.customer_keys(touched)
+    counts, _, _ = together(
+        spark,
+        lambda: materialize(op.merge_counts(sequenced, known), "merge-counts"),
+        lambda: writers.write_batches(op.sales_rows(staged, now), serving.path("sales")),
+        lambda: writers.write_batches(op.load_errors(tagged, now), serving.path("load_errors")),
     )
-    writers.write_batches(op.sales_rows(staged, now), serving.path("sales"))
-    writers.write_batches(op.load_errors(tagged, now), serving.path("load_errors"))
+    changes = op.customer_rows(sequenced, now, F.col("batch_seq").alias("load_seq"))
 
     written = serving._read("sales", schemas.SALES).where(here).join(ok, "batch_id", "left_semi")
     after = op.post_merge_checks(staged, written).select(
@@ -437,7 +438,12 @@ def _load_batches(
             "post-merge reconciliation failed",
         )
     )
-    state = materialize(state.withColumn("fault", fault), "load-state")
+    # The counts have read the changes of earlier loads by now; a repeated load replaces its own.
+    _, state = together(
+        spark,
+        lambda: writers.write_batches(changes, serving.path("customer_changes")),
+        lambda: materialize(state.withColumn("fault", fault), "load-state"),
+    )
 
     def of(c: str) -> Column:
         return F.when(F.col("fault").isNull(), F.coalesce(F.col(c), F.lit(0))).otherwise(0)
@@ -474,15 +480,15 @@ def _note(serving: Serving, attempts: DataFrame) -> None:
 def with_load_order(rows: DataFrame, batch: str = "phase3_batch_id") -> DataFrame:
     """Add ``batch_id`` and ``ord``: files of a batch by name, rows by their place in the file.
 
-    Only the distinct file names are ranked. Rows join them by file, and the writer bounds the
-    rows of a file, so no join key is hot even where a batch is.
+    Only the distinct file names are ranked, and looked up from a broadcast list: the names of the files
+    that are read, which the driver's listing holds anyway. So no row is moved for its place.
     """
     by_name = Window.partitionBy(batch).orderBy("_file")
     files = rows.select(batch, "_file").distinct().select(
         "_file", (F.row_number().over(by_name) - 1).cast("bigint").alias("_place")
     )
     return (
-        rows.join(files, "_file")
+        rows.join(F.broadcast(files), "_file")
         .withColumn("ord", F.shiftleft("_place", 40) + F.col("_row"))
         .withColumn("batch_id", F.col(batch))
         .drop("_place", "_file", "_row")

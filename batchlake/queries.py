@@ -15,7 +15,7 @@ from batchlake import schemas, seed
 from batchlake.functions import dates, digests, numbers, text
 from batchlake.operators import checks, curate, load, merge, validate
 from batchlake.plans import curation, ingest, lake, loading, monitor, order_checks, reports
-from batchlake.session import materialize, run_dir
+from batchlake.session import materialize, run_dir, together
 from batchlake.sinks import writers
 from batchlake.sources import delimited, listing, tables
 from batchlake.streaming import jobs
@@ -1070,7 +1070,8 @@ def _write_raw(spark, sf, root: str) -> None:
         "even": (~odd, ["customer_id", "name", "email", "sales"]),
         "odd": (odd, ["sales", "part", "email", "customer_id", "name"]),
     }
-    for name, (where, columns) in layouts.items():
+
+    def write(name: str, where, columns: list[str]) -> None:
         (
             rows.where(where)
             .repartition("batch_id", "part")
@@ -1085,6 +1086,8 @@ def _write_raw(spark, sf, root: str) -> None:
             .csv(f"{root}/{name}")
         )
 
+    together(spark, *[lambda name=name, layout=layout: write(name, *layout) for name, layout in layouts.items()])
+
 
 def _batch_of(key: str):
     return F.regexp_extract(key, r"batch_id=(b\d+)", 1)

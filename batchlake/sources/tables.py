@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from batchlake.schemas import CLEAN, CURATED, PARTITIONS
+from batchlake.session import exists
 from batchlake.sources.listing import decoded_path, key_below
 
 
@@ -20,6 +24,22 @@ def read_curated(
     return reader.parquet(*[f"{root.rstrip('/')}/{key}" for key in objects])
 
 
+def read_batches(spark: SparkSession, root: str, batches: list[str]) -> DataFrame | None:
+    """The rows of the named batches (those of a round), None if there are none. Their folders are looked up by
+    name, so the objects of no other batch are listed, however many the table holds."""
+    if not exists(spark, root):
+        return None
+    if not all(re.fullmatch(r"[\w.-]+", name) for name in batches):  # not to be spelled as a pattern
+        return read_curated(spark, root).where(F.col("phase3_batch_id").isin(batches))
+    days = "/".join(f"{part}=*" for part in PARTITIONS)
+    try:
+        return read_curated(spark, root, [f"{days}/phase3_batch_id={{{','.join(sorted(batches))}}}"])
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def with_file(curated: DataFrame) -> DataFrame:
     """Add ``_file`` and ``_row``: the object a row came from and its place there."""
     return curated.select(

@@ -184,3 +184,22 @@ def test_one_checksum_for_every_size(spark, parts):
     changed = rows.withColumn("sales", F.when(F.col("customer_id") == "3", 99).otherwise(F.col("sales")))
     other = {r.batch_id: r.source_checksum for r in digests.batch_digests(changed).collect()}
     assert other["big"] != want["big"] and other["small"] == want["small"]
+
+
+def test_printable_cells_take_the_plain_rules(spark):
+    rnd = random.Random(11)
+    letters = [chr(n) for n in range(0x1F, 0x81)] + [" ", "@", "."] * 12
+    items = ["".join(rnd.choices(letters, k=rnd.randint(0, 12))) for _ in range(4000)]
+    items += ["  a@b.c  ", "a@b..c", "a@.b", "a@b.c.", "a@b.c\x7f", "a  b", "a" * 9 + "@" + "b.c" * 9]
+    c = F.col("v")
+    general = rf"^[{text._WS}]*{text._ADDRESS}[{text._WS}]*\z"
+    frame = values(spark, items + [None]).select(
+        text.is_email(c).alias("email"),
+        F.coalesce(c.rlike(general), F.lit(False)).alias("email_was"),
+        text.collapse(c).alias("collapse"),
+        F.regexp_replace(text.ustrip(c), f"[{text._WS}]+", " ").alias("collapse_was"),
+    )
+    for r in frame.collect():
+        assert (r.email, r.collapse) == (r.email_was, r.collapse_was)
+    for rule in (text.is_email(c), text.collapse(c)):
+        assert text._PRINTABLE in rule._jc.toString()  # the costly class is left to the cells that need it

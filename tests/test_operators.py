@@ -306,3 +306,12 @@ def test_suite_size():
     s = order_checks.SUITE
     sizes = [len(s.primary_keys), len(s.foreign_keys), len(s.not_null), len(s.predicates) + len(s.custom)]
     assert sizes == [10, 11, 17, 5]
+
+
+def test_join_groups_sorts_by_a_number_first(spark):
+    rows = spark.createDataFrame([("a" * 64, i % 5, i) for i in range(50)], "k string, j long, id long")
+    groups = rows.groupBy("k", "j").agg(F.count(F.lit(1)).alias("n"))
+    got = skew.join_groups(rows, groups.hint("merge"), ["k", "j"], "n", F.col("id"))
+    assert got.columns == ["k", "j", "id", "n"] and {r.n for r in got.collect()} == {10}
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin [_hash" in plan

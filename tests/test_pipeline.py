@@ -657,3 +657,45 @@ def test_keys_below_a_repeated_folder(spark):
 
     got = spark.range(1).select(key_below(F.lit("file:/lake/raw/lake/raw/f.csv"), "/lake/raw")).first()[0]
     assert got == "lake/raw/f.csv"
+
+
+def test_a_hand_off_lists_the_objects_of_its_batches_only(spark, lake):
+    from batchlake.sources.tables import read_batches
+
+    root = lake.zone("curated")
+    assert read_batches(spark, root, ["b1"]) is None
+    rows = [(f"b{i}", f"C{i}", "2026", "07", f"0{i}") for i in range(1, 6)] + [("b x", "C9", "2026", "07", "01")]
+    frame = spark.createDataFrame(rows, "phase3_batch_id string, customer_id string, year string, month string, day string")
+    frame.write.partitionBy("year", "month", "day", "phase3_batch_id").parquet(root)
+    got = read_batches(spark, root, ["b2", "b4", "b77"])
+    assert sorted(r.customer_id for r in got.collect()) == ["C2", "C4"]
+    assert sorted((r.phase3_batch_id, r.day) for r in got.collect()) == [("b2", "02"), ("b4", "04")]
+    assert len(got.inputFiles()) == 2
+    assert read_batches(spark, root, ["b77"]) is None
+    assert [r.customer_id for r in read_batches(spark, root, ["b x"]).collect()] == ["C9"]
+
+
+def test_load_order_moves_no_row(spark, lake):
+    put(lake, {"a.csv": FILES["uploads/a.csv"]})
+    ingest.ingest(spark, lake, T0)
+    curation.curate(spark, lake, T1, max_invalid_percent=25)
+    rows = with_file(read_curated(spark, lake.zone("curated")))
+    plan = loading.with_load_order(rows)._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_steps_run_together_and_faults_come_last(spark):
+    import threading
+
+    from batchlake.session import together
+
+    both = threading.Barrier(2, timeout=30)
+    assert together(spark, lambda: both.wait() * 0, lambda: both.wait() * 0 + 1) == [0, 1]
+    ended = []
+
+    def fails():
+        raise ValueError("torn")
+
+    with pytest.raises(ValueError, match="torn"):
+        together(spark, fails, lambda: ended.append(spark.range(3).count()))
+    assert ended == [3]
